@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipfold.llm import lines, mixing, tokens
+from clipfold.llm import encoding, lines, mixing, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,14 @@ def p1_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.strip_lines(_t(spark, sf_dir, "arquivo"), out_col="limpo").select("item_id", "limpo")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding.judge(_t(spark, sf_dir, "arquivo")).select("item_id", "campo")
+
+
+def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding.repair(_t(spark, sf_dir, "arquivo")).select("item_id", "campo", "cadeia", "texto", "inteiro")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(_t(spark, sf_dir, "documents"))
 
