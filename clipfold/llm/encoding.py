@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clipfold.plans.cut import cut
 from clipfold.plans.ship import ship
 
 #: (written in, read with, times). The last two lose characters: U+FFFD or a question mark stand for them.
@@ -172,16 +173,19 @@ class Evidence:
             self.cache[key] = got
         return got
 
-    def field(self, text: str) -> dict[int, float]:
-        """Log likelihood ratios of the chains that could have made some of ``text``, where above 0."""
+    def field(self, runs: list[tuple[str, str, str]]) -> dict[int, float]:
+        """Log likelihood ratios of the chains that could have made some of the runs, where above 0."""
         total: dict[int, float] = {}
-        for m in RUN.finditer(text):
-            s, e = m.span()
-            for z, v in self.of(text[s - 1 : s], m.group(), text[e : e + 1]):
+        for left, run, right in runs:
+            for z, v in self.of(left, run, right):
                 total[z] = total.get(z, 0.0) + v
         return {z: v for z, v in total.items() if v > 0.5}
 
 
+def _runs(text: str) -> list[tuple[str, str, str]]:
+    return [(text[s - 1 : s], m.group(), text[e : e + 1]) for m in RUN.finditer(text) for s, e in [m.span()]]
+
+
 def _em(ev: np.ndarray, weight: np.ndarray, n: float, mean: np.ndarray, strength: float, rounds: int) -> np.ndarray:
     """Shares of the chains among ``n`` fields, of which those in ``ev`` (log ratios) have evidence; drawn to ``mean`` as
     by ``strength`` further fields."""
@@ -193,36 +197,52 @@ def _em(ev: np.ndarray, weight: np.ndarray, n: float, mean: np.ndarray, strength
     return share
 
 
-def judge(df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", fields: tuple[str, ...] = ("titulo", "resumo"), prior: float = 0.02, strength: float = 300.0, rounds: int = 20, least: float = 0.5) -> DataFrame:
+def judge(df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", fields: tuple[str, ...] = ("titulo", "resumo"), prior: float = 0.02, strength: float = 300.0, rounds: int = 20, least: float = 0.5, passes: int = 3) -> DataFrame:
     """``id_col, campo, chain, posterior``: fields judged garbled, with the likeliest chain (an index of ``CHAINS``)."""
     cols = list(fields)
     places = count_places(df, cols)  # bounded by the characters there are, not by the rows
     ship(df.sparkSession)
 
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         evidence = Evidence(places)
         for b in batches:
-            rows: list[tuple] = []
+            at, campos, runs = [], [], []
             for k, campo in enumerate(cols):
                 for i, t in enumerate(b.column(2 + k).to_pylist()):
-                    if t and (not t.isascii() or "?" in t) and (got := evidence.field(t)):
-                        ev = [0.0] * len(CHAINS)
-                        for z in range(len(CHAINS)):
-                            ev[z] = float(round(min(30.0, got[z]))) if z in got else -30.0
-                        rows.append((i, campo, ev))
-            at = pa.array([r[0] for r in rows], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(at), b.column(1).take(at), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.list_(pa.float64()))],
-                names=["id", "src", "campo", "ev"],
-            )
+                    if t and (not t.isascii() or "?" in t) and evidence.field(got := _runs(t)):
+                        at.append(i)
+                        campos.append(campo)
+                        runs.append(["\t".join(r) for r in got])
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows), pa.array(campos, pa.string()), pa.array(runs, pa.list_(pa.string()))], names=["id", "src", "campo", "runs"])
 
     key = F.coalesce(F.lower(F.trim(F.col(source_col))), F.lit("")).alias("src")
     src = df.select(F.col(id_col).alias("id"), key, *cols)
-    suspects = src.mapInArrow(weigh, f"id {src.schema['id'].dataType.simpleString()}, src string, campo string, ev array<double>")
+    kind = src.schema["id"].dataType.simpleString()
+    suspects = cut(src.mapInArrow(screen, f"id {kind}, src string, campo string, runs array<string>"), "suspects")
     sizes = src.groupBy("src").agg(*[F.count(F.when(F.col(c) != "", 1)).alias(c) for c in cols])
     sizes = sizes.select("src", F.explode(F.create_map(*[x for c in cols for x in (F.lit(c), F.col(c))])).alias("campo", "n"))
-    kinds = suspects.groupBy("src", "campo", "ev").agg(F.count("*").alias("k")).join(sizes, ["src", "campo"])
+    sizes = cut(sizes, "field-sizes")
+    for k in range(passes):
+        judged = _posterior(suspects, sizes, places, prior, strength, rounds)
+        if k + 1 < passes:  # what is probably garbled no longer counts as text of the archive
+            places = _without(judged, places)
+    return judged.select(F.col("id").alias(id_col), "campo", "chain", "posterior").where(F.col("posterior") >= least)
+
+
+def _posterior(suspects: DataFrame, sizes: DataFrame, places: dict[str, int], prior: float, strength: float, rounds: int) -> DataFrame:
+    """``suspects`` with their likeliest chain and the posterior of any chain."""
+    kind = suspects.schema["id"].dataType.simpleString()
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        evidence = Evidence(places)
+        for b in batches:
+            rows = [evidence.field([tuple(r.split("\t")) for r in runs]) for runs in b.column(3).to_pylist()]
+            ev = [[float(round(min(30.0, got[z]))) if z in got else -30.0 for z in range(len(CHAINS))] for got in rows]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ev, pa.list_(pa.float64()))], names=[*b.schema.names, "ev"])
 
+    weighed = suspects.mapInArrow(weigh, f"id {kind}, src string, campo string, runs array<string>, ev array<double>")
+    kinds = weighed.groupBy("src", "campo", "ev").agg(F.count("*").alias("k")).join(sizes, ["src", "campo"])
     # over the whole archive first; evidence is in whole numbers, so its kinds are few however many rows have it
     overall = kinds.groupBy("ev").agg(F.sum("k").alias("k")).crossJoin(F.broadcast(sizes.agg(F.sum("n").alias("n"))))  # one row
 
@@ -242,12 +262,26 @@ def judge(df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", fie
     joint = F.zip_with("ev", "share", lambda e, s: F.exp(e) * s)
     total = F.aggregate("joint", F.lit(0.0), lambda a, x: a + x)
     clean = F.lit(1.0) - F.aggregate("share", F.lit(0.0), lambda a, x: a + x)
-    return (
-        suspects.join(prior_by_source, ["src", "campo"])
-        .withColumn("joint", joint)
-        .select(F.col("id").alias(id_col), "campo", (F.array_position("joint", F.array_max("joint")) - 1).cast("int").alias("chain"), (total / (total + clean)).alias("posterior"))
-        .where(F.col("posterior") >= least)
-    )
+    judged = weighed.join(prior_by_source, ["src", "campo"]).withColumn("joint", joint)
+    best = (F.array_position("joint", F.array_max("joint")) - 1).cast("int")
+    return judged.select("id", "campo", "runs", best.alias("chain"), (total / (total + clean)).alias("posterior"))
+
+
+def _without(judged: DataFrame, places: dict[str, int]) -> dict[str, int]:
+    """``places`` less what the judged fields hold in runs that their chain explains, by posterior."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        evidence, seen = Evidence(places), Counter()
+        for b in batches:
+            for runs, z, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                for left, run, right in (r.split("\t") for r in runs):
+                    if any(y == z and v > 0 for y, v in evidence.of(left, run, right)):
+                        for place in _places(left, run, right):
+                            seen[place] += p
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array([float(v) for v in seen.values()], pa.float64())], names=["place", "n"])
+
+    gone = judged.select("runs", "chain", "posterior").mapInArrow(count, "place string, n double").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    return places | {r.place: max(0.0, places.get(r.place, 0) - r.n) for r in gone}
 
 
 def restore(text: str, chain: int, evidence: Evidence) -> str:
@@ -280,6 +314,9 @@ def repair(df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", fi
         for b in batches:
             chains, texts = b.column(2).to_pylist(), b.column(4).to_pylist()
             fixed = [t if z >= LOST else restore(t, z, evidence) for z, t in zip(chains, texts)]
+            for k, z in enumerate(chains):
+                if z == 0 and (again := restore(fixed[k], z, evidence)) != fixed[k]:  # read wrongly twice
+                    chains[k], fixed[k] = 1, again
             names = [f"{CHAINS[z][0]} > {CHAINS[z][1]}" + (" x2" if CHAINS[z][2] > 1 else "") for z in chains]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(names, pa.string()), b.column(3), pa.array(fixed, pa.string()), pa.array([z < LOST for z in chains], pa.bool_())],
