@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipfold.llm import encoding, lines, mixing, tokens
+from clipfold.llm import encoding, lines, mixing, residue, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,14 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mix(spark, sf_dir)[1]
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.residue(_t(spark, sf_dir, "documents")).select("doc_id")
+
+
+def p9_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.templates(_t(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1:2].isdigit() and callable(f)}
 
