@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipfold.llm import encoding, lines, mixing, residue, tokens
+from clipfold.llm import encoding, lines, mixing, residue, tokens, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,14 @@ def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.repair(_t(spark, sf_dir, "arquivo")).select("item_id", "campo", "cadeia", "texto", "inteiro")
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.truncated(_t(spark, sf_dir, "arquivo"))
+
+
+def p6_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.rates(_t(spark, sf_dir, "arquivo"))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(_t(spark, sf_dir, "documents"))
 
