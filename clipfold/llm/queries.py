@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipfold.llm import encoding, lines, mixing, residue, tokens, truncation
+from clipfold.llm import encoding, history, lines, mixing, neardup, residue, tokens, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,11 @@ def p1_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.strip_lines(_t(spark, sf_dir, "arquivo"), out_col="limpo").select("item_id", "limpo")
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = [r.source for r in _t(spark, sf_dir, "feeds").select("source").collect()]  # a registry of 44 publications
+    return history.repeats(_t(spark, sf_dir, "arquivo"), names)
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.judge(_t(spark, sf_dir, "arquivo")).select("item_id", "campo")
 
@@ -36,6 +41,19 @@ def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.repair(_t(spark, sf_dir, "arquivo")).select("item_id", "campo", "cadeia", "texto", "inteiro")
 
 
+def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _t(spark, sf_dir, "arquivo").select("item_id", "fonte", "titulo", "resumo").where("resumo <> ''")
+    return lines.strip_lines(items).select("item_id", F.concat_ws("\n", "titulo", "resumo").alias("texto"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.pairs(_stories(spark, sf_dir), "texto")
+
+
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(_stories(spark, sf_dir), "texto")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.truncated(_t(spark, sf_dir, "arquivo"))
 
