@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipfold.llm import encoding, history, lines, mixing, neardup, residue, tokens, truncation
+from clipfold.llm import encoding, history, language, lines, mixing, neardup, residue, tokens, truncation
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,14 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.repeats(_t(spark, sf_dir, "arquivo"), names)
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.wrong_labels(_t(spark, sf_dir, "arquivo"))
+
+
+def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.labels(_t(spark, sf_dir, "arquivo"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.judge(_t(spark, sf_dir, "arquivo")).select("item_id", "campo")
 
