@@ -27,27 +27,46 @@ WORD = re.compile(r"[^\W_]+")
 _MARKS = re.compile("[" + "".join(chr(c) for c in range(0x300, 0x20000) if unicodedata.combining(chr(c))) + "]+")
 
 
+_LATIN_MARKS = re.compile("[\u0300-\u036f]+")
+#: UTF-8 bytes of marks that stand apart in Latin text, and of other scripts.
+_LATIN_APART, _OTHER = re.compile(rb"[\xcc\xcd]"), re.compile(rb"[\xd6-\xe1\xe3-\xff]")
+
+
 def fold(text: str) -> str:
     text = text.lower()
-    return text if text.isascii() else _MARKS.sub("", unicodedata.normalize("NFD", text))
+    if text.isascii():
+        return text
+    marks = _MARKS if _OTHER.search(text.encode("utf-8", "surrogatepass")) else _LATIN_MARKS
+    return marks.sub("", unicodedata.normalize("NFD", text))
+
+
+def plain_words(text: str) -> list[str]:
+    """Words of ``text``, lower-cased but with their accents unless those stand apart from their letters."""
+    text = text.lower()
+    if not text.isascii():
+        raw = text.encode("utf-8", "surrogatepass")
+        if _LATIN_APART.search(raw) or _OTHER.search(raw):
+            text = fold(text)
+    return WORD.findall(text)
 
 
 class Hasher:
+    """Sorted numbers of distinct words; accents are removed once per word, not per text."""
+
     def __init__(self):
         self.seen: dict[str, int] = {}
 
-    def __call__(self, words: set[str]) -> list[int]:
-        seen, out = self.seen, []
-        for w in words:
+    def __call__(self, words: list[str]) -> list[int]:
+        seen, out = self.seen, set()
+        for w in set(words):
             h = seen.get(w)
             if h is None:
-                h = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) - (1 << 63)
+                h = xxhash.xxh3_64_intdigest(fold(w).encode("utf-8", "surrogatepass")) - (1 << 63)
                 if len(seen) > CACHE_WORDS:
                     seen.clear()
                 seen[w] = h
-            out.append(h)
-        out.sort()
-        return out
+            out.add(h)
+        return sorted(out)
 
 
 def word_sets(df: DataFrame, keep: list[str], text_col: str, clean=None) -> DataFrame:
@@ -62,8 +81,7 @@ def word_sets(df: DataFrame, keep: list[str], text_col: str, clean=None) -> Data
             flat, offsets, at = [], [0], []
             for i, t in enumerate(b.column(len(keep)).to_pylist()):
                 if t:
-                    t = fold(t)
-                    got = hasher(set(WORD.findall(clean(t) if clean else t)))
+                    got = hasher(WORD.findall(clean(fold(t))) if clean else plain_words(t))
                     if got:
                         flat += got
                         offsets.append(len(flat))
@@ -171,25 +189,23 @@ def column_rows(level: np.ndarray, threshold: float, lanes: int, cap: int | None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, runs, ns = (b.column(k).to_numpy() for k in range(3))
-            sig = b.column(3).to_pylist()
             words, lens = flat_lists(b.column(4))
-            lv = flat_lists(b.column(5))[0].astype(np.uint8)
+            lv = flat_lists(b.column(5))[0]
             starts = np.cumsum(lens) - lens
-            col, at, rest = [], [], []
-            for i in range(len(ids)):
-                w = words[starts[i] : starts[i] + lens[i]]
-                for j in range(lens[i] - 1):
-                    if lv[starts[i] + j] <= hot_level:
-                        col.append(int(w[j])), at.append(i), rest.append(w[j + 1 :].tobytes())
-                    else:
-                        for k in range(j + 1, lens[i]):
-                            col.append((int(w[j]) << 32) ^ int(w[k]) ^ (1 << 62)), at.append(i), rest.append(w[k : k + 1].tobytes())
-            a = np.array(at, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(col, np.int64)), pa.array(ids[a]), pa.array(runs[a]), pa.array(ns[a]), pa.array([sig[k] for k in at], pa.binary()), pa.array(rest, pa.binary())],
-                names=["col", "id", "run", "n", "sig", "rest"],
-            )
+            doc, pos = expand(starts, starts + np.maximum(lens - 1, 0))
+            ends = (starts + lens)[doc]
+            cool = lv[pos] <= hot_level
+            yield rows(b, words[pos[cool]].astype(np.int64), doc[cool], *expand(pos[cool] + 1, ends[cool]), words)
+            which, second = expand(pos[~cool] + 1, ends[~cool])
+            if len(which):
+                col = (words[pos[~cool][which]].astype(np.int64) << 32) ^ words[second] ^ (1 << 62)
+                yield rows(b, col, doc[~cool][which], np.arange(len(second)), second, words)
+
+    def rows(b: pa.RecordBatch, col: np.ndarray, doc: np.ndarray, which: np.ndarray, rest: np.ndarray, words: np.ndarray) -> pa.RecordBatch:
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(col)) * 4)]).astype(np.int32)
+        packed = pa.Array.from_buffers(pa.binary(), len(col), [None, pa.py_buffer(offsets), pa.py_buffer(words[rest].astype("<i4").tobytes())])
+        at = pa.array(doc)
+        return pa.RecordBatch.from_arrays([pa.array(col), *(b.column(k).take(at) for k in range(4)), packed], names=["col", "id", "run", "n", "sig", "rest"])
 
     return run
 
@@ -261,13 +277,21 @@ def column_blocks(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Ite
         yield pa.Table.from_batches(held)
 
 
+def packed_bytes(col: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column, and the size of each value."""
+    a = col.combine_chunks()
+    a = a.chunk(0) if isinstance(a, pa.ChunkedArray) else a
+    offsets = np.frombuffer(a.buffers()[1], np.int32)[a.offset : a.offset + len(a) + 1]
+    data = np.frombuffer(a.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if a.buffers()[2] is not None else np.empty(0, np.uint8)
+    return np.ascontiguousarray(data), np.diff(offsets).astype(np.int64)
+
+
 def block_arrays(t: pa.Table, lanes: int) -> tuple[np.ndarray, ...]:
     """``key, doc, ids, runs, ns, sigs`` of a block: one key for each pair of the column and a word after it."""
     ids, runs, ns, col = (t[c].to_numpy() for c in ("id", "run", "n", "col"))
-    sigs = np.frombuffer(b"".join(t["sig"].to_pylist()), "<u8").reshape(-1, lanes)
-    rest = t["rest"].to_pylist()
-    lens = np.array([len(r) // 4 for r in rest], np.int64)
-    words = np.frombuffer(b"".join(rest), np.int32)
+    sigs = packed_bytes(t["sig"])[0].view("<u8").reshape(-1, lanes)
+    raw, size = packed_bytes(t["rest"])
+    lens, words = size // 4, raw.view("<i4")
     doc = np.repeat(np.arange(len(ids)), lens)
     return mix(col[doc].view(np.uint64), words.astype(np.int64).view(np.uint64)), doc, ids, runs, ns, sigs
 
