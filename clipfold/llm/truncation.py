@@ -33,6 +33,8 @@ BUCKETS = 1 << 20
 MARK = re.compile(r"(?:\.\.\.|…|[\[(]\s*(?:\.{2,}|…|\+|>+|»)\s*[\])]|>>|\.\.)\s*$")
 BROKEN = re.compile(r"<[a-zA-Z/!][^<>]{0,200}$|<$|<br\s*/?>\s*$|&#?\w{1,7}$")
 STOP = re.compile(r"[.!?][\"'”»’)\]]*\s*$|[\"”»]\s*$|[^\s(]\)\s*$")
+#: A cut seldom falls just between a word and its comma.
+BEFORE_SIGN = 0.15
 #: A credit at the end, as publications set it.
 CREDIT = re.compile(r"(?:^|[.!?…»”\n]\s*|[([]\s*)(?i:fotos?|photos?|textos?|textes?|texts?|fontes?|fuentes?|quelles?|source|bild|imagem|imagen|image|words|cr[ée]ditos?|credit|edi[cç][aã]o|foto/texto)\s*[:/©][^.!?\n]{2,80}$")
 _EDGE = "\"'«»“”„‘’‚()[]{},;:.!?…-–—"
@@ -104,29 +106,30 @@ def _features(texts: list[str], tokens: Tokens) -> tuple[list[np.ndarray], np.nd
     grams.insert(0, _mix(np.full(n, 0, np.uint64), cls))
     is_name = (cap == 7) & ~first
     grams += [_mix(word.astype(np.uint64), part=1), _mix(tail.astype(np.uint64) + is_name, part=2)]
-    return grams, end > 0, np.array(last), is_name
+    return grams, end, np.array(last), is_name
 
 
 def ending_counts(texts: DataFrame) -> np.ndarray:
-    """Two rows of ``BUCKETS`` counts: sentence ends, and words that go on. Of a fixed size, whatever the corpus."""
+    """Three rows of ``BUCKETS`` counts: words that go on, ends of parts, ends of sentences. Of a fixed size, whatever the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, table = Tokens(), np.zeros((2, BUCKETS), np.int64)
+        tokens, table = Tokens(), np.zeros((3, BUCKETS), np.int64)
         for b in batches:
             grams, end, last, _ = _features([t for t in b.column(0).to_pylist() if t], tokens)
             use = np.ones(len(end), bool)
             use[last[last >= 0]] = False  # how the last word ends is the question
             for g in grams:
-                table[0] += np.bincount(g[use & end], minlength=BUCKETS)
-                table[1] += np.bincount(g[use & ~end], minlength=BUCKETS)
+                for k in range(3):
+                    table[k] += np.bincount(g[use & (end == k)], minlength=BUCKETS)
         at = np.flatnonzero(table.any(0))
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[0][at]), pa.array(table[1][at])], names=["b", "e", "m"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(row[at]) for row in table)], names=["b", "c0", "c1", "c2"])
 
     ship(texts.sparkSession)
-    rows = texts.mapInArrow(run, "b bigint, e bigint, m bigint").groupBy("b").agg(F.sum("e").alias("e"), F.sum("m").alias("m")).toArrow()
-    out = np.zeros((2, BUCKETS), np.int32)
+    rows = texts.mapInArrow(run, "b bigint, c0 bigint, c1 bigint, c2 bigint").groupBy("b").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in range(3)]).toArrow()
+    out = np.zeros((3, BUCKETS), np.int32)
     at = rows["b"].to_numpy()
-    out[0, at], out[1, at] = rows["e"].to_numpy(), rows["m"].to_numpy()
+    for k in range(3):
+        out[k, at] = rows[f"c{k}"].to_numpy()
     return out
 
 
@@ -196,8 +199,8 @@ def _ending_scores(texts: list[str], table: np.ndarray, tokens: Tokens) -> np.nd
     if len(at):
         p = np.full(len(at), 0.1)
         for g in grams[:4]:
-            e, m = table[0][g[at]], table[1][g[at]]
-            p = (e + 2 * p) / (e + m + 2)
+            end, on = table[2][g[at]], table[0][g[at]] + BEFORE_SIGN * table[1][g[at]]
+            p = (end + 2 * p) / (end + on + 2)
         known = (table[:, grams[4][at]].sum(0) >= 2) | (is_name[at] & (table[:, grams[5][at]].sum(0) >= 4))
         p = np.clip(p, 0.002, 0.998)
         out[ok] = np.where(known, np.log((1 - p) / p) + 1.0, 6.5)
