@@ -72,19 +72,24 @@ def compiled(rules: DataFrame) -> DataFrame:
     return rules.sparkSession.createDataFrame(out, "area_id string, phrase string, kind string, ord int, pattern string, acronyms string, key string, open boolean")
 
 
+def _without_last(k: int):
+    return lambda w: F.substring(w, F.lit(1), F.greatest(F.length(w) - k, F.lit(0)))
+
+
 def hits(texts: DataFrame, rules: DataFrame, id_col: str = "item_id", text_col: str = "texto") -> DataFrame:
     """``id_col, area_id, phrase, kind, ord`` of each rule that matches.
 
-    Candidates first: a text's distinct words, and their beginnings up to three letters shorter, meet the first words of
-    the rules in a broadcast join; only those candidates are matched with the whole pattern, in the same stage.
+    Candidates first: of a text's distinct words, and their beginnings up to three letters shorter, those that begin a
+    rule are taken out as an array, so that only they are exploded, joined with their rules by broadcast, and matched
+    with the whole pattern, all in the stage that reads the text.
     """
+    r = compiled(rules)  # at most MAX_RULES rules
+    keys = sorted({x.key for x in r.select("key").collect()})
     t = texts.select(F.col(id_col), blank(text_col).alias("__raw"), fold(blank(text_col)).alias("__text"))
     words = F.array_distinct(F.split("__text", r"\W+"))
-    tokens = t.select("*", F.explode(words).alias("__w")).where("__w <> ''")
-    cut = F.explode(F.transform(F.sequence(F.lit(0), F.lit(EXTRA)), lambda k: F.struct(F.substring("__w", F.lit(1), F.length("__w") - k).alias("key"), (k > 0).alias("cut"))))
-    keyed = tokens.select("*", cut.alias("k")).where("k.key <> ''").withColumn("__key", F.col("k.key")).withColumn("__cut", F.col("k.cut"))
-    r = F.broadcast(compiled(rules))  # at most MAX_RULES rules
-    found = keyed.join(r, (F.col("__key") == F.col("key")) & (~F.col("__cut") | F.col("open")))
+    starts = [F.transform(words, _without_last(k)) for k in range(1, EXTRA + 1)]
+    candidates = F.array_intersect(F.concat(words, *starts), F.split(F.lit(" ".join(keys)), " "))
+    found = t.withColumn("key", F.explode(candidates)).where("key <> ''").join(F.broadcast(r), "key")
     match = F.rlike("__text", "pattern") & ((F.col("acronyms") == "") | F.rlike("__raw", "acronyms"))
     return found.where(match).select(id_col, "area_id", "phrase", "kind", "ord").distinct()
 
