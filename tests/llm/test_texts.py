@@ -114,7 +114,7 @@ def test_truncation_edges(spark):
 
 BAD = [
     "Título\n\nTexto: {{ autor }}", "Preço de ${valor} euros", "a %%titulo%% b", "<%= titulo %>", "em [INSERIR localidade] hoje", "<NOME aqui>", "{% block x %}", "#DATA_PUBLICACAO#", "(completar autor)",
-    "Lorem ipsum dolor sit amet", "bla bla bla bla bla", "Parágrafo de teste, apagar antes de publicar.", "TODO TODO Texto de exemplo para preencher a coluna.", "404 Not Found", "HTTP 504 - Gateway Time-out",
+    "Lorem ipsum dolor sit amet", "bla bla bla bla bla", "Parágrafo de teste, apagar antes de publicar.", "TODO TODO Texto de exemplo para preencher a coluna.", "404 Not Found", "HTTP 504 - Gateway Time-out", "HTTP 502 - Bad Gateway", "HTTP 400 - Bad Request", "HTTP 410 - Gone", "HTTP 403 - Forbidden",
     "Início | Política\n\nA sessão expirou. Volte a entrar para continuar.", "Erro 500: falha interna do servidor. Tente mais tarde.", "Este conteúdo precisa de JavaScript.", "Bitte schalten Sie JavaScript ein, um diese Seite zu sehen.",
     "ATIVE OS SCRIPTS PARA CONTINUAR A LER.", "TemplateError: 'NoneType' has no attribute 'titulo'",
 ]
