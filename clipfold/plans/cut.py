@@ -17,6 +17,16 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/clipfold/{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the tables this application has cut. Results that still read them must have been written before."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -24,6 +34,6 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     columnar and compressed, so a later step reads only the columns it needs.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/clipfold/{name}-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -13,6 +14,9 @@ from clipfold.functions import dates, text
 from clipfold.operators import items as it
 from clipfold.operators import merge, report, rules, series, subs
 from clipfold.operators.items import ORDER, newest_first, origin
+from clipfold.plans.cut import shared_dir
+from clipfold.sources import feeds
+from clipfold.streaming import archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = datetime(2018, 3, 20, 12, 0)
@@ -560,5 +564,31 @@ def source_concentration(spark, d):
     return series.concentration(_items(spark, d))
 
 
+# sources and streams
+
+
+@query
+def ingest_feeds(spark, d):
+    """Items of each run and feed written as an RSS payload, and read back from it."""
+    tag = lambda name, c: F.concat(F.lit(f"<{name}>"), text.escape_html(text.blank(c)), F.lit(f"</{name}>"))
+    item = F.concat(F.lit("<item>"), tag("title", "titulo"), tag("link", "ligacao"), F.lit("</item>"))
+    body = F.concat(F.lit("<rss><channel>"), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>"))
+    key = (F.col("run_ord") * 1000 + F.col("feed_ord")).alias("feed_ord")  # one payload a run and feed
+    payloads = _items(spark, d).groupBy(key).agg(F.encode(body, "UTF-8").alias("body"))
+    got = feeds.explode_items(payloads)
+    return got.groupBy("feed_ord").agg(F.count("item_ord").alias("itens"), F.count_if(F.col("ligacao") != "").alias("com_ligacao"), F.count("erro").alias("erros"))
+
+
+@query
+def stream_daily(spark, d):
+    """Daily counts kept by a stream over the archive's files."""
+    schema = _t(spark, d, "arquivo").schema
+    counts = archive.daily_counts(archive.read_items(spark, f"{d}/arquivo.parque[t]", schema, 100))
+    path = f"{shared_dir(spark)}/clipfold/stream-{uuid.uuid4().hex}"
+    write = lambda df, n: df.write.mode("overwrite").parquet(f"{path}/out")
+    counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{path}/out")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -77,6 +77,14 @@ def document(items: DataFrame, made: datetime, header: dict, most: int = 200_000
     return json.dumps(header | {"atualizado": made.strftime("%Y-%m-%d %H:%M"), "noticias": [json.loads(r) for r in rows]}, ensure_ascii=False)
 
 
+def series_document(nested: DataFrame, made: datetime, most: int = 20_000) -> str:
+    """The daily series (``data, areas``) as one document, by date; refuses more than ``most`` days."""
+    rows = nested.select(F.date_format("data", "yyyy-MM-dd").alias("data"), "areas").orderBy("data").limit(most + 1).toJSON().collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} days for one document")
+    return json.dumps({"atualizado": made.strftime("%Y-%m-%d %H:%M"), "dias": [json.loads(r) for r in rows]}, ensure_ascii=False)
+
+
 def append_months(items: DataFrame, path: str) -> DataFrame:
     """Add items to the permanent archive (gzip JSON Lines by month of publication) whose area and title it doesn't have.
 

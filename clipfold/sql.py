@@ -230,6 +230,8 @@ SQL = {
     "summarise_listing": f"""WITH {ITEMS}, o AS (SELECT *, {origin()} AS origem FROM it WHERE area <> '' AND titulo <> ''), c AS (SELECT area, origem, count(*) AS noticias FROM o GROUP BY 1, 2 HAVING count(*) >= 3),
       r AS (SELECT *, {ROWS.format('area, origem', 'LAST')} AS n FROM o), t AS (SELECT area, origem, trim(area || ' (' || origem || '): ' || string_agg(titulo, '; ' ORDER BY n) || '.') AS texto FROM r WHERE n <= 5 GROUP BY 1, 2)
       SELECT area, origem, noticias, texto FROM t JOIN c USING (area, origem) WHERE length(texto) >= 40""",
+    "ingest_feeds": items("run_ord * 1000 + feed_ord AS feed_ord, count(*) AS itens, count(*) FILTER (starts_with(trim(ligacao), 'http')) AS com_ligacao, 0 AS erros") + " GROUP BY 1",
+    "stream_daily": f"WITH {ITEMS} SELECT ts::DATE AS data, area, {origin()} AS origem, count(*) AS noticias FROM it WHERE ts IS NOT NULL AND area <> '' GROUP BY 1, 2, 3",
     "ranked_areas": f"WITH {ITEMS}, n AS (SELECT area, count(*) AS noticias FROM it WHERE {HIGH.format(AS_OF, 720, 'FALSE')} AND NOT {PLATFORM} AND {origin()} = 'nacionais' AND area <> '' GROUP BY area) SELECT area, noticias, rank() OVER (ORDER BY noticias DESC) AS posto FROM n",
     "keyword_selection": items("item_id") + " WHERE list_has_any(palavras, ['estrada', 'quota', 'museu'])",
     "excluded_breakdown": f"""WITH {ITEMS}, b AS (SELECT list_contains(palavras, 'estrada') AS k, {origin()} = 'nacionais' AS o, {HIGH.format(AS_OF, 168, 'FALSE')} AS w FROM it)
@@ -248,7 +250,7 @@ SQL = {
 
 #: Columns that are dates, given as text.
 DATES = {
-    "data": ("daily_by_area", "keyword_counts", "upsert_day", "series_long_area", "series_long_keyword", "evolution_vs_mean", "top_areas_trend"),
+    "data": ("daily_by_area", "keyword_counts", "upsert_day", "series_long_area", "series_long_keyword", "evolution_vs_mean", "top_areas_trend", "stream_daily"),
     "periodo": (*(f"resample_{by}" for by in PERIODS), "resample_orders", "pivot_origin"),
     "dia": ("group_by_day", "month_frame"), "recebe": ("report_calendar",), "de": ("origin_share",), "ate": ("origin_share",),
 }

@@ -4,6 +4,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from clipfold.operators import items as it
+from clipfold.operators import series
 from clipfold.sources import feeds, state
 from clipfold.streaming import archive
 
@@ -56,6 +57,14 @@ def test_documents_and_lines(spark, tmp_path):
     assert state.read_items(spark, str(tmp_path / "old.json")).first().imagem is None
 
 
+def test_series_document_round_trip(spark, tmp_path):
+    items = _archive(spark)
+    by_area = series.daily_by_area(items)
+    (tmp_path / "h.json").write_text(state.series_document(series.nest(by_area, series.daily_keywords(items)), AS_OF))
+    back = series.long_by_area(state.read_series(spark, str(tmp_path / "h.json"))).select(by_area.columns)
+    assert sorted(map(str, back.collect())) == sorted(map(str, by_area.collect()))
+
+
 def test_missing_and_broken_state(spark, tmp_path):
     assert state.read_or_empty(spark, str(tmp_path / "none"), "a int").count() == 0
     (tmp_path / "bad.parquet").write_text("no parquet")
