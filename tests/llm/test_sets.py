@@ -5,6 +5,7 @@ import re
 import unicodedata
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -94,6 +95,15 @@ def test_history_against_brute_force(spark):
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
 
 
+@pytest.mark.parametrize("first", [1, 8])
+def test_first_candidates_that_fail_dont_hide_later_ones(spark, monkeypatch, first):
+    monkeypatch.setattr(history, "FIRST", first)
+    monkeypatch.setattr(history.replay, "__defaults__", (first, None))
+    data = [(k, 1 + k, " ".join([WORDS[0], WORDS[1], *(f"x{k}y{j}" for j in range(2)), *WORDS[2:8]][: 6 + k % 5]), None, 1) for k in range(60)]
+    got = {tuple(x) for x in history.repeats(spark.createDataFrame(data, ITEM), []).collect()}
+    assert got == brute_repeats(data)
+
+
 def test_one_run_repeats_nothing(spark):
     data = [(k, 1, "o mesmo título de sempre", "https://a.pt/x", 1) for k in range(10)]
     assert history.repeats(spark.createDataFrame(data, ITEM), []).count() == 0
@@ -117,9 +127,8 @@ def test_segments_find_what_a_scan_finds(batches):
     seg, seen = history.Segments(), []
     for n, keys in enumerate(batches):
         k = np.array(keys, np.uint64)
-        which, docs = seg.find(k)
-        want = sorted((i, d) for i, x in enumerate(keys) for y, d in seen if x == y)
-        assert sorted(zip(which.tolist(), docs.tolist())) == want
+        got = sorted(p for which, docs in seg.find(k, 7) for p in zip(which.tolist(), docs.tolist()))
+        assert got == sorted((i, d) for i, x in enumerate(keys) for y, d in seen if x == y)
         seg.add(k, np.full(len(k), n, np.int64))
         seen += [(x, n) for x in keys]
     assert len(seg.parts) <= 2 + np.log2(sum(map(len, batches)))
