@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from clipfold.plans.cut import cut
 from clipfold.plans.ship import ship
+from clipfold.plans.small import join_small
 
 #: (written in, read with, times). The last two lose characters: U+FFFD or a question mark stand for them.
 CHAINS = [
@@ -262,7 +263,7 @@ def _posterior(suspects: DataFrame, sizes: DataFrame, places: dict[str, int], pr
     joint = F.zip_with("ev", "share", lambda e, s: F.exp(e) * s)
     total = F.aggregate("joint", F.lit(0.0), lambda a, x: a + x)
     clean = F.lit(1.0) - F.aggregate("share", F.lit(0.0), lambda a, x: a + x)
-    judged = weighed.join(prior_by_source, ["src", "campo"]).withColumn("joint", joint)
+    judged = join_small(weighed, prior_by_source, ["src", "campo"]).withColumn("joint", joint)
     best = (F.array_position("joint", F.array_max("joint")) - 1).cast("int")
     return judged.select("id", "campo", "runs", best.alias("chain"), (total / (total + clean)).alias("posterior"))
 

@@ -19,7 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clipfold.plans.cut import cut
 from clipfold.plans.ship import ship
+from clipfold.plans.small import join_small
 
 SHARD_DOCS = 20_000
 #: Identifier of an empty line: it ends blocks and is never part of one.
@@ -43,9 +45,13 @@ def line_ids(text: Column) -> Column:
     return F.transform(keys, lambda k: F.when(F.trim(k) == "", F.lit(EMPTY)).otherwise(F.xxhash64(F.trim(k))).cast("bigint"))
 
 
+#: White space other than the plain space and the line feed. Plain single spaces, by far the most, are left unmatched.
+_SPACES = r"\t\x0b\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def line_key_lines(text: Column) -> Column:
     """All lines of a text normalised at once: as ``line_key``, but ``\\n`` stays."""
-    return F.regexp_replace(F.regexp_replace(F.lower(text), r"(?U)\d+", "0"), r"(?U)[\s\x1c-\x1f&&[^\n]]+", " ")
+    return F.regexp_replace(F.regexp_replace(F.lower(text), r"\p{Nd}+", "0"), f" *[{_SPACES}][ {_SPACES}]*|  +", " ")
 
 
 def suffix_array(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,18 +140,20 @@ def frequent_blocks(docs: list[np.ndarray], need: float) -> list[tuple[list[int]
 
 
 def _documents(df: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
-    return (
+    """Documents as sequences of line identifiers, written once because each step goes over them."""
+    docs = (
         df.select(F.col(id_col).alias("id"), source_key(source_col).alias("src"), F.col(text_col).alias("text"))
         .where("src is not null and text <> ''")
         .select("id", "src", line_ids(F.col("text")).alias("ids"))
     )
+    return cut(docs, "lines")
 
 
 def _candidates(docs: DataFrame, min_docs: int, min_share: float, shard_docs: int) -> DataFrame:
     """``src, block, n_src``: blocks frequent in some shard; ``n_src`` documents of the source."""
     ship(docs.sparkSession)
     sizes = docs.groupBy("src").agg(F.count("*").alias("n_src"))
-    sharded = docs.join(sizes.where(F.col("n_src") >= min_docs), "src").withColumn(
+    sharded = join_small(docs, sizes.where(F.col("n_src") >= min_docs), "src").withColumn(
         "shard", F.pmod(F.xxhash64("id"), F.ceil(F.col("n_src") / shard_docs))
     )
 
@@ -170,9 +178,12 @@ def repeated_lines(
     df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", text_col: str = "resumo", min_docs: int = 5, min_share: float = 0.05, shard_docs: int = SHARD_DOCS
 ) -> DataFrame:
     """``src, line, n_docs``: the identifiers of lines found in ``min_docs`` documents and ``min_share`` of their source."""
-    docs = _documents(df, id_col, source_col, text_col)
+    return _repeated(_documents(df, id_col, source_col, text_col), min_docs, min_share, shard_docs)
+
+
+def _repeated(docs: DataFrame, min_docs: int = 5, min_share: float = 0.05, shard_docs: int = SHARD_DOCS) -> DataFrame:
     single = _candidates(docs, min_docs, min_share, shard_docs).where(F.size("block") == 1).select("src", F.col("block")[0].alias("line"), "n_src")
-    seen = docs.select("src", F.explode(F.array_distinct("ids")).alias("line")).join(single, ["src", "line"])
+    seen = join_small(docs.select("src", F.explode(F.array_distinct("ids")).alias("line")), single, ["src", "line"])
     return seen.groupBy("src", "line", "n_src").agg(F.count("*").alias("n_docs")).where(_enough(min_docs, min_share)).select("src", "line", "n_docs")
 
 
@@ -183,8 +194,7 @@ def repeated_blocks(
     docs = _documents(df, id_col, source_col, text_col)
     blocks = _candidates(docs, min_docs, min_share, shard_docs).withColumn("line", F.col("block")[0])
     hits = (
-        docs.select("id", "src", "ids", F.posexplode("ids").alias("pos", "line"))
-        .join(blocks, ["src", "line"])
+        join_small(docs.select("id", "src", "ids", F.posexplode("ids").alias("pos", "line")), blocks, ["src", "line"])
         .where(F.slice("ids", F.col("pos") + 1, F.size("block")) == F.col("block"))
         .select("src", "block", "n_src", "id").distinct()
     )
@@ -196,8 +206,8 @@ def line_occurrences(df: DataFrame, id_col: str = "item_id", source_col: str = "
     """``id_col, linha_no``: each occurrence of a repeated line, counted from 1."""
     docs = _documents(df, id_col, source_col, text_col)
     places = docs.select("id", "src", F.posexplode("ids").alias("pos", "line"))
-    lines = repeated_lines(df, id_col, source_col, text_col, **limits)
-    return places.join(lines.select("src", "line"), ["src", "line"]).select(F.col("id").alias(id_col), (F.col("pos") + 1).cast("int").alias("linha_no"))
+    lines = _repeated(docs, **limits)
+    return join_small(places, lines.select("src", "line"), ["src", "line"]).select(F.col("id").alias(id_col), (F.col("pos") + 1).cast("int").alias("linha_no"))
 
 
 def strip_lines(df: DataFrame, source_col: str = "fonte", text_col: str = "resumo", out_col: str = "resumo", lines: DataFrame | None = None, id_col: str = "item_id", **limits) -> DataFrame:
@@ -212,5 +222,5 @@ def strip_lines(df: DataFrame, source_col: str = "fonte", text_col: str = "resum
         lambda z: ~F.array_contains(F.col("__bad"), z["i"]),
     )
     clean = F.array_join(F.transform(kept, lambda z: z["t"]), "\n")
-    joined = df.withColumn("__src", source_key(source_col)).join(per_source, "__src", "left")
+    joined = join_small(df.withColumn("__src", source_key(source_col)), per_source, "__src", "left")
     return joined.withColumn(out_col, F.when(F.col("__bad").isNull(), F.col(text_col)).otherwise(clean)).drop("__src", "__bad")
