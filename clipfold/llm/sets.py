@@ -161,11 +161,6 @@ def head_sizes(n: np.ndarray, single: np.ndarray, threshold: float) -> np.ndarra
     return np.maximum(n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 2 - single, 0)
 
 
-def max_difference(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
-    """The most words that two sets of these sizes may differ in."""
-    return np.floor((1 - threshold) / (1 + threshold) * (a + b) + 1e-9).astype(np.int64)
-
-
 def expand(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of each range and all positions of it, for ranges [lo, hi)."""
     n = np.maximum(hi - lo, 0)
@@ -287,9 +282,9 @@ def packed_bytes(col: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def block_arrays(t: pa.Table, lanes: int) -> tuple[np.ndarray, ...]:
-    """``key, doc, ids, runs, ns, sigs`` of a block: one key for each pair of the column and a word after it."""
+    """``key, doc, ids, runs, ns, sigs`` (a row a lane) of a block: one key for each pair of the column and a word after it."""
     ids, runs, ns, col = (t[c].to_numpy() for c in ("id", "run", "n", "col"))
-    sigs = packed_bytes(t["sig"])[0].view("<u8").reshape(-1, lanes)
+    sigs = np.ascontiguousarray(packed_bytes(t["sig"])[0].view("<u8").reshape(-1, lanes).T)
     raw, size = packed_bytes(t["rest"])
     lens, words = size // 4, raw.view("<i4")
     doc = np.repeat(np.arange(len(ids)), lens)
@@ -297,13 +292,17 @@ def block_arrays(t: pa.Table, lanes: int) -> tuple[np.ndarray, ...]:
 
 
 def similar_enough(a: np.ndarray, b: np.ndarray, ns: np.ndarray, sigs: np.ndarray, threshold: float) -> np.ndarray:
-    """Whether pairs pass the bounds of their sizes and signatures."""
-    na, nb = ns[a].astype(np.int64), ns[b].astype(np.int64)
-    ok = np.minimum(na, nb) >= threshold * np.maximum(na, nb) - 1e-9
-    d = np.zeros(len(a), np.int64)
-    for k in range(sigs.shape[1]):
-        d += np.bitwise_count(sigs[a, k] ^ sigs[b, k])
-    return ok & (d <= max_difference(na, nb, threshold))
+    """Whether pairs pass the bounds of their sizes and signatures; most fail in the first lane already."""
+    na, nb = ns[a], ns[b]
+    most = (na + nb) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    d = np.bitwise_count(sigs[0][a] ^ sigs[0][b])
+    at = np.flatnonzero(d <= most)
+    na, nb, most, d = na[at], nb[at], most[at], d[at].astype(np.int64)
+    for lane in sigs[1:]:
+        d += np.bitwise_count(lane[a[at]] ^ lane[b[at]])
+    out = np.zeros(len(a), bool)
+    out[at[(d <= most) & (np.minimum(na, nb) >= threshold * np.maximum(na, nb) - 1e-9)]] = True
+    return out
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float, a: str = "a", b: str = "b") -> DataFrame:
