@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipfold.llm import lines
-from clipfold.plans.cut import cut
 from clipfold.plans.ship import ship
+from clipfold.plans.small import join_small
 
 #: Half for runs of words, a quarter each for words and for their endings.
 BUCKETS = 1 << 20
@@ -190,9 +190,15 @@ def source_limits(df: DataFrame, source_col: str = "fonte", text_col: str = "res
     return counts.groupBy("src", "unit").applyInArrow(fit, "src string, unit string, lim int, posterior double")
 
 
+def _ending(text: str, words: int = 12) -> str:
+    """The last words of the last line that has any; the evidence looks at no more than four."""
+    line = text.rstrip()
+    return " ".join(line[line.rfind("\n") + 1 :].split()[-words:])
+
+
 def _ending_scores(texts: list[str], table: np.ndarray, tokens: Tokens) -> np.ndarray:
     """Log likelihood ratios, cut against complete, of the texts' last words."""
-    grams, _, last, is_name = _features(texts, tokens)
+    grams, _, last, is_name = _features([_ending(t) for t in texts], tokens)
     out = np.zeros(len(texts))
     ok = last >= 0
     at = last[ok]
@@ -213,7 +219,7 @@ def judge(df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", tex
     limits = source_limits(df, source_col, text_col)
     packed = limits.groupBy("src").agg(F.collect_list(F.struct("unit", "lim", "posterior")).alias("limits"))
     repeated = lines.repeated_lines(df, id_col, source_col, text_col).groupBy("src").agg(F.collect_set("line").alias("bad"))
-    per_source = cut(packed.join(repeated, "src", "full_outer"), "limits")
+    per_source = packed.join(repeated, "src", "full_outer")
     table = ending_counts(base.select("t"))
     kind = base.schema["id"].dataType.simpleString()
     # a last line that follows many different texts is an added one, whatever its source's share
@@ -221,7 +227,7 @@ def judge(df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", tex
         "id", "src", "t", F.element_at("keys", -1).alias("tail"), F.when(F.size("keys") > 1, F.xxhash64(F.slice("keys", 1, F.size("keys") - 1))).alias("rest")
     )
     common = ends.where("rest is not null").groupBy("tail").agg(F.approx_count_distinct("rest").alias("n")).where(F.col("n") >= min_rests).select("tail", F.lit(True).alias("common"))
-    src = ends.join(per_source, "src", "left").join(common, "tail", "left").select(
+    src = join_small(join_small(ends, per_source, "src", "left"), common, "tail", "left").select(
         "id", "src", "t", (F.coalesce(F.array_contains("bad", F.col("tail")), F.lit(False)) | (F.coalesce("common", F.lit(False)) & F.col("rest").isNotNull())).alias("added"),
         F.coalesce(
             F.array_max(F.transform(F.filter("limits", lambda x: F.when(x["unit"] == "char", F.length("t")).otherwise(F.octet_length("t")) == x["lim"]), lambda x: x["posterior"])), F.lit(0.0)
