@@ -13,7 +13,7 @@ from clipfold.functions.text import blank, domain_key, filled, fold
 ORDER = ("run_ord", "feed_ord", "item_id")
 TEXTS = ("area", "grupo", "fonte", "dominio", "titulo", "resumo", "ligacao", "imagem")
 
-#: Dimensions, to be replaced by the user's own.
+#: Suffixes, countries and platforms as defaults, to be replaced by the user's own.
 PORTUGUESE_SUFFIXES = (".pt", ".ao", ".mz", ".cv", ".st", ".gw", ".tl", ".br")
 LUSOPHONE_SUFFIXES = (".ao", ".mz", ".cv", ".st", ".gw", ".tl", ".br")
 COUNTRIES = {".pt": "Portugal", ".ao": "Angola", ".mz": "Moçambique", ".cv": "Cabo Verde", ".st": "São Tomé e Príncipe", ".gw": "Guiné-Bissau", ".tl": "Timor-Leste", ".br": "Brasil", ".es": "Espanha", ".fr": "França", ".de": "Alemanha", ".uk": "Reino Unido", ".eu": "União Europeia"}
