@@ -1,14 +1,14 @@
 """Problem 5: near-duplicate records by a blocked sparse product of the document-by-word incidence matrix.
 
 Columns are words. The product is taken over the columns of each document's head, its rarest words that other documents
-have too: a block holds whole columns, overlaps are accumulated within the block by sorting the words that follow the
-column, and pairs below the bounds of their sizes and bit signatures are discarded before they leave it. The pairs left
-are checked exactly on their whole word sets.
+have too. Heads are as long as the threshold demands (35 % of a document's words at 0.65), so no pair is lost. A block
+holds whole columns; in it, documents meet that have the column's word and one of the words after it. The place of the
+second word bounds the overlap: of a document of n words, it leaves at most those from it on. By that, a document meets
+only those of the sizes that the threshold still allows, which keeps the frequent words at the end of a head from
+meeting all others. Pairs below the bounds of their sizes and bit signatures are discarded before they leave the block;
+the pairs left are checked exactly on their whole word sets.
 
-By ``head=None`` heads are as long as the threshold demands (35 % of a document's words at 0.65), and no pair is lost;
-the product then grows with the square of the frequency of common words. The default keeps the ``HEAD`` rarest shared
-words. A pair can be missed only if more than ``HEAD - 2`` of one document's words are absent from the other and fewer
-than two of their rarest words are common; against brute force over 18,430 items none of 1,661 pairs was.
+``head`` cuts the heads to so many words and then loses pairs whose rarest words aren't common.
 
 Exact copies are one class: only its first document enters the product, and the class is unfolded at the end.
 
@@ -28,31 +28,51 @@ from pyspark.sql import functions as F
 from clipfold.llm import sets
 from clipfold.plans.cut import cut
 
-HEAD = 10
 LANES = 2
 PAIRS_AT_ONCE = 4_000_000
 
 
-def product(threshold: float):
-    """For ``mapInArrow`` over ``sets.by_column``: pairs ``a < b`` that may reach the threshold."""
+def product(threshold: float, places: bool = False):
+    """For ``mapInArrow`` over ``sets.by_column``: pairs ``a < b`` that may reach the threshold.
+
+    ``places``: the rows tell the place of their words in heads that aren't cut.
+    """
+
+    def largest(doc: np.ndarray, ns: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """Up to which size another document can be similar that has the same first two words; ``doc`` rises."""
+        n = ns[doc].astype(np.int64)
+        overlap = n
+        if places:
+            after = left[doc] - (np.arange(len(doc)) - np.searchsorted(doc, np.arange(len(ns)))[doc])
+            overlap = np.maximum(np.ceil(threshold * n - 1e-9).astype(np.int64) - 2, 0) + after + 1
+        return np.floor(overlap * ((1 + threshold) / threshold) - n + 1e-6).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in sets.column_blocks(batches):
-            keys, doc, ids, _, ns, sigs = sets.block_arrays(t, LANES)
+            keys, doc, ids, left, ns, sigs = sets.block_arrays(t.sort_by("n"), LANES, sets.SHORTER if places else "<i4")
+            if not len(keys):
+                continue
+            most = largest(doc, ns, left)
+            order = np.argsort(keys, kind="stable")  # smaller documents first among the same two words
+            keys = keys[order]
+            same = keys[1:] == keys[:-1]
+            met = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            keys, order = keys[met], order[met]
             if not len(keys):
                 continue
-            order = np.argsort(keys, kind="stable")
-            keys, doc = keys[order], doc[order]
-            starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            ends = np.repeat(np.concatenate([starts[1:], [len(keys)]]), np.diff(np.concatenate([starts, [len(keys)]])))
-            follow = ends - np.arange(len(keys)) - 1  # later documents with the same two words
-            total = np.cumsum(follow)
-            found, s = [], 0
-            while s < len(keys):  # in parts, so that memory doesn't follow the frequency of words
+            doc, most = doc[order], most[order]
+            n = ns[doc].astype(np.int64)
+            group = np.cumsum(np.concatenate([[True], keys[1:] != keys[:-1]])) << 32
+            at = np.flatnonzero(most >= n)
+            ends = np.searchsorted(group + n, group[at] + np.minimum(most[at], (1 << 31) - 1), "right")
+            total = np.cumsum(ends - at - 1)
+            found, s = [np.empty(0, np.int64)], 0
+            while s < len(at):  # in parts, so that memory doesn't follow the frequency of words
                 e = max(s + 1, int(np.searchsorted(total, (total[s - 1] if s else 0) + PAIRS_AT_ONCE, "right")))
-                at = np.arange(s, e)
-                which, other = sets.expand(at + 1, ends[s:e])
-                x, y = doc[at[which]], doc[other]
+                which, other = sets.expand(at[s:e] + 1, ends[s:e])
+                which = at[s:e][which]
+                ok = most[other] >= n[which]
+                x, y = doc[which[ok]], doc[other[ok]]
                 ok = sets.similar_enough(x, y, ns, sigs, threshold)
                 found.append(np.unique(x[ok] * len(ids) + y[ok]))
                 s = e
@@ -64,18 +84,19 @@ def product(threshold: float):
     return run
 
 
-def classes(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: float = 0.65, head: int | None = HEAD) -> tuple[DataFrame, DataFrame]:
+def classes(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: float = 0.65, head: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Members (``rep, id``) of the classes of equal word sets, and pairs of classes (``a, b``, their first ids)."""
     words = cut(sets.word_sets(df.select(F.col(id_col).cast("bigint").alias("id"), F.lit(0).alias("run"), text_col).where("id is not null"), ["id", "run"], text_col), "words")
     level = sets.levels(sets.frequencies(words))
     h = sets.heads(words, level, threshold, LANES, head)
     reps = cut(sets.distinct_sets(h), "classes")
     keys = h.select("id", "set_key").join(reps.select("set_key", F.col("id").alias("rep")), "set_key").select("rep", "id").distinct()
-    pairs = cut(sets.by_column(reps, level, threshold, LANES).mapInArrow(product(threshold), "a bigint, b bigint").distinct(), "candidates")
+    places = head is None
+    pairs = cut(sets.by_column(reps, level, threshold, LANES, places).mapInArrow(product(threshold, places), "a bigint, b bigint").distinct(), "candidates")
     return keys, sets.verified(pairs, words, threshold).select("a", "b")
 
 
-def pairs(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: float = 0.65, head: int | None = HEAD) -> DataFrame:
+def pairs(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: float = 0.65, head: int | None = None) -> DataFrame:
     """``id_a < id_b``: all pairs of documents at the threshold, exact copies among them."""
     members, links = classes(df, text_col, id_col, threshold, head)
     members = cut(members, "members")
@@ -84,7 +105,7 @@ def pairs(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: floa
     return copies.union(across).select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 
-def groups(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: float = 0.65, head: int | None = HEAD) -> DataFrame:
+def groups(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: float = 0.65, head: int | None = None) -> DataFrame:
     """``id_col, class_id, n_links``: each document's class of equal word sets, and its links to other classes."""
     members, links = classes(df, text_col, id_col, threshold, head)
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))

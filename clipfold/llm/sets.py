@@ -174,12 +174,15 @@ def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
-def column_rows(level: np.ndarray, threshold: float, lanes: int, cap: int | None = None, hot: int = 20_000):
+def column_rows(level: np.ndarray, threshold: float, lanes: int, cap: int | None = None, hot: int = 20_000, places: bool = False):
     """A function for ``mapInArrow`` from ``id, run, n, sig, head`` rows to rows of the incidence matrix by column.
 
     A column is a word of the head that a pair may share first; its rows carry the words after it. Where a word is in
     more than ``hot`` documents, its column is split by the second shared word, so that no column outgrows a task.
+    With ``places``, ``run`` holds how many words the head has from the first word of ``rest`` on, and words have 16 bits.
     """
+    packed_as = SHORTER if places else "<i4"
+    width = np.dtype(packed_as).itemsize
     hot_level = int(np.ceil(8 * np.log2(hot)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,21 +193,24 @@ def column_rows(level: np.ndarray, threshold: float, lanes: int, cap: int | None
             doc, pos = expand(starts, starts + np.maximum(lens - 1, 0))
             ends = (starts + lens)[doc]
             cool = lv[pos] <= hot_level
-            yield rows(b, words[pos[cool]].astype(np.int64), doc[cool], *expand(pos[cool] + 1, ends[cool]), words)
+            yield rows(b, words[pos[cool]].astype(np.int64), doc[cool], *expand(pos[cool] + 1, ends[cool]), words, (ends - pos - 1)[cool])
             which, second = expand(pos[~cool] + 1, ends[~cool])
             if len(which):
                 col = (words[pos[~cool][which]].astype(np.int64) << 32) ^ words[second] ^ (1 << 62)
-                yield rows(b, col, doc[~cool][which], np.arange(len(second)), second, words)
+                yield rows(b, col, doc[~cool][which], np.arange(len(second)), second, words, ends[~cool][which] - second)
 
-    def rows(b: pa.RecordBatch, col: np.ndarray, doc: np.ndarray, which: np.ndarray, rest: np.ndarray, words: np.ndarray) -> pa.RecordBatch:
-        offsets = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(col)) * 4)]).astype(np.int32)
-        packed = pa.Array.from_buffers(pa.binary(), len(col), [None, pa.py_buffer(offsets), pa.py_buffer(words[rest].astype("<i4").tobytes())])
+    def rows(b: pa.RecordBatch, col: np.ndarray, doc: np.ndarray, which: np.ndarray, rest: np.ndarray, words: np.ndarray, left: np.ndarray) -> pa.RecordBatch:
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(col)) * width)]).astype(np.int32)
+        packed = pa.Array.from_buffers(pa.binary(), len(col), [None, pa.py_buffer(offsets), pa.py_buffer(words[rest].astype(packed_as).tobytes())])
         at = pa.array(doc)
-        return pa.RecordBatch.from_arrays([pa.array(col), *(b.column(k).take(at) for k in range(4)), packed], names=["col", "id", "run", "n", "sig", "rest"])
+        run = pa.array(left.astype(np.int32)) if places else b.column(1).take(at)
+        return pa.RecordBatch.from_arrays([pa.array(col), b.column(0).take(at), run, b.column(2).take(at), b.column(3).take(at), packed], names=["col", "id", "run", "n", "sig", "rest"])
 
     return run
 
 
+#: Words after a column's word where memory counts: those of two sets that fall together only add candidates.
+SHORTER = "<i2"
 COLUMN_SCHEMA = "col bigint, id bigint, run int, n int, sig binary, rest binary"
 
 
@@ -244,10 +250,10 @@ def distinct_sets(h: DataFrame) -> DataFrame:
     return first.select("set_key", "r.*")
 
 
-def by_column(reps: DataFrame, level: np.ndarray, threshold: float, lanes: int) -> DataFrame:
+def by_column(reps: DataFrame, level: np.ndarray, threshold: float, lanes: int, places: bool = False) -> DataFrame:
     """Rows of the incidence matrix, each column whole in one partition and its rows together."""
     src = reps.where(F.size("head") >= 2).select("id", "run", "n", "sig", "head", "head_levels")
-    rows = src.mapInArrow(column_rows(level, threshold, lanes), COLUMN_SCHEMA)
+    rows = src.mapInArrow(column_rows(level, threshold, lanes, places=places), COLUMN_SCHEMA)
     return rows.repartition("col").sortWithinPartitions("col")
 
 
@@ -281,12 +287,12 @@ def packed_bytes(col: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.ascontiguousarray(data), np.diff(offsets).astype(np.int64)
 
 
-def block_arrays(t: pa.Table, lanes: int) -> tuple[np.ndarray, ...]:
+def block_arrays(t: pa.Table, lanes: int, packed_as: str = "<i4") -> tuple[np.ndarray, ...]:
     """``key, doc, ids, runs, ns, sigs`` (a row a lane) of a block: one key for each pair of the column and a word after it."""
     ids, runs, ns, col = (t[c].to_numpy() for c in ("id", "run", "n", "col"))
     sigs = np.ascontiguousarray(packed_bytes(t["sig"])[0].view("<u8").reshape(-1, lanes).T)
     raw, size = packed_bytes(t["rest"])
-    lens, words = size // 4, raw.view("<i4")
+    lens, words = size // np.dtype(packed_as).itemsize, raw.view(packed_as)
     doc = np.repeat(np.arange(len(ids)), lens)
     return mix(col[doc].view(np.uint64), words.astype(np.int64).view(np.uint64)), doc, ids, runs, ns, sigs
 

@@ -54,6 +54,27 @@ def test_near_duplicates_are_exact_with_whole_heads(spark):
     assert got <= want and len(got) >= 0.99 * len(want)
 
 
+def test_pairs_whose_rarest_words_differ_are_found(spark):
+    common, odd = [f"c{k}" for k in range(50)], [f"a{k}" for k in range(10)]
+    data = [(1, " ".join(common + odd), "x", 1), (2, " ".join([*common, "b0", "b1"]), "x", 1), (3, " ".join([*odd, "b0", "b1"]), "x", 1)]
+    data += [(10 + k, " ".join([*common[k : k + 30], *(f"f{k}w{j}" for j in range(30))]), "x", 1) for k in range(0, 20)]
+    assert [tuple(r) for r in neardup.pairs(spark.createDataFrame(data, DOC), "texto").collect() if r.id_b < 10] == [(1, 2)]
+
+
+def test_places_lose_nothing_at_any_size(spark):
+    r = random.Random(9)
+    data, k = [], 0
+    for _ in range(60):
+        t = r.sample(WORDS + [f"q{j}" for j in range(200)], r.randint(2, 60))
+        for _ in range(5):
+            drop = r.randint(0, max(0, len(t) // 3))
+            data.append((k, " ".join(r.sample(t, len(t) - drop) + [f"q{r.randrange(200)}" for _ in range(r.randint(0, len(t) // 6))]), "x", 1))
+            k += 1
+    w = {i: words(t) for i, t, *_ in data}
+    want = {(a, b) for a in w for b in w if a < b and jaccard(w[a], w[b]) >= 0.65}
+    assert len(want) > 150 and {tuple(p) for p in neardup.pairs(spark.createDataFrame(data, DOC), "texto").collect()} == want
+
+
 def test_groups_of_copies(spark):
     data = [(k, "um dois três quatro cinco seis sete oito", "x", 1) for k in range(30)] + [(50, "um dois três quatro cinco seis sete nove", "x", 1), (60, "outra coisa", "x", 1)]
     got = {r.item_id: (r.class_id, r.n_links) for r in neardup.groups(spark.createDataFrame(data, DOC), "texto").collect()}
@@ -85,6 +106,15 @@ def brute_repeats(data, names=("Jornal X",)):
     return {(f, i) for i, f in out.items()}
 
 
+def test_hot_columns_keep_their_places(spark):
+    base = sets.word_sets(spark.createDataFrame([(k, 0, f"a b c d e f g h {WORDS[k % 40]}") for k in range(300)], "id bigint, run int, t string"), ["id", "run"], "t")
+    level = sets.levels(sets.frequencies(base))
+    reps = sets.distinct_sets(sets.heads(base, level, 0.65, 2)).select("id", "run", "n", "sig", "head", "head_levels")
+    rows = reps.mapInArrow(sets.column_rows(level, 0.65, 2, hot=10, places=True), sets.COLUMN_SCHEMA)
+    got = rows.repartition("col").sortWithinPartitions("col").mapInArrow(neardup.product(0.65, True), "a bigint, b bigint").distinct()
+    assert got.count() == 40 * 39 // 2
+
+
 def test_history_against_brute_force(spark):
     t = texts(260, 5, 3, 12)
     r = random.Random(2)
