@@ -6,8 +6,8 @@ value at the limit is censored is then combined with evidence of its ending: mar
 often the corpus ends a sentence after the same last words. The counts behind that evidence cover all texts and fill
 tables of fixed size.
 
-Cases: null and empty texts are none; texts that end in a stop, a quotation, a credit or one of their source's repeated
-lines are complete unless their length says otherwise; rows of no source are one source without limits; very long texts
+Cases: null and empty texts are none; texts that end in a stop, a quotation, a credit, one of their source's repeated
+lines or a line that is whole wherever it is begun are complete unless their length says otherwise; rows of no source are one source without limits; very long texts
 and repeated rows are judged like others; an empty table gives an empty table; other columns are ignored.
 """
 
@@ -213,7 +213,30 @@ def _ending_scores(texts: list[str], table: np.ndarray, tokens: Tokens) -> np.nd
     return out
 
 
-def judge(df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", text_col: str = "resumo", prior: float = 0.03, min_rests: int = 5) -> DataFrame:
+#: Characters by which lines meet the last lines that may begin them.
+_KEY = 8
+
+
+def whole_lines(texts: DataFrame, min_rests: int, least_whole: float) -> DataFrame:
+    """``tail``: identifiers of last lines of ``texts`` (``t``) that follow ``min_rests`` different texts and are added ones.
+
+    Of the different texts with a line that begins with the same characters, ``least_whole`` have it as a whole line. What a cut
+    left of a line is begun by many longer ones, however often it is found.
+    """
+    parts = F.split(lines.line_key_lines(F.regexp_replace("t", r"(?U)\s+$", "")), "\n", -1)
+    many = texts.where(F.col("t").contains("\n")).select(F.xxhash64("t").alias("text"), F.transform(parts, F.trim).alias("parts")).where(F.size("parts") > 1)
+    last = many.select(F.element_at("parts", -1).alias("line"), F.xxhash64(F.slice("parts", 1, F.size("parts") - 1)).alias("rest")).where("line <> ''")
+    may = last.groupBy("line").agg(F.approx_count_distinct("rest").alias("n")).where(F.col("n") >= min_rests).select("line", F.substring("line", 1, _KEY).alias("key"))
+    begun = many.select("text", F.explode(F.slice("parts", 2, F.size("parts") - 1)).alias("found")).where("found <> ''")
+    keyed = begun.select("text", "found", F.explode(F.array_distinct(F.array(*[F.substring("found", 1, k) for k in range(1, _KEY + 1)]))).alias("key"))
+    met = join_small(keyed, may, "key").where(F.col("found").startswith(F.col("line")))
+    counts = met.groupBy("line").agg(F.approx_count_distinct("text").alias("n"), F.approx_count_distinct(F.when(F.col("found") == F.col("line"), F.col("text"))).alias("n_whole"))
+    return counts.where(F.col("n_whole") >= least_whole * F.col("n")).select(F.xxhash64("line").alias("tail"))
+
+
+def judge(
+    df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", text_col: str = "resumo", prior: float = 0.03, min_rests: int = 5, least_whole: float = 0.5
+) -> DataFrame:
     """``id_col, src, posterior``: of each text, that it was cut off."""
     base = df.select(F.col(id_col).alias("id"), lines.source_key(source_col).alias("src"), F.col(text_col).alias("t")).where("t <> ''")
     limits = source_limits(df, source_col, text_col)
@@ -222,16 +245,16 @@ def judge(df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", tex
     per_source = packed.join(repeated, "src", "full_outer")
     table = ending_counts(base.select("t"))
     kind = base.schema["id"].dataType.simpleString()
-    # a last line that follows many different texts is an added one, whatever its source's share
     ends = base.withColumn("keys", lines.line_ids(F.regexp_replace("t", r"(?U)\s+$", ""))).select(
-        "id", "src", "t", F.element_at("keys", -1).alias("tail"), F.when(F.size("keys") > 1, F.xxhash64(F.slice("keys", 1, F.size("keys") - 1))).alias("rest")
+        "id", "src", "t", F.element_at("keys", -1).alias("tail"), F.size("keys").alias("n_lines")
     )
-    common = ends.where("rest is not null").groupBy("tail").agg(F.approx_count_distinct("rest").alias("n")).where(F.col("n") >= min_rests).select("tail", F.lit(True).alias("common"))
+    common = whole_lines(base, min_rests, least_whole).select("tail", F.lit(True).alias("common"))
     src = join_small(join_small(ends, per_source, "src", "left"), common, "tail", "left").select(
-        "id", "src", "t", (F.coalesce(F.array_contains("bad", F.col("tail")), F.lit(False)) | (F.coalesce("common", F.lit(False)) & F.col("rest").isNotNull())).alias("added"),
+        "id", "src", "t", F.coalesce(F.array_contains("bad", F.col("tail")), F.lit(False)).alias("added"),
         F.coalesce(
             F.array_max(F.transform(F.filter("limits", lambda x: F.when(x["unit"] == "char", F.length("t")).otherwise(F.octet_length("t")) == x["lim"]), lambda x: x["posterior"])), F.lit(0.0)
         ).alias("at_limit"),
+        (F.coalesce("common", F.lit(False)) & (F.col("n_lines") > 1)).alias("common"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,6 +262,7 @@ def judge(df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", tex
         for b in batches:
             texts = b.column(2).to_pylist()
             added, at_limit = b.column(3).to_numpy(zero_copy_only=False), b.column(4).to_numpy()
+            common = b.column(5).to_numpy(zero_copy_only=False)
             score = _ending_scores(texts, table, tokens)
             for k, t in enumerate(texts):
                 if added[k]:
@@ -247,6 +271,8 @@ def judge(df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", tex
                     score[k] = 9.0
                 elif MARK.search(t):
                     score[k] = 9.0
+                elif common[k]:
+                    score[k] = -9.0
                 elif t.rstrip()[-1:] in (",", ";", "-") and t.rstrip()[-1:]:
                     score[k] = 6.5
                 elif CREDIT.search(t[-120:]):

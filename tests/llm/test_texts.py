@@ -112,6 +112,18 @@ def test_truncation_edges(spark):
     assert truncation.truncated(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_short_ends_of_cut_lines_are_no_added_lines(spark):
+    say = "O conselho aprovou a venda da ponte {} da vila {} de Velmora."
+    letters = [chr(97 + k // 26) + chr(97 + k % 26) for k in range(300)]
+    data = [(k, f"F{k % 3}", say.format("velha", x) + f"\nAinda assim, a população {x} foi {'muito ' * (k // 6)}avisada pela rádio.", "x") for k, x in enumerate(letters)]
+    data += [(400 + k, "F0", say.format("nova", x) + "\nAinda", "x") for k, x in enumerate(letters[:4])] + [(410 + k, "F1", say.format("nova", x) + "\nAinda ass", "x") for k, x in enumerate(letters[:4])]
+    data += [(420 + k, "F2", say.format("nova", x) + "\nAinda", "x") for k, x in enumerate(letters[4:8])] + [(430 + k, "F2", say.format("nova", x) + "\nAinda ass", "x") for k, x in enumerate(letters[4:8])]
+    data += [(500 + 10 * f + k, f"F{f}", say.format("antiga", x) + "\nFotografia de arquivo", "x") for f in range(3) for k, x in enumerate(letters[4 * f : 4 * f + 4])]
+    data += [(600 + k, f"F{k % 3}", say.format("azul", x) + "\nVer o resto [...]", "x") for k, x in enumerate(letters[:9])]
+    got = {r.item_id for r in truncation.truncated(spark.createDataFrame(data, "item_id bigint, fonte string, resumo string, line string")).collect()}
+    assert got == {i for i, *_ in data if 400 <= i < 500 or i >= 600}
+
+
 BAD = [
     "Título\n\nTexto: {{ autor }}", "Preço de ${valor} euros", "a %%titulo%% b", "<%= titulo %>", "em [INSERIR localidade] hoje", "<NOME aqui>", "{% block x %}", "#DATA_PUBLICACAO#", "(completar autor)",
     "Lorem ipsum dolor sit amet", "bla bla bla bla bla", "Parágrafo de teste, apagar antes de publicar.", "TODO TODO Texto de exemplo para preencher a coluna.", "404 Not Found", "HTTP 504 - Gateway Time-out", "HTTP 502 - Bad Gateway", "HTTP 400 - Bad Request", "HTTP 410 - Gone", "HTTP 403 - Forbidden",
