@@ -6,7 +6,7 @@ about as near. The centroids are clustered from a bounded sample of labelled row
 centroids themselves in rounds.
 
 Cases: null and empty texts have no segment and no language; segments of fewer than ``MIN_WORDS`` words, lines that a
-publication adds to many different texts and rejected segments don't speak for a language; capitals, missing accents and
+publication adds to many different texts (segments without a language) and rejected segments don't speak for a language; capitals, missing accents and
 garbled letters only weaken a vector; very long texts are cut into sentences like others; rows repeated under several
 ids are judged alike; an empty table or one without labels gives an empty table; other columns are ignored.
 """
@@ -24,7 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipfold.llm import lines
+from clipfold.plans.cut import cut
 from clipfold.plans.ship import ship
+from clipfold.plans.small import join_small
 
 LANGS = ("pt", "es", "fr", "en", "de")
 DIMS, CENTROIDS, ROUNDS = 512, 3, 3
@@ -35,8 +37,6 @@ MIN_WORDS, CACHE_WORDS = 5, 60_000
 NAME_WEIGHT = 0.2
 #: Confidence that a segment in another language than most of its item needs.
 ODD_CONFIDENCE = 0.9
-#: Bits of the table of added lines, and of 64 classes of texts how many a line must occur in to count as added.
-LINE_BITS, LINE_CLASSES = 1 << 22, 8
 SENTENCE = re.compile(r"(?<=[.!?…])[\"'”»’)]*\s+(?=[\"'“«„‘(¿¡]?\w)")
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 
@@ -48,14 +48,15 @@ def base_label(c: Column | str) -> Column:
     return F.when(~tag.isin("", "und"), tag)
 
 
-def segments(title: str | None, text: str | None, skip: np.ndarray | None = None) -> list[tuple[str, str]]:
-    """``(field, segment)``: the title and the sentences of each line that isn't an added one."""
-    out = [("titulo", title)] if title else []
+def segments(title: str | None, text: str | None, skip: list[bool] | None = None) -> list[tuple[str, str, bool]]:
+    """``(field, segment, added)``: the title and the sentences of each line, and whether ``skip`` tells the line to be an added one."""
+    out = [("titulo", title, False)] if title else []
     if text:
         for k, line in enumerate(text.split("\n")):
-            if (skip is not None and k < len(skip) and skip[k]) or not line.strip():
+            if not line.strip():
                 continue
-            out += [("resumo", s) for s in SENTENCE.split(line) if s]
+            added = bool(skip and k < len(skip) and skip[k])
+            out += [("resumo", s, added) for s in SENTENCE.split(line) if s]
     return out
 
 
@@ -152,7 +153,7 @@ def fit(sample: list[tuple[str, str | None, str | None]], langs: tuple[str, ...]
     texts, labels = [], []
     for label, title, text in sample:
         if label in langs:
-            for _, s in segments(title, text):
+            for _, s, _ in segments(title, text):
                 if len(WORD.findall(s)) >= MIN_WORDS:
                     texts.append(s)
                     labels.append(label)
@@ -193,48 +194,58 @@ def train(df: DataFrame, id_col: str, title_col: str, text_col: str, label_col:
     return fit([(r.label, r.t, r.x) for r in near.orderBy("h").limit(rows).collect()])
 
 
-def added_lines(df: DataFrame, title_col: str, text_col: str) -> np.ndarray:
-    """Bits, by the identifier of a line, of lines found under many different titles. Of a fixed size."""
-    cls = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{title_col}`), 64) as int))")
-    keys = df.where(F.col(text_col).contains("\n")).select(F.explode(F.array_distinct(lines.line_ids(F.col(text_col)))).alias("k"), cls.alias("c"))
-    many = keys.where(F.col("k") != lines.EMPTY).groupBy("k").agg(F.bit_or("c").alias("c")).where(F.bit_count("c") >= LINE_CLASSES)
-    at = many.select(F.pmod("k", F.lit(LINE_BITS)).cast("int").alias("b")).distinct().toArrow()["b"].to_numpy()
-    bits = np.zeros(LINE_BITS, bool)
-    bits[at] = True
-    return np.packbits(bits)
+def _source(df: DataFrame, source_col: str) -> Column:
+    return F.coalesce(lines.source_key(source_col), F.lit("")) if source_col in df.columns else F.lit("")
 
 
-def judge(df: DataFrame, id_col: str = "item_id", title_col: str = "titulo", text_col: str = "resumo", label_col: str = "idioma") -> DataFrame:
-    """``id_col, label, segs``: each item's segments with ``campo, no, lang, confidence``; rejected segments have no language."""
+def added_lines(df: DataFrame, source_col: str, text_col: str, min_texts: int = 5, min_share: float = 0.05) -> DataFrame:
+    """``src, bad``: identifiers of the lines that a source adds to ``min_texts`` and ``min_share`` of its different texts.
+
+    Texts count as different for a line by the smallest and the largest identifier of their other lines, so that a story
+    archived many times counts once for its lines, whatever its titles.
+    """
+    texts = df.select(_source(df, source_col).alias("src"), F.col(text_col).alias("t")).where("t <> ''")
+    sizes = texts.groupBy("src").agg(F.approx_count_distinct(F.xxhash64("t")).alias("n_src"))
+    need = F.greatest(F.lit(float(min_texts)), F.col("n_src") * min_share - 1e-9)
+    ids = F.array_sort(F.array_distinct(F.filter(lines.line_ids(F.col("t")), lambda k: k != lines.EMPTY)))
+    many = cut(texts.where(F.col("t").contains("\n")).select("src", ids.alias("ids")).where(F.size("ids") > 1), "text-lines")
+    often = many.select("src", F.explode("ids").alias("line")).groupBy("src", "line").agg(F.count("*").alias("n"))
+    may = join_small(often, sizes, "src").where(F.col("n") >= need).select("src", "line", "n_src")
+    low = F.when(F.col("line") == F.col("ids")[0], F.col("ids")[1]).otherwise(F.col("ids")[0])
+    high = F.when(F.col("line") == F.element_at("ids", -1), F.element_at("ids", -2)).otherwise(F.element_at("ids", -1))
+    met = join_small(many.select("src", "ids", F.explode("ids").alias("line")), may, ["src", "line"])
+    counts = met.groupBy("src", "line", "n_src").agg(F.approx_count_distinct(low).alias("low"), F.approx_count_distinct(high).alias("high"))
+    return counts.where(F.greatest("low", "high") >= need).groupBy("src").agg(F.collect_set("line").alias("bad"))
+
+
+def judge(df: DataFrame, id_col: str = "item_id", title_col: str = "titulo", text_col: str = "resumo", label_col: str = "idioma", source_col: str = "fonte") -> DataFrame:
+    """``id_col, label, segs``: each item's segments with ``campo, no, lang, confidence``; rejected segments and added lines have no language."""
     model = train(df, id_col, title_col, text_col, label_col)
-    packed = added_lines(df, title_col, text_col)
-    src = df.select(F.col(id_col), base_label(label_col).alias("label"), F.col(title_col), F.col(text_col), lines.line_ids(F.col(text_col)).alias("keys"))
+    items = df.select(F.col(id_col), base_label(label_col).alias("label"), F.col(title_col).alias("title"), F.col(text_col).alias("text"), _source(df, source_col).alias("src"))
+    skip = F.when(F.col("bad").isNotNull() & F.col("text").contains("\n"), F.transform(lines.line_ids(F.col("text")), lambda k: F.array_contains("bad", k)))
+    src = join_small(items, added_lines(df, source_col, text_col), "src", "left").select(id_col, "label", "title", "text", skip.alias("skip"))
     kind = src.schema[0].dataType.simpleString()
     schema = f"`{id_col}` {kind}, label string, segs array<struct<campo:string,no:int,lang:string,confidence:double,chars:int>>"
     out_type = pa.list_(pa.struct([("campo", pa.string()), ("no", pa.int32()), ("lang", pa.string()), ("confidence", pa.float64()), ("chars", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        added = np.unpackbits(packed)
         for b in batches:
-            titles, texts = b.column(2).to_pylist(), b.column(3).to_pylist()
-            keys = b.column(4)
-            flat = keys.flatten().to_numpy(zero_copy_only=False)
-            bad = added[np.mod(flat, LINE_BITS)].astype(bool)
-            lens = np.array([0 if n is None else n for n in (keys.value_lengths().to_pylist())])
-            at = np.cumsum(lens) - lens
-            found = [segments(t, x, bad[at[i] : at[i] + lens[i]]) for i, (t, x) in enumerate(zip(titles, texts))]
-            every = [s for f in found for _, s in f]
-            lang, conf = model.judge(every) if model is not None else (np.full(len(every), -1), np.zeros(len(every)))
+            titles, texts, skips = (b.column(k).to_pylist() for k in (2, 3, 4))
+            found = [segments(t, x, skip) for t, x, skip in zip(titles, texts, skips)]
+            speaks = np.array([not added for f in found for *_, added in f], bool)
+            lang, conf = np.full(len(speaks), -1), np.zeros(len(speaks))
+            if model is not None:
+                lang[speaks], conf[speaks] = model.judge([s for f in found for _, s, added in f if not added])
             segs, k = [], 0
             for f in found:
                 row, chars = [], Counter()
-                for j, (_, s) in enumerate(f, k):
+                for j, (_, s, _) in enumerate(f, k):
                     chars[lang[j]] += len(s) * (lang[j] >= 0)
                 main = max(chars, key=chars.get, default=-1)
                 for j in range(k, k + len(f)):  # another language than the rest's needs more evidence
                     if lang[j] != main and conf[j] < ODD_CONFIDENCE:
                         lang[j], conf[j] = -1, 0.0
-                for no, (campo, s) in enumerate(f):
+                for no, (campo, s, _) in enumerate(f):
                     row.append({"campo": campo, "no": no, "lang": model.langs[lang[k]] if lang[k] >= 0 else None, "confidence": float(conf[k]), "chars": len(s)})
                     k += 1
                 segs.append(row)

@@ -83,6 +83,19 @@ def test_language_edges(spark):
     assert language.wrong_labels(spark.createDataFrame(data[30:], schema)).count() == 0  # no label to learn from
 
 
+def test_a_story_archived_under_many_titles_keeps_its_language(spark):
+    schema = "item_id bigint, fonte string, titulo string, resumo string, idioma string"
+    say = "O tribunal da comarca adiou a venda da ponte velha do bairro {}."
+    names = [chr(97 + k // 26) + chr(97 + k % 26) for k in range(60)]
+    data = [(k, "A", f"A população foi avisada de manhã {x}", say.format(x) + "\nLeia a versão completa no nosso sítio da rede", "pt") for k, x in enumerate(names)]
+    story = "Os moradores pedem mais garantias e admitem recorrer.\nNão há memória de um prejuízo assim na vila."
+    data += [(100 + k, "A", f"Título {x}", story, None) for k, x in enumerate(names[:40])]
+    df = spark.createDataFrame(data, schema)
+    assert {tuple(r) for r in language.wrong_labels(df).collect()} == {(100 + k, "pt") for k in range(40)}
+    segs = {(r.item_id, r.no): r.lang for r in language.labels(df).where("campo = 'resumo'").collect()}
+    assert segs[0, 1] == "pt" and segs[0, 2] is None and segs[100, 1] == segs[100, 2] == "pt"
+
+
 def test_cuts_are_found(spark, archive):
     whole = archive.where("resumo rlike '[a-z][.]$' and length(resumo) > 150").select("item_id", "fonte", "resumo").orderBy("item_id").collect()
     rows = [(r.item_id, r.fonte, r.resumo[:100] if r.item_id % 10 == 0 else r.resumo) for r in whole]
