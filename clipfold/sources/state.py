@@ -9,19 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipfold.functions.dates import parse_minute
+from clipfold.functions.dates import MONTHS, parse_minute
 from clipfold.functions.text import blank
 from clipfold.operators import merge
-from clipfold.plans.cut import cut
+from clipfold.plans.cut import cut, file_system
 
 ITEM = "area string, grupo string, data string, fonte string, dominio string, titulo string, resumo string, ligacao string, palavras array<string>, imagem string"
 SERIES = "data string, areas map<string, struct<noticias:bigint, novas:bigint, fontes:bigint, origens:map<string,bigint>, palavras:map<string,bigint>>>"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p, fs = file_system(spark, path)
+    return fs.exists(p)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str, reader=None, on_corrupt: str = "raise") -> DataFrame:
@@ -56,9 +55,9 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(doc).json(path, multiLine=True).select(F.inline("dias")).withColumn("data", F.to_date("data"))
 
 
-def _plain(items: DataFrame) -> DataFrame:
+def _plain(items: DataFrame, *more: str) -> DataFrame:
     cols = [c.strip().split(" ")[0] for c in ITEM.split(",") if c.strip().split(" ")[0] in items.columns or c.strip().startswith("data")]
-    return items.withColumn("data", F.date_format("ts", "yyyy-MM-dd HH:mm") if "ts" in items.columns else F.col("data")).select(*cols)
+    return items.withColumn("data", F.date_format("ts", "yyyy-MM-dd HH:mm") if "ts" in items.columns else F.col("data")).select(*cols, *more)
 
 
 def write_items(items: DataFrame, path: str) -> None:
@@ -85,27 +84,44 @@ def series_document(nested: DataFrame, made: datetime, most: int = 20_000) -> st
     return json.dumps({"atualizado": made.strftime("%Y-%m-%d %H:%M"), "dias": [json.loads(r) for r in rows]}, ensure_ascii=False)
 
 
-def append_months(items: DataFrame, path: str) -> DataFrame:
+def append_months(items: DataFrame, path: str, parts: int = 8) -> DataFrame:
     """Add items to the permanent archive (gzip JSON Lines by month of publication) whose area and title it doesn't have.
 
-    Only months that gain rows are rewritten. Returns the rows that were new.
+    Files are only ever added, to the months that gain rows, ``parts`` at most to a month; a run that is repeated finds its
+    rows there and adds none. Returns the rows that were new.
     """
     spark = items.sparkSession
     dated = items.where("ts is not null").withColumn("mes", F.date_format("ts", "yyyy-MM"))
-    new = _plain(dated).withColumn("mes", F.substring("data", 1, 7))
-    months = [r.mes for r in new.select("mes").distinct().limit(10_000).collect()]  # months, bounded by the calendar
-    old = read_or_empty(spark, path, ITEM + ", mes string", lambda p: spark.read.schema(ITEM + ", mes string").json(p)).where(F.col("mes").isin(months))
+    new = _plain(dated, "mes")
+    old = read_or_empty(spark, path, ITEM + ", mes string", lambda p: spark.read.schema(ITEM + ", mes string").json(p))
+    old = old.join(F.broadcast(new.select("mes").distinct()), "mes", "left_semi")  # months of one run, bounded by the calendar; prunes partitions
     key = lambda df: df.withColumn("__t", F.lower(blank("titulo"))).withColumn("__a", blank("area"))
-    fresh = cut(merge.append_new(key(old), key(new), ["mes", "__a", "__t"]).drop("__t", "__a"), "months")  # before the months change
-    gained = fresh.select("mes").distinct()
-    both = old.join(F.broadcast(gained), "mes", "left_semi").unionByName(fresh.select(*old.columns))  # months
-    staged = f"{path.rstrip('/')}__next"
-    both.repartition("mes").sortWithinPartitions("mes", F.desc("data")).write.mode("overwrite").option("compression", "gzip").partitionBy("mes").json(staged)
-    out = spark.read.schema(ITEM + ", mes string").json(staged)
-    out.write.mode("overwrite").option("compression", "gzip").option("partitionOverwriteMode", "dynamic").partitionBy("mes").json(path)
+    fresh = cut(merge.append_new(key(old), key(new), ["mes", "__a", "__t"]).drop("__t", "__a"), "months")
+    spread = fresh.repartition("mes", F.pmod(F.xxhash64("area", "titulo"), F.lit(parts)))
+    spread.sortWithinPartitions("mes", F.desc("data")).write.mode("append").option("compression", "gzip").partitionBy("mes").json(path)
     return fresh
 
 
+def long_stamp(moment: datetime) -> str:
+    """A time in words, as documents for people carry it."""
+    return f"{moment.day} de {MONTHS[moment.month - 1]} de {moment.year}, {moment:%Hh%M}"
+
+
+def snapshot(items: DataFrame, made: datetime, window: str, origin: str, most: int = 200_000) -> str:
+    """The document of one run: a header with its time in words, its origin and window, and all items."""
+    return document(items, made, {"gerado": long_stamp(made), "origem": origin, "periodo": window or "sem limite"}, most)
+
+
+def put(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write one small file, wherever ``path`` is."""
+    p, fs = file_system(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+
+
 def parse_items(raw: DataFrame) -> DataFrame:
     """Persisted items with ``ts`` in place of ``data``."""
     return raw.withColumn("ts", parse_minute("data")).drop("data")

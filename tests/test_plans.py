@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from clipfold.plans import cut, small
 
 
@@ -19,3 +21,21 @@ def test_small_sides_join_alike_whatever_their_size(spark):
         assert sorted(map(tuple, small.join_small(a, b, "k", "left", most).collect()), key=str) == want
     plan = small.join_small(a, b, "k")._jdf.queryExecution().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://x:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        cut.shared_dir(Session())
