@@ -40,14 +40,17 @@ def long_date(c: Column | str) -> Column:
 
 
 def _spelled(d: Column) -> Column:
-    return F.concat_ws(" de ", F.dayofmonth(d).cast("string"), F.element_at(F.array(*map(F.lit, MONTHS)), F.month(d)), F.year(d).cast("string"))
+    return F.concat_ws(" de ", F.dayofmonth(d).cast("string"), month_name(d), F.year(d).cast("string"))
 
 
 def day_label(c: Column | str, as_of: datetime) -> Column:
-    """``Hoje``, a weekday with its date, or ``Sem data``."""
+    """``Hoje``, the day and month, or ``Sem data``."""
     d = col(c).cast("date")
-    name = F.element_at(F.array(*map(F.lit, WEEKDAYS)), F.weekday(d) + 1)
-    return F.when(d.isNull(), "Sem data").when(d == F.lit(as_of.date()), "Hoje").otherwise(F.concat(name, F.lit(", "), long_date(d)))
+    return F.when(d.isNull(), "Sem data").when(d == F.lit(as_of.date()), "Hoje").otherwise(F.concat_ws(" de ", F.dayofmonth(d).cast("string"), month_name(d)))
+
+
+def month_name(d: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, MONTHS)), F.month(d))
 
 
 def auto_window_hours(day: Column | str) -> Column:
@@ -80,3 +83,13 @@ def period_end(c: Column | str, by: str) -> Column:
 
 
 STEPS = {"day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAYS", "month": "INTERVAL 1 MONTH", "quarter": "INTERVAL 3 MONTHS", "year": "INTERVAL 1 YEAR"}
+
+
+def first_report(moment: Column | str, hour: int = 10) -> Column:
+    """When the first report comes, in words: this morning, tomorrow, or the weekday."""
+    m = col(moment)
+    day = next_report_day(m, hour)
+    ahead = F.date_diff(day, m.cast("date"))
+    name = F.element_at(F.array(*map(F.lit, WEEKDAYS)), F.weekday(day) + 1)
+    at_hour = f", às {hour:02d}h00"
+    return F.when(ahead == 0, "ainda esta manhã" + at_hour).when(ahead == 1, "a partir de amanhã" + at_hour).otherwise(F.concat(F.lit("a partir de "), name, F.lit(at_hour)))

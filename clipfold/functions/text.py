@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import html
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -46,8 +48,14 @@ def slug(c: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(fold(c), r"[^a-z0-9]+", "_"), r"^_+|_+$", "")
 
 
-#: Named entities resolved in running text, the ampersand last.
-ENTITIES = {"&nbsp;": " ", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&lt;": "<", "&gt;": ">", "&hellip;": "…", "&ndash;": "–", "&mdash;": "—", "&laquo;": "«", "&raquo;": "»", "&copy;": "©", "&middot;": "·", "&amp;": "&"}
+def unescape(c: Column | str) -> Column:
+    """Named and numeric entities as their characters, by the full table of HTML. Only texts with an ampersand go to Python."""
+
+    @F.pandas_udf("string")
+    def resolved(texts: pd.Series) -> pd.Series:
+        return texts.map(html.unescape, na_action="ignore")
+
+    return F.coalesce(resolved(F.when(F.contains(col(c), F.lit("&")), col(c))), col(c))
 
 
 def squeeze(c: Column | str) -> Column:
@@ -56,10 +64,7 @@ def squeeze(c: Column | str) -> Column:
 
 def clean_html(c: Column | str) -> Column:
     """Tags become spaces first, then entities are resolved (escaped tags so survive), then white space is squeezed."""
-    out = F.regexp_replace(col(c), "<[^>]+>", " ")
-    for name, ch in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(ch))
-    return squeeze(out)
+    return squeeze(unescape(F.regexp_replace(col(c), "<[^>]+>", " ")))
 
 
 def title_without_source(title: Column | str) -> Column:
@@ -81,8 +86,12 @@ def split_title(title: Column | str, source: Column | str) -> tuple[Column, Colu
     return F.when(has & ((s == "") | known), title_without_source(t)).otherwise(t), F.when(has & (s == ""), tail).otherwise(s)
 
 
+#: Fixed value: what stays of a text when it is compared with its title.
+COMPARED = "[^a-z0-9áàâãéêíóôõúç ]"
+
+
 def _bare(c: Column) -> Column:
-    return F.regexp_replace(F.lower(c), "[^a-z0-9áàâãéêíóôõúç ]", "")
+    return F.trim(F.regexp_replace(F.lower(c), COMPARED, ""))
 
 
 def summary_unless_title(summary: Column | str, title: Column | str, first: int = 45) -> Column:
@@ -116,21 +125,32 @@ def host(url: Column | str) -> Column:
     return F.regexp_extract(blank(url), "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
 
 
-def plausible_url(url: Column | str, foreign: tuple[str, ...] = ("google.", "gstatic.", "youtube."), least: int = 24) -> Column:
+# Addresses that belong to the aggregator and not to a publication, endings of images, characters of an
+# address in a link's payload.
+FOREIGN = ("google.com", "google.pt", "gstatic.com", "googleusercontent.com", "googleapis.com", "policies.google", "accounts.google", "consent.google")
+IMAGE = r"(?i)\.(png|jpe?g|gif|webp|svg|ico|bmp)(\?|#|$)"
+ADDRESS = r"https?://[A-Za-z0-9\-._~:/?#\[\]@!$&'()*+,;=%]{20,}"
+AGGREGATOR = "news.google.com"
+
+
+def plausible_url(url: Column | str, foreign: tuple[str, ...] = FOREIGN, least: int = 24) -> Column:
     """An http address of some length that is neither of a foreign service nor an image."""
     u = blank(url)
-    ok = u.rlike("^https?://") & (F.length(u) >= least) & ~u.rlike(r"(?i)\.(png|jpe?g|gif|webp|svg|ico|bmp)(\?|#|$)")
+    ok = u.rlike("(?i)^https?://") & (F.length(u) >= least) & ~u.rlike(IMAGE)
     for name in foreign:
         ok = ok & ~F.contains(u, F.lit(name))
     return ok
 
 
-def redirect_target(url: Column | str) -> Column:
-    """The address inside the base64url payload of an aggregator's link; the link itself without one."""
-    payload = F.regexp_extract(blank(url), r"/articles/([A-Za-z0-9_=-]+)", 1)
-    padded = F.rpad(F.translate(F.regexp_replace(payload, "=+$", ""), "-_", "+/"), (F.ceil(F.length(F.regexp_replace(payload, "=+$", "")) / 4) * 4).cast("int"), "=")
-    inner = F.regexp_extract(F.decode(F.unbase64(padded), "ISO-8859-1"), r"(https?://[\x21-\x7e]+)", 1)
-    return F.when((payload != "") & plausible_url(inner), inner).otherwise(url if isinstance(url, Column) else F.col(url))
+def redirect_target(url: Column | str, aggregator: str = AGGREGATOR) -> Column:
+    """The first plausible address inside the base64url payload of an ``aggregator``'s link; else the link itself."""
+    link = col(url)
+    payload = F.substring_index(F.substring_index(link, "/articles/", -1), "?", 1)
+    body = F.translate(F.regexp_replace(payload, "[^A-Za-z0-9_-]", ""), "-_", "+/")
+    padded = F.rpad(body, (F.ceil(F.length(body) / 4) * 4).cast("int"), "=")
+    inner = F.decode(F.try_to_binary(padded, F.lit("base64")), "ISO-8859-1")
+    found = F.filter(F.regexp_extract_all(inner, F.lit(ADDRESS), F.lit(0)), lambda u: plausible_url(u))
+    return F.when(F.contains(link, F.lit(aggregator)), F.coalesce(F.try_element_at(found, F.lit(1)), link)).otherwise(link)
 
 
 def damaged(title: Column | str, summary: Column | str, source: Column | str, link: Column | str) -> Column:

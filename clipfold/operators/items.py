@@ -8,17 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipfold.functions.dates import at, parse_minute
-from clipfold.functions.text import blank, domain_key, filled, fold
+from clipfold.functions.text import blank, filled, fold
+from clipfold.operators.dims import DEFAULT, Dimensions, country, on_platform, origin, writes_portuguese  # noqa: F401
 
 ORDER = ("run_ord", "feed_ord", "item_id")
 TEXTS = ("area", "grupo", "fonte", "dominio", "titulo", "resumo", "ligacao", "imagem")
 
-#: Suffixes, countries and platforms as defaults, to be replaced by the user's own.
-PORTUGUESE_SUFFIXES = (".pt", ".ao", ".mz", ".cv", ".st", ".gw", ".tl", ".br")
-LUSOPHONE_SUFFIXES = (".ao", ".mz", ".cv", ".st", ".gw", ".tl", ".br")
-COUNTRIES = {".pt": "Portugal", ".ao": "Angola", ".mz": "Moçambique", ".cv": "Cabo Verde", ".st": "São Tomé e Príncipe", ".gw": "Guiné-Bissau", ".tl": "Timor-Leste", ".br": "Brasil", ".es": "Espanha", ".fr": "França", ".de": "Alemanha", ".uk": "Reino Unido", ".eu": "União Europeia"}
-PLATFORMS = ("facebook.com", "x.com", "t.me", "youtube.com", "instagram.com", "tiktok.com")
-
 
 def normalise(df: DataFrame) -> DataFrame:
     """Null texts become empty, ``data`` becomes ``ts`` (null where it can't be read), null keyword lists become empty."""
@@ -33,47 +28,6 @@ def with_registry(items: DataFrame, feeds: DataFrame) -> DataFrame:
     return joined.withColumn("fonte", F.coalesce(filled("fonte"), "__source", F.lit(""))).withColumn("dominio", F.coalesce(filled("dominio"), "__domain", F.lit(""))).drop("__source", "__domain")
 
 
-def under(domain: Column, names: tuple[str, ...]) -> Column:
-    """Whether a domain is one of ``names`` or below one."""
-    hit = F.lit(False)
-    for name in names:
-        hit = hit | (domain == name) | F.endswith(domain, F.lit("." + name))
-    return hit
-
-
-def ends(domain: Column, suffixes: tuple[str, ...]) -> Column:
-    hit = F.lit(False)
-    for s in suffixes:
-        hit = hit | F.endswith(domain, F.lit(s))
-    return hit
-
-
-def writes_portuguese(domain: Column | str, names: tuple[str, ...] = ()) -> Column:
-    """Unknown domains pass."""
-    d = domain_key(domain)
-    return (d == "") | ends(d, PORTUGUESE_SUFFIXES) | under(d, names)
-
-
-def origin(domain: Column | str, names: tuple[str, ...] = ()) -> Column:
-    """``nacionais``, ``lusofonas`` or ``internacionais``; unknown domains are national."""
-    d = domain_key(domain)
-    return F.when((d == "") | ends(d, (".pt",)) | under(d, names), "nacionais").when(ends(d, LUSOPHONE_SUFFIXES), "lusofonas").otherwise("internacionais")
-
-
-def country(domain: Column | str, by_domain: Column | None = None) -> Column:
-    """The country looked up by whole domain if given, else by the first suffix that fits, else empty."""
-    d = domain_key(domain)
-    out = F.coalesce(by_domain, F.lit("")) if by_domain is not None else F.lit("")
-    cases = F.when(out != "", out)
-    for suffix, name in COUNTRIES.items():
-        cases = cases.when(F.endswith(d, F.lit(suffix)), name)
-    return cases.otherwise("")
-
-
-def on_platform(domain: Column | str) -> Column:
-    return under(domain_key(domain), PLATFORMS)
-
-
 def within_hours(as_of: datetime, hours: int, undated: bool) -> Column:
     """Items of the last ``hours``; undated ones pass (reports, collection) or not (syntheses)."""
     return F.coalesce(F.col("ts") >= at(as_of) - F.expr(f"INTERVAL {hours} HOURS"), F.lit(undated))
@@ -84,12 +38,12 @@ def retained(as_of: datetime, days: int) -> Column:
     return F.coalesce(F.to_date("ts") >= F.date_sub(F.lit(as_of.date()), days), F.lit(False))
 
 
-def report_rows(items: DataFrame, as_of: datetime, hours: int = 24, area: str | None = None, origins: tuple[str, ...] | None = None, undated: bool = True) -> DataFrame:
-    """Rows of a report (or, with ``undated=False``, of a synthesis), newest first as a column ``rank`` within each area."""
-    out = items.where(within_hours(as_of, hours, undated) & ~on_platform("dominio"))
+def report_rows(items: DataFrame, as_of: datetime, hours: int = 24, area: str | None = None, origins: tuple[str, ...] | None = None, undated: bool = True, dims: Dimensions = DEFAULT) -> DataFrame:
+    """Rows of a report (or, with ``undated=False``, of a synthesis)."""
+    out = items.where(within_hours(as_of, hours, undated) & ~on_platform("dominio", dims))
     if area is not None:
         out = out.where(F.col("area") == area)
-    return out if not origins else out.where(origin("dominio").isin(*origins))
+    return out if not origins else out.where(origin("dominio", dims).isin(*origins))
 
 
 def newest_first(undated_first: bool = False) -> list[Column]:

@@ -24,12 +24,29 @@ def first_wins(df: DataFrame, key: list[Column], order: tuple[str, ...] = ORDER)
     return keyed.groupBy(*names).agg(F.min_by(F.struct(*df.columns), _order(order)).alias("r")).select("r.*")
 
 
+def _spread(df: DataFrame, key: list[Column], keywords: str | None, pos: Column) -> tuple[DataFrame, list[str], Column]:
+    """``df`` with its keys and order, one row a keyword; all but the first of these have a null order.
+
+    So the fields of a row are looked at once, and of the keywords only distinct ones are ever held, however many rows
+    share a key.
+    """
+    names = [f"__k{i}" for i in range(len(key))]
+    keyed = df.withColumns(dict(zip(names, key)) | {"__o": pos})
+    if keywords is None:
+        return keyed, names, F.col("__o")
+    spread = keyed.select(*[c for c in keyed.columns if c != keywords], F.posexplode_outer(keywords).alias("__pos", "__word"))
+    return spread, names, F.when(F.coalesce("__pos", F.lit(0)) == 0, F.col("__o"))
+
+
+def _union() -> Column:
+    return F.array_sort(F.collect_set("__word"))
+
+
 def first_with_keywords(df: DataFrame, key: list[Column], keywords: str = "palavras", order: tuple[str, ...] = ORDER) -> DataFrame:
     """The first row of each key, with the sorted union of all its keywords."""
-    names = [f"__k{i}" for i in range(len(key))]
     rest = [c for c in df.columns if c != keywords]
-    union = F.array_sort(F.array_distinct(F.flatten(F.collect_list(keywords))))
-    got = df.withColumns(dict(zip(names, key))).groupBy(*names).agg(F.min_by(F.struct(*rest), _order(order)).alias("r"), union.alias(keywords))
+    spread, names, at = _spread(df, key, keywords, _order(order))
+    got = spread.groupBy(*names).agg(F.min_by(F.when(at.isNotNull(), F.struct(*rest)), at).alias("r"), _union().alias(keywords))
     return got.select(*[F.col(f"r.{c}").alias(c) if c != keywords else F.col(c) for c in df.columns])
 
 
@@ -39,14 +56,13 @@ def fill_missing(df: DataFrame, key: list[Column], fill: list[str], order: tuple
     ``newest_first`` turns the order by its first column round (the corpus), else older runs come first (the archive).
     """
     pos = F.struct(-F.col(order[0]), *order[1:]) if newest_first else _order(order)
-    names = [f"__k{i}" for i in range(len(key))]
-    keyed = df.withColumns(dict(zip(names, key)) | {"__o": pos})
+    spread, names, at = _spread(df, key, keywords, pos)
     base = [c for c in df.columns if c not in fill and c != keywords]
-    aggs = [F.min_by(F.struct(*base), "__o").alias("r")]
-    aggs += [F.coalesce(F.min_by(filled(c), F.when(F.col(c) != "", F.col("__o"))), F.lit("")).alias(c) for c in fill]
+    aggs = [F.min_by(F.when(at.isNotNull(), F.struct(*base)), at).alias("r")]
+    aggs += [F.coalesce(F.min_by(filled(c), F.when(F.col(c) != "", at)), F.lit("")).alias(c) for c in fill]
     if keywords:
-        aggs.append(F.array_sort(F.array_distinct(F.flatten(F.collect_list(keywords)))).alias(keywords))
-    got = keyed.groupBy(*names).agg(*aggs)
+        aggs.append(_union().alias(keywords))
+    got = spread.groupBy(*names).agg(*aggs)
     return got.select(*[F.col(c) if c in fill or c == keywords else F.col(f"r.{c}").alias(c) for c in df.columns])
 
 
@@ -70,7 +86,14 @@ def merge_parts(parts: DataFrame, key: str, value: list[str], order: str, stamp:
     return last.select(key, "v.*").crossJoin(F.broadcast(parts.agg(F.max(stamp).alias(stamp))))  # one row
 
 
-def resolve_links(df: DataFrame, link: str, resolver) -> DataFrame:
-    """``df`` with ``link`` resolved; each distinct address is resolved once."""
+def resolve_links(df: DataFrame, link: str, resolver, salts: int = 32) -> DataFrame:
+    """``df`` with ``link`` resolved; each distinct address is resolved once.
+
+    Front pages are the link of very many rows. The distinct addresses are repeated ``salts`` times for the join, so such
+    a link's rows meet in as many tasks.
+    """
     known = df.select(F.col(link).alias("__link")).where("__link <> ''").distinct().withColumn("__to", resolver(F.col("__link")))
-    return df.join(known, F.col(link) == F.col("__link"), "left").withColumn(link, F.coalesce("__to", link)).drop("__link", "__to")
+    known = known.where("__to <> __link").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))  # others stay
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[c for c, kind in df.dtypes if not kind.startswith("map")]), F.lit(salts)).cast("int"))
+    joined = salted.join(known.withColumnRenamed("__salt", "__s"), (F.col(link) == F.col("__link")) & (F.col("__salt") == F.col("__s")), "left")
+    return joined.withColumn(link, F.coalesce("__to", link)).drop("__link", "__to", "__salt", "__s")

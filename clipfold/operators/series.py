@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from clipfold.functions.dates import STEPS, period_end, period_start
 from clipfold.functions.text import filled
-from clipfold.operators.items import origin
+from clipfold.operators.dims import DEFAULT, Dimensions, origin
 
 ORIGINS = ("nacionais", "lusofonas", "internacionais")
 
 
-def daily_by_area(items: DataFrame) -> DataFrame:
+def daily_by_area(items: DataFrame, dims: Dimensions = DEFAULT) -> DataFrame:
     """Counts of dated items by day and area: items, distinct sources, and items of each origin."""
-    o = origin("dominio")
+    o = origin("dominio", dims)
     return items.where("ts is not null and area <> ''").groupBy(F.to_date("ts").alias("data"), "area").agg(
         F.count("*").alias("noticias"), F.count_distinct(filled("fonte")).alias("fontes"), *[F.count_if(o == name).alias(name) for name in ORIGINS]
     )
@@ -67,6 +67,18 @@ def totals(series: DataFrame) -> DataFrame:
     )
 
 
+def area_totals(series: DataFrame) -> DataFrame:
+    """``area, noticias``: items of each area over all days, most first."""
+    return series.groupBy("area").agg(F.sum("noticias").alias("noticias")).orderBy(F.desc("noticias"), "area")
+
+
+def run_counters(items: DataFrame) -> DataFrame:
+    """Items read, different titles, items with an area and without a link, of each run and feed."""
+    return items.groupBy("run_ord", "feed_ord").agg(
+        F.count("*").alias("lidas"), F.count_distinct(F.lower("titulo")).alias("distintas"), F.count_if(F.col("area") != "").alias("marcadas"), F.count_if(F.col("ligacao") == "").alias("sem_ligacao")
+    )
+
+
 def value_counts(df: DataFrame, c: Column, order: str, top: int | None = None, empty: str = "sem indicação") -> DataFrame:
     """``valor, n``: most frequent first, ties by first appearance; empty values are counted together."""
     out = df.groupBy(F.coalesce(filled(c), F.lit(empty)).alias("valor")).agg(F.count("*").alias("n"), F.min(order).alias("__first"))
@@ -81,8 +93,8 @@ def evolution(series: DataFrame) -> DataFrame:
     return series.select("data", "area", "noticias", F.round(mean, 4).alias("media"), F.round(100.0 * (F.col("noticias") - mean) / mean, 4).alias("variacao"))
 
 
-def pivot_origins(items: DataFrame, by: str) -> DataFrame:
-    return items.where("ts is not null").groupBy(period_start(F.to_date("ts"), by).alias("periodo")).agg(*[F.count_if(origin("dominio") == name).alias(name) for name in ORIGINS])
+def pivot_origins(items: DataFrame, by: str, dims: Dimensions = DEFAULT) -> DataFrame:
+    return items.where("ts is not null").groupBy(period_start(F.to_date("ts"), by).alias("periodo")).agg(*[F.count_if(origin("dominio", dims) == name).alias(name) for name in ORIGINS])
 
 
 def top_areas(series: DataFrame, k: int = 8) -> DataFrame:

@@ -3,24 +3,27 @@
 from __future__ import annotations
 
 import functools
-import uuid
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clipfold import api
 from clipfold.functions import dates, text
+from clipfold.operators import dims, merge, report, rules, series, subs
 from clipfold.operators import items as it
-from clipfold.operators import merge, report, rules, series, subs
-from clipfold.operators.items import ORDER, newest_first, origin
-from clipfold.plans.cut import shared_dir
-from clipfold.sources import feeds
+from clipfold.operators.items import ORDER, newest_first
+from clipfold.plans.cut import fresh_path
+from clipfold.plans.ranked import ranked
+from clipfold.sources import exports, feeds, state
 from clipfold.streaming import archive
 
 Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = datetime(2018, 3, 20, 12, 0)
 QUERIES: dict[str, Query] = {}
+#: The defaults, and the publications of the test tables whose domain doesn't tell their country or language.
+DIMS = dims.DEFAULT.plus(portuguese=("pt.kelbrandtwelle.de",), national=("folhadozambril.com", "minutomarvento.com"), platforms=("camporegadioxisto.pt",), countries={"folhadozambril.com": "Portugal", "minutomarvento.com": "Portugal", "dunhallowpost.com": "Reino Unido", "diariovaldemorca.com": "Espanha"})
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,9 +58,13 @@ def fold_text(spark, d):
     return _ids(spark, d, text.fold("titulo").alias("dobrado"))
 
 
+#: Markup and entities put after each text, named and numeric, known and unknown.
+MARKUP = "<p class='x'>Educa&ccedil;&atilde;o &#233; &#xE9;&nbsp;&hellip; &amp;lt; R&D &desconhecida; &euro;5</p>"
+
+
 @query
 def clean_html(spark, d):
-    return _ids(spark, d, text.clean_html("resumo").alias("limpo"))
+    return _ids(spark, d, text.clean_html("resumo").alias("limpo"), text.clean_html(F.concat("titulo", F.lit(MARKUP))).alias("com_marcas"))
 
 
 @query
@@ -68,24 +75,36 @@ def split_source_suffix(spark, d):
 
 @query
 def summary_is_title(spark, d):
-    return _ids(spark, d, text.summary_unless_title("resumo", "titulo").alias("resumo"))
+    repeated = F.concat(F.lit("— "), F.col("titulo"), F.lit(". "), F.col("fonte"))
+    return _ids(spark, d, text.summary_unless_title("resumo", "titulo").alias("resumo"), text.summary_unless_title(repeated, "titulo").alias("repetido"))
 
 
 @query
 def rfc_date(spark, d):
-    zoned = F.concat(F.lit("Thu, "), F.date_format("ts", "d MMM yyyy HH:mm:ss"), F.lit(" +0200"))
-    return _ids(spark, d, dates.parse_rfc(zoned, AS_OF).alias("lisboa"), dates.parse_rfc(F.date_format("ts", "d MMM yyyy HH:mm:ss"), AS_OF).alias("sem_zona"))
+    zoned = lambda zone: F.concat(F.lit("Thu, "), F.date_format("ts", "d MMM yyyy HH:mm:ss"), F.lit(zone))
+    return _ids(spark, d, dates.parse_rfc(zoned(" +0200"), AS_OF).alias("lisboa"), dates.parse_rfc(zoned(" -0530"), AS_OF).alias("oeste"), dates.parse_rfc(zoned(" GMT"), AS_OF).alias("gmt"), dates.parse_rfc(F.date_format("ts", "d MMM yyyy HH:mm:ss"), AS_OF).alias("sem_zona"))
 
 
 @query
 def url_checks(spark, d):
-    return _ids(spark, d, text.plausible_url("ligacao").alias("plausivel"), text.safe_url("ligacao").alias("segura"), text.host("ligacao").alias("anfitriao"), text.domain_key("dominio").alias("dominio"))
+    other = F.concat(F.lit("HTTPS://lh3.googleusercontent.com/"), F.col("item_id").cast("string"))
+    path = F.concat(F.lit("https://jornal.example/a-google.-"), F.col("item_id").cast("string"))
+    return _ids(
+        spark, d, text.plausible_url("ligacao").alias("plausivel"), text.plausible_url(other).alias("alheia"), text.plausible_url(path).alias("no_caminho"), text.plausible_url(F.upper("ligacao")).alias("maiuscula"),
+        text.safe_url("ligacao").alias("segura"), text.host("ligacao").alias("anfitriao"), text.domain_key("dominio").alias("dominio"),
+    )
+
+
+def _payload(*parts: Column) -> Column:
+    return F.translate(F.regexp_replace(F.base64(F.encode(F.concat(*parts), "UTF-8")), "[=\r\n]", ""), "+/", "-_")
 
 
 @query
 def redirect_target(spark, d):
-    link = F.concat(F.lit("https://noticias.example/articles/"), F.translate(F.regexp_replace(F.base64(F.encode(F.concat(F.lit("\x08\x13"), F.col("ligacao")), "ISO-8859-1")), "[=\r\n]", ""), "+/", "-_"))
-    return _ids(spark, d, F.when(text.plausible_url("ligacao") & ~F.col("ligacao").rlike(r"[^\x21-\x7e]"), text.redirect_target(link)).alias("destino"))
+    head, tail = F.lit("\x08\x13\""), F.lit('"\x01')
+    image = F.lit("https://lh3.googleusercontent.com/imagem-de-todos ")
+    one, two = (F.concat(F.lit(f"https://{h}/rss/articles/"), _payload(head, image, F.col("ligacao"), tail), F.lit("?oc=5")) for h in ("news.google.com", "jornal.example"))
+    return _ids(spark, d, F.coalesce(text.redirect_target(one) == one, F.lit(False)).alias("fica"), F.when(text.redirect_target(one) != one, text.redirect_target(one)).alias("destino"), (text.redirect_target(two) == two).alias("outra_fica"))
 
 
 @query
@@ -144,7 +163,7 @@ def registry_fallback(spark, d):
 
 @query
 def title_line(spark, d):
-    return _ids(spark, d, text.title_line("titulo", "fonte", it.country("dominio")).alias("linha"))
+    return _ids(spark, d, text.title_line("titulo", "fonte", dims.country("dominio", DIMS)).alias("linha"))
 
 
 # filters and classification
@@ -161,15 +180,21 @@ def classify_keywords(spark, d):
 
 @query
 def classify_areas(spark, d):
-    gated = _texts(spark, d).where(it.writes_portuguese("dominio"))
-    found = rules.classify(rules.hits(gated, _t(spark, d, "rules")))
+    gated = _texts(spark, d).where(dims.writes_portuguese("dominio", DIMS))
+    found = rules.classified(gated, _t(spark, d, "rules"))
     return found.join(_t(spark, d, "areas"), "area_id").join(_t(spark, d, "grupos"), "group_id").select("item_id", "area", "grupo", "palavras")
 
 
 @query
 def classify_documents(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "text")
-    return rules.classify(rules.hits(docs, _t(spark, d, "rules"), "doc_id", "text"), "doc_id")
+    return rules.classified(docs, _t(spark, d, "rules"), "doc_id", "text")
+
+
+@query
+def classify_by_hits(spark, d):
+    """Classification as exclusions (an anti-join) and keywords (a grouping) of the matches."""
+    return rules.classify(rules.hits(_texts(spark, d), _t(spark, d, "rules")))
 
 
 @query
@@ -181,33 +206,40 @@ def keyword_search(spark, d):
 
 @query
 def language_gate(spark, d):
-    return _ids(spark, d, it.writes_portuguese("dominio").alias("portugues"))
+    return _ids(spark, d, dims.writes_portuguese("dominio", DIMS).alias("portugues"))
 
 
 @query
 def origin_class(spark, d):
-    return _ids(spark, d, origin("dominio").alias("origem"))
+    return _ids(spark, d, dims.origin("dominio", DIMS).alias("origem"))
 
 
 @query
 def source_country(spark, d):
-    by_domain = _t(spark, d, "feeds").where("domain like '%.com'").groupBy(text.domain_key("domain").alias("__d")).agg(F.lit("Portugal").alias("__c"))
-    return _items(spark, d).withColumn("__d", text.domain_key("dominio")).join(by_domain, "__d", "left").select("item_id", it.country("dominio", F.col("__c")).alias("pais"))
+    return _ids(spark, d, dims.country("dominio", DIMS).alias("pais"))
+
+
+@query
+def dimension_defaults(spark, d):
+    """The dimensions' own names, looked up with one label more before them."""
+    named = sorted({*dims.PORTUGUESE_DOMAINS, *dims.NATIONAL_DOMAINS, *dims.PLATFORMS, *dims.COUNTRY_BY_DOMAIN})
+    df = spark.createDataFrame([(n, x) for n in named for x in (n, f"www.{n}", f"sub.{n}", f"x{n}")], "nome string, dominio string")
+    return df.select("dominio", dims.origin("dominio").alias("origem"), dims.writes_portuguese("dominio").alias("portugues"), dims.country("dominio").alias("pais"), dims.on_platform("dominio").alias("plataforma"))
 
 
 @query
 def platform_excluded(spark, d):
-    return _ids(spark, d, "dominio").where(~it.on_platform("dominio")).select("item_id")
+    return _ids(spark, d, "dominio").where(~dims.on_platform("dominio", DIMS)).select("item_id")
 
 
 @query
 def report_filter(spark, d):
-    return it.report_rows(_items(spark, d), AS_OF, 72, origins=("nacionais", "lusofonas")).select("item_id")
+    return it.report_rows(_items(spark, d), AS_OF, 72, origins=("nacionais", "lusofonas"), dims=DIMS).select("item_id")
 
 
 @query
 def synthesis_filter(spark, d):
-    return it.report_rows(_items(spark, d), AS_OF, 72, undated=False).select("item_id")
+    return it.report_rows(_items(spark, d), AS_OF, 72, undated=False, dims=DIMS).select("item_id")
 
 
 @query
@@ -232,7 +264,7 @@ def synthesis_fresh(spark, d):
 
 @query
 def minimum_support(spark, d):
-    return report.supported(_items(spark, d), 3)
+    return report.supported(_items(spark, d), 3, DIMS)
 
 
 @query
@@ -331,7 +363,7 @@ def retained_merge(spark, d):
 
 
 def _series(spark, d):
-    return series.daily_by_area(_items(spark, d))
+    return series.daily_by_area(_items(spark, d), DIMS)
 
 
 @query
@@ -353,7 +385,7 @@ def upsert_day(spark, d):
 
 def _nested(spark, d):
     items = _items(spark, d)
-    return series.nest(series.daily_by_area(items), series.daily_keywords(items))
+    return series.nest(series.daily_by_area(items, DIMS), series.daily_keywords(items))
 
 
 @query
@@ -412,9 +444,12 @@ def merge_partials(spark, d):
 
 @query
 def run_counters(spark, d):
-    return _items(spark, d).groupBy("run_ord", "feed_ord").agg(
-        F.count("*").alias("lidas"), F.count_distinct(_lower("titulo")).alias("distintas"), F.count_if(F.col("area") != "").alias("marcadas"), F.count_if(F.col("ligacao") == "").alias("sem_ligacao")
-    )
+    return series.run_counters(_items(spark, d))
+
+
+@query
+def area_totals(spark, d):
+    return series.area_totals(_series(spark, d))
 
 
 @query
@@ -432,19 +467,17 @@ def area_first_group(spark, d):
 
 @query
 def newest_first_undated_last(spark, d):
-    w = Window.partitionBy("area").orderBy(*newest_first())
-    return _items(spark, d).select("item_id", F.row_number().over(w).cast("bigint").alias("posto"))
+    return ranked(_items(spark, d).select("item_id", "area", "ts", "run_ord", "feed_ord"), ["area"], newest_first()).select("item_id", "posto")
 
 
 @query
 def newest_first_undated_first(spark, d):
-    w = Window.partitionBy("area").orderBy(*newest_first(True))
-    return _items(spark, d).select("item_id", F.row_number().over(w).cast("bigint").alias("posto"))
+    return ranked(_items(spark, d).select("item_id", "area", "ts", "run_ord", "feed_ord"), ["area"], newest_first(True)).select("item_id", "posto")
 
 
 @query
 def topk_per_group(spark, d):
-    dated = _items(spark, d).where("area <> '' and ts is not null").withColumn("origem", origin("dominio"))
+    dated = _items(spark, d).where("area <> '' and ts is not null").withColumn("origem", dims.origin("dominio", DIMS))
     return report.top_k(dated, [F.col("area"), F.col("origem")], newest_first(), 35).select("item_id", "area", "origem")
 
 
@@ -503,7 +536,63 @@ def manifest(spark, d):
 
 @query
 def summarise_listing(spark, d):
-    return report.summarise(_items(spark, d).where("titulo <> ''"), report.listing, 5)
+    return report.summarise(_items(spark, d).where("titulo <> ''"), report.listing, 5, dims=DIMS)
+
+
+def _written(spark, d):
+    """Syntheses of two windows, and a single text an area as older files have it."""
+    made = report.summarise(_items(spark, d).where("titulo <> ''"), report.listing, 3, dims=DIMS)
+    window = F.when(F.col("area") < "J", "24h").otherwise("48h")
+    old = made.select("area").distinct().select("area", F.lit(None).cast("string").alias("origem"), F.lit(0).cast("bigint").alias("noticias"), F.lit("Um só texto <antigo>").alias("texto"), F.lit("24h").alias("janela"))
+    return made.withColumn("janela", window).unionByName(old).withColumn("gerado", dates.at(datetime(2018, 3, 20, 7, 30)))
+
+
+@query
+def report_documents(spark, d):
+    colours = {"Redes e território": "#0e7433", "Casa comum": "#be9c54"}
+    return report.documents(_items(spark, d), AS_OF, 12, _written(spark, d), "24h", "https://painel.example/?a=1&b=2", colours, dims=DIMS)
+
+
+@query
+def area_syntheses(spark, d):
+    n = _items(spark, d).where("area <> ''").groupBy("area").agg(F.count("*").alias("noticias"))
+    return exports.with_syntheses(n, _written(spark, d), AS_OF, "24h")
+
+
+@query
+def daily_reports(spark, d):
+    """The job of a day: areas with subscribers, window, origins, documents' counts and manifest."""
+    docs, listed = api.reports(_items(spark, d), _t(spark, d, "subs"), AS_OF, "7d", origins=("nacionais", "lusofonas"), dims=DIMS)
+    return docs.select("area", "fontes").join(listed, "area")
+
+
+def _fails(area: str, origem: str, lines: list[str]) -> str:
+    if origem == "lusofonas":
+        raise RuntimeError("sem resposta")
+    return "; ".join(lines) if len(lines) > 3 else "curto"
+
+
+@query
+def syntheses_each(spark, d):
+    return report.summarise_each(_items(spark, d).where("titulo <> ''"), _fails, 5, 20, dims=DIMS)
+
+
+@query
+def synthesis_counters(spark, d):
+    return report.synthesis_counters(report.summarise_each(_items(spark, d).where("titulo <> ''"), _fails, 5, 20, dims=DIMS))
+
+
+@query
+def confirmations(spark, d):
+    s = _t(spark, d, "subs")
+    added = subs.subscribe(s, s.groupBy("email").agg(F.lit("Tesouraria & Cofres").alias("area")).select("area", "email"))[1]
+    return exports.confirmations(added, AS_OF, panel="https://painel.example/")
+
+
+@query
+def cancellations(spark, d):
+    s = _t(spark, d, "subs")
+    return exports.confirmations(subs.cancel(s, s.where("area like 'Lotas%' or area like 'A%'"))[1], AS_OF, cancelled=True)
 
 
 # dashboards
@@ -511,7 +600,7 @@ def summarise_listing(spark, d):
 
 @query
 def ranked_areas(spark, d):
-    n = it.report_rows(_items(spark, d), AS_OF, 30 * 24, origins=("nacionais",), undated=False).where("area <> ''").groupBy("area").agg(F.count("*").alias("noticias"))
+    n = it.report_rows(_items(spark, d), AS_OF, 30 * 24, origins=("nacionais",), undated=False, dims=DIMS).where("area <> ''").groupBy("area").agg(F.count("*").alias("noticias"))
     return n.select("area", "noticias", F.rank().over(Window.orderBy(F.desc("noticias"))).cast("bigint").alias("posto"))  # one row an area
 
 
@@ -522,7 +611,7 @@ def keyword_selection(spark, d):
 
 @query
 def excluded_breakdown(spark, d):
-    return report.excluded(_items(spark, d), F.array_contains("palavras", "estrada"), origin("dominio") == "nacionais", it.within_hours(AS_OF, 7 * 24, False))
+    return report.excluded(_items(spark, d), F.array_contains("palavras", "estrada"), dims.origin("dominio", DIMS) == "nacionais", it.within_hours(AS_OF, 7 * 24, False))
 
 
 @query
@@ -538,7 +627,7 @@ def evolution_vs_mean(spark, d):
 
 @query
 def pivot_origin(spark, d):
-    return series.pivot_origins(_items(spark, d), "week")
+    return series.pivot_origins(_items(spark, d), "week", DIMS)
 
 
 @query
@@ -564,30 +653,182 @@ def source_concentration(spark, d):
     return series.concentration(_items(spark, d))
 
 
-# sources and streams
+# sources, sinks and streams
+
+ATOM, DC, MEDIA = "http://www.w3.org/2005/Atom", "http://purl.org/dc/elements/1.1/", "http://search.yahoo.com/mrss/"
 
 
 @query
 def ingest_feeds(spark, d):
-    """Items of each run and feed written as an RSS payload, and read back from it."""
-    tag = lambda name, c: F.concat(F.lit(f"<{name}>"), text.escape_html(text.blank(c)), F.lit(f"</{name}>"))
-    item = F.concat(F.lit("<item>"), tag("title", "titulo"), tag("link", "ligacao"), F.lit("</item>"))
-    body = F.concat(F.lit("<rss><channel>"), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>"))
-    key = (F.col("run_ord") * 1000 + F.col("feed_ord")).alias("feed_ord")  # one payload a run and feed
-    payloads = _items(spark, d).groupBy(key).agg(F.encode(body, "UTF-8").alias("body"))
-    got = feeds.explode_items(payloads)
-    return got.groupBy("feed_ord").agg(F.count("item_ord").alias("itens"), F.count_if(F.col("ligacao") != "").alias("com_ligacao"), F.count("erro").alias("erros"))
+    """Items of each run and feed as a payload, by turns RSS in UTF-8, RDF in declared ISO-8859-1 and Atom in undeclared; read back."""
+    items = _items(spark, d).withColumn("forma", F.pmod("run_ord", F.lit(3)))
+    held = F.when(F.col("forma") == 0, "[\x00]").when(F.col("forma") == 1, "[^\x09-\xff]|[\x7f-\x9f]").otherwise("[^\x09-\x7e]")  # what the encoding can't say
+    items = items.withColumns({c: F.regexp_replace(c, held, "") for c in ("titulo", "resumo", "fonte")})
+    tag = lambda name, c, more="": F.concat(F.lit(f"<{name}{more}>"), text.escape_html(c), F.lit(f"</{name.split(' ')[0]}>"))
+    moment = F.date_format("ts", "d MMM yyyy HH:mm:ss")
+    stamp = F.when(F.col("ts").isNull(), "").otherwise(F.concat(F.lit("<pubDate>Tue, "), moment, F.lit(" +0300</pubDate>")))
+    source = F.when(F.col("dominio") != "", F.concat(F.lit('<source url="https://'), text.escape_html("dominio"), F.lit('/x">'), text.escape_html("fonte"), F.lit("</source>"))).otherwise("")
+    titled = F.concat(F.col("titulo"), F.when(F.col("fonte") != "", F.concat(F.lit(" - "), F.col("fonte"))).otherwise(""))
+    rss = F.concat(F.lit("<item>"), tag("title", titled), tag("link", "ligacao"), tag("description", "resumo"), tag("dc:creator", F.lit("Ana Repórter")), stamp, source, F.lit('<media:content url="'), text.escape_html("imagem"), F.lit('"/></item>'))
+    rdf = F.concat(F.lit("<r:item>"), tag("r:title", "titulo"), tag("r:guid", "ligacao"), tag("r:description", F.concat(F.lit("<img alt='x' src='"), F.col("imagem"), F.lit("'> "), F.col("resumo"))), F.lit("</r:item>"))
+    iso = F.when(F.col("ts").isNull(), "").otherwise(F.concat(F.lit("<published>"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z</published>")))
+    atom = F.concat(F.lit("<entry>"), tag("title", F.concat("titulo", F.lit(" ção"))), F.lit('<link rel="self" href="https://feed.example/"/><link href="'), text.escape_html("ligacao"), F.lit('"/>'), tag("summary", "resumo"), iso, F.lit("</entry>"))
+    part = F.when(F.col("forma") == 0, rss).when(F.col("forma") == 1, rdf).otherwise(atom)
+    ordered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("item_id", part.alias("p")))), lambda x: x["p"]), "")
+    body = (
+        F.when(F.col("forma") == 0, F.encode(F.concat(F.lit(f'<rss xmlns:dc="{DC}" xmlns:media="{MEDIA}"><channel>'), ordered, F.lit("</channel></rss>")), "UTF-8"))
+        .when(F.col("forma") == 1, F.encode(F.concat(F.lit('<?xml version="1.0" encoding="ISO-8859-1"?><RDF xmlns:r="urn:r">'), ordered, F.lit("</RDF>")), "ISO-8859-1"))
+        .otherwise(F.encode(F.concat(F.lit(f'<feed xmlns="{ATOM}">'), ordered, F.lit("</feed>")), "ISO-8859-1"))
+    )
+    key = (F.col("run_ord") * 1000 + F.col("feed_ord")).cast("int")  # a payload a run and feed
+    payloads = items.groupBy(key.alias("feed_ord"), "forma").agg(body.alias("body"))
+    known = items.select(key.alias("k"), F.col("feed_ord").alias("f")).distinct().join(_t(spark, d, "feeds"), F.col("f") == F.col("feed_ord")).select(F.col("k").alias("feed_ord"), "source", "domain")
+    return feeds.items(payloads, known, AS_OF)[0].drop("run_ord")
+
+
+@query
+def registry_lists(spark, d):
+    f = _t(spark, d, "feeds")
+    part = lambda name: f.where(F.col("registry") == name)
+    return feeds.registry(part("nacional"), part("lusofona").drop("url")).select("feed_ord", "source", "domain", "url")
+
+
+@query
+def search_queries(spark, d):
+    r = _t(spark, d, "rules").groupBy("area_id").agg(
+        *[F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.struct("ord", "phrase")))), lambda x: x["phrase"]).alias(kind) for kind in ("keyword", "exclude")]
+    )
+    q = feeds.search_query(F.col("keyword"), F.col("exclude"), F.array(F.lit(".br"), F.lit("globo.com")), 7)
+    return r.select("area_id", q.alias("consulta"), feeds.search_url(q, "https://noticias.example/rss/search").alias("endereco"))
+
+
+@query
+def keyword_source(spark, d):
+    """Each area's keywords searched one by one: a loose search gives all items of the area."""
+    words = _t(spark, d, "rules").where("kind = 'keyword'").join(_t(spark, d, "areas"), "area_id").select("area", F.col("phrase").alias("palavra")).distinct()
+    fetched = _items(spark, d).drop("palavras").join(words, "area")
+    return feeds.by_keyword(fetched).select("item_id", "area", "palavras")
+
+
+@query
+def run_document(spark, d):
+    """The document of a run, written and read."""
+    path = fresh_path(spark, "documento") + ".json"
+    rows = it.report_rows(_items(spark, d), AS_OF, 48, undated=False, dims=DIMS)
+    state.put(spark, path, state.snapshot(rows, AS_OF, "48h", "publicações").encode())
+    head = spark.read.schema("gerado string, origem string, periodo string").json(path, multiLine=True)
+    return state.read_items(spark, path).crossJoin(F.broadcast(head))  # one row
+
+
+@query
+def archive_document(spark, d):
+    """The rolling archive after a run, as one document, written and read."""
+    path = fresh_path(spark, "arquivo") + ".json"
+    items = _items(spark, d)
+    rolled = api.roll(items.where("run_ord <= 5"), items.where("run_ord > 5"), AS_OF)
+    state.put(spark, path, state.document(rolled, AS_OF, {"dias": 7}).encode())
+    return state.read_items(spark, path)
+
+
+@query
+def archive_corpus(spark, d):
+    items = _items(spark, d).where("titulo <> ''")
+    return api.roll(items.where("run_ord <= 5"), items.where("run_ord > 5"), AS_OF, corpus=True).select("item_id", "titulo", "resumo", "imagem", "ligacao", "dominio")
+
+
+@query
+def months_archive(spark, d):
+    """The permanent archive after two runs, one of them repeated, and its files read."""
+    path = fresh_path(spark, "meses")
+    items = _items(spark, d)
+    for run in (items.where("run_ord <= 5"), items.where("run_ord > 5"), items.where("run_ord > 5")):
+        state.append_months(run, path)
+    return state.read_month(spark, path + "/mes=*/*.json.gz").withColumn("mes", F.substring("data", 1, 7)).select("mes", "area", "data", "titulo", "fonte", "palavras")
+
+
+@query
+def missing_state(spark, d):
+    """State that isn't there, and state that can't be read, both as empty; and damaged lines of a month left out."""
+    path = fresh_path(spark, "estado")
+    state.put(spark, path + "/mau.parquet", b"isto nao e um quadro")
+    state.put(spark, path + "/mes.jsonl", b'{"area": "A", "titulo": "um"}\n{"area": \n\n{"area": "B", "titulo": "dois"}\n')
+    none = state.read_or_empty(spark, path + "/nada", state.ITEM)
+    bad = state.read_or_empty(spark, path + "/mau.parquet", state.ITEM, on_corrupt="empty")
+    return none.unionByName(bad).unionByName(state.read_month(spark, path + "/mes.jsonl", strict=False)).select("area", "titulo")
+
+
+@query
+def series_document(spark, d):
+    """The daily series as one document, written and read."""
+    path = fresh_path(spark, "serie") + ".json"
+    state.put(spark, path, state.series_document(_nested(spark, d), AS_OF).encode())
+    return series.long_by_area(state.read_series(spark, path))
+
+
+@query
+def longitudinal_months(spark, d):
+    path = fresh_path(spark, "serie") + ".json"
+    state.put(spark, path, state.series_document(_nested(spark, d), AS_OF).encode())
+    return api.longitudinal(spark, path, "month", keywords=True)
+
+
+@query
+def csv_table(spark, d):
+    path = fresh_path(spark, "tabela")
+    exports.write_csv(_ids(spark, d, "titulo", "fonte"), path)
+    return exports.read_csv(spark, path, "item_id bigint, titulo string, fonte string")
+
+
+@query
+def spreadsheet(spark, d):
+    path = fresh_path(spark, "folha") + ".xlsx"
+    exports.write_xlsx(series.value_counts(_items(spark, d), F.col("fonte"), "item_id", 15), path)
+    return exports.read_sheet(spark, path)
+
+
+@query
+def workbook_counts(spark, d):
+    """The workbook's sheet of counts by area, with its formulas."""
+    path = fresh_path(spark, "livro") + ".xlsx"
+    items = it.report_rows(_items(spark, d), AS_OF, 48, undated=False, dims=DIMS)
+    exports.write_workbook(items, _t(spark, d, "areas"), spark.createDataFrame([("a", "erro")], "area string, erro string"), path)
+    return exports.read_sheet(spark, path, 2)
+
+
+def _in_turn(spark, d) -> str:
+    """The archive's table in three parts, in the order of its runs."""
+    path, items = fresh_path(spark, "entradas"), _t(spark, d, "arquivo")
+    for part in ("run_ord <= 3", "run_ord between 4 and 7", "run_ord > 7"):
+        items.where(part).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@query
+def stream_archive(spark, d):
+    """The rolling archive kept by a stream in three batches, all of which come again after the checkpoint was lost."""
+    source, path, schema = _in_turn(spark, d), fresh_path(spark, "versoes"), _t(spark, d, "arquivo").schema
+    for k in range(2):
+        archive.run_archive(archive.read_items(spark, source, schema), f"{path}/v", f"{path}/checkpoint-{k}", AS_OF).awaitTermination()
+    return archive.latest(spark, f"{path}/v").select("item_id", "resumo", "palavras")
+
+
+@query
+def stream_first_seen(spark, d):
+    path = fresh_path(spark, "vistos")
+    seen = archive.first_seen(archive.read_items(spark, f"{d}/arquivo.parque[t]", _t(spark, d, "arquivo").schema, 100)).select("ligacao")
+    seen.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{path}/out")
 
 
 @query
 def stream_daily(spark, d):
     """Daily counts kept by a stream over the archive's files."""
     schema = _t(spark, d, "arquivo").schema
-    counts = archive.daily_counts(archive.read_items(spark, f"{d}/arquivo.parque[t]", schema, 100))
-    path = f"{shared_dir(spark)}/clipfold/stream-{uuid.uuid4().hex}"
-    write = lambda df, n: df.write.mode("overwrite").parquet(f"{path}/out")
-    counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{path}/out")
+    counts = archive.daily_counts(archive.read_items(spark, f"{d}/arquivo.parque[t]", schema, 100), dims=DIMS)
+    path = fresh_path(spark, "contagens")
+    upsert = lambda df, n: archive.upsert_counts(df, n, f"{path}/out")
+    counts.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return archive.current_counts(spark, f"{path}/out")
 
 
 def queries() -> dict[str, Query]:

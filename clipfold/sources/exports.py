@@ -1,50 +1,145 @@
-"""Exports for people: tables as CSV, the workbook's sheets, report pages and confirmations."""
+"""Exports for people: tables as CSV and spreadsheets, report pages and confirmations."""
 
 from __future__ import annotations
 
-from datetime import datetime
+import io
+import re
+import zipfile
+from datetime import date, datetime
+from xml.sax.saxutils import escape
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipfold.functions.dates import long_date, next_report_day
+from clipfold.functions.dates import first_report
 from clipfold.functions.text import escape_html, mask_email
 from clipfold.operators import report, series
+from clipfold.sources.state import put
 
 SHEET = ("area", "grupo", "ts", "fonte", "dominio", "titulo", "resumo", "ligacao")
+#: Rows that a sheet holds by its format.
+SHEET_ROWS = 1_048_575
+
+
+#: Quotes are doubled, white space stays; null is written apart from the empty text.
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "nullValue": "\\N"}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**_CSV).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).options(**_CSV, multiLine=True).csv(path)
+
+
+def _bounded(df: DataFrame, most: int, what: str) -> pa.Table:
+    table = df.limit(most + 1).toArrow()
+    if table.num_rows > most:
+        raise ValueError(f"more than {most} rows for one {what}")
+    return table
 
 
 def csv_text(df: DataFrame, most: int = 100_000) -> str:
     """One CSV with a byte-order mark, as spreadsheets want it; refuses more than ``most`` rows."""
-    pdf = df.limit(most + 1).toPandas()
-    if len(pdf) > most:
-        raise ValueError(f"more than {most} rows for one file")
-    return "﻿" + pdf.to_csv(index=False)
+    return "﻿" + _bounded(df, most, "file").to_pandas().to_csv(index=False)
 
 
 def workbook(items: DataFrame, areas: DataFrame, errors: DataFrame) -> dict[str, DataFrame]:
     """The sheets: items (newest first, undated before), counts over all areas, and failures."""
     ordered = items.orderBy(F.desc_nulls_first("ts"), *[c for c in ("run_ord", "feed_ord", "item_id") if c in items.columns]).select(*SHEET)
     counts = series.zero_filled(areas.select("area"), "area", items.groupBy("area").agg(F.count("*").alias("noticias")), "noticias")
-    return {"noticias": ordered, "resumo": counts, "falhas": errors}
+    return {"noticias": ordered, "resumo": counts.orderBy("area"), "falhas": errors}
+
+
+def _column(k: int) -> str:
+    name = ""
+    while k >= 0:
+        name, k = chr(65 + k % 26) + name, k // 26 - 1
+    return name
+
+
+def _cell(at: str, v) -> str:
+    if v is None:
+        return ""
+    if isinstance(v, bool) or not isinstance(v, (int, float)):
+        text = v.strftime("%Y-%m-%d %H:%M") if isinstance(v, datetime) else v.isoformat() if isinstance(v, date) else str(v)
+        if text.startswith("=COUNTIF("):
+            return f'<c r="{at}"><f>{escape(text[1:])}</f></c>'
+        text = re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f￾￿]", " ", text)[:32_767]  # a cell's limit by its format
+        return f'<c r="{at}" t="inlineStr"><is><t xml:space="preserve">{escape(text)}</t></is></c>'
+    return f'<c r="{at}"><v>{v}</v></c>'
+
+
+def xlsx(sheets: dict[str, pa.Table]) -> bytes:
+    """A spreadsheet file of tables; a text that begins with ``=COUNTIF(`` becomes that formula."""
+    out = io.BytesIO()
+    names = list(sheets)
+    kind = "application/vnd.openxmlformats-officedocument.spreadsheetml"
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    pack = "http://schemas.openxmlformats.org/package/2006"
+    parts = "".join(f'<Override PartName="/xl/worksheets/sheet{k}.xml" ContentType="{kind}.worksheet+xml"/>' for k in range(1, len(names) + 1))
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("[Content_Types].xml", f'<Types xmlns="{pack}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/>{parts}</Types>')
+        z.writestr("_rels/.rels", f'<Relationships xmlns="{pack}/relationships"><Relationship Id="rId1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>' + "".join(f'<sheet name="{escape(n[:31])}" sheetId="{k}" r:id="rId{k}"/>' for k, n in enumerate(names, 1)) + "</sheets></workbook>")
+        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{pack}/relationships">' + "".join(f'<Relationship Id="rId{k}" Type="{rel}/worksheet" Target="worksheets/sheet{k}.xml"/>' for k in range(1, len(names) + 1)) + "</Relationships>")
+        for k, name in enumerate(names, 1):
+            t = sheets[name]
+            rows = [t.column_names, *zip(*(c.to_pylist() for c in t.columns))]
+            body = "".join(f'<row r="{i}">' + "".join(_cell(f"{_column(j)}{i}", v) for j, v in enumerate(row)) + "</row>" for i, row in enumerate(rows, 1))
+            z.writestr(f"xl/worksheets/sheet{k}.xml", f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>')
+    return out.getvalue()
+
+
+def write_xlsx(df: DataFrame, path: str, name: str = "dados", most: int = SHEET_ROWS) -> None:
+    """A table as a spreadsheet of one sheet; refuses more rows than a sheet holds."""
+    put(df.sparkSession, path, xlsx({name: _bounded(df, most, "sheet")}))
+
+
+def write_workbook(items: DataFrame, areas: DataFrame, errors: DataFrame, path: str, most: int = SHEET_ROWS) -> None:
+    """The workbook as a file, in which the counts by area are formulas over the sheet of items."""
+    sheets = {name: _bounded(df, most, "sheet") for name, df in workbook(items, areas, errors).items()}
+    last, counts = sheets["noticias"].num_rows + 1, sheets["resumo"]
+    live = [f"=COUNTIF(noticias!$A$2:$A${max(2, last)},A{i})" for i in range(2, counts.num_rows + 2)]
+    sheets["resumo"] = counts.append_column("actual", pa.array(live, pa.string()))
+    put(items.sparkSession, path, xlsx({k: v for k, v in sheets.items() if k != "falhas" or v.num_rows}))
+
+
+def read_sheet(spark: SparkSession, path: str, number: int = 1) -> DataFrame:
+    """The cells of a sheet as text: ``linha, coluna, valor``."""
+
+    def cells(batches):
+        for b in batches:
+            for body in b.column(0).to_pylist():
+                xml = zipfile.ZipFile(io.BytesIO(body)).read(f"xl/worksheets/sheet{number}.xml").decode("utf-8")
+                found = re.findall(r'<c r="([A-Z]+)(\d+)"[^>]*>(?:<is><t[^>]*>(.*?)</t></is>|<v>(.*?)</v>|<f>(.*?)</f>)</c>', xml, re.S)
+                back = lambda s: s.replace("&lt;", "<").replace("&gt;", ">").replace("&amp;", "&")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(r) for _, r, *_ in found], pa.int32()), pa.array([c for c, *_ in found], pa.string()), pa.array([back(t or v or f) for _, _, t, v, f in found], pa.string())], names=["linha", "coluna", "valor"]
+                )
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(cells, "linha int, coluna string, valor string")
 
 
 def with_syntheses(reports: DataFrame, syntheses: DataFrame, as_of: datetime, window: str) -> DataFrame:
-    """Area reports with the syntheses that are fresh and of the same window (``area, janela, gerado, origem, texto``)."""
-    ok = syntheses.where(report.fresh(F.col("gerado"), F.col("janela"), window, as_of))
-    block = ok.groupBy("area").agg(F.array_sort(F.collect_list(F.struct("origem", "texto"))).alias("s"))
-    html = F.array_join(F.transform("s", lambda x: F.concat(F.lit("<h3>"), escape_html(x["origem"]), F.lit("</h3><p>"), escape_html(x["texto"]), F.lit("</p>"))), "")
-    return reports.join(block.select("area", html.alias("sintese")), "area", "left").withColumn("sintese", F.coalesce("sintese", F.lit("")))
-
-
-def confirmations(changed: DataFrame, moment: datetime) -> DataFrame:
-    """``email, para, texto``: which areas an address now gets, and when the first report comes."""
-    g = changed.groupBy("email").agg(F.array_sort(F.collect_set("area")).alias("areas"))
-    when = long_date(next_report_day(F.lit(moment)))
-    n = F.size("areas")
-    text = F.concat(F.when(n == 1, "Subscreveu a área ").otherwise("Subscreveu as áreas "), F.array_join("areas", "; "), F.lit(". O primeiro relatório chega a "), when, F.lit("."))
-    return g.select("email", mask_email("email").alias("para"), text.alias("texto"))
+    """Area reports with ``sintese``, the HTML of those syntheses that are fresh and of the same window."""
+    block = report.syntheses_by_area(syntheses, as_of, window)
+    return reports.join(block.select("area", F.col("sintese_html").alias("sintese")), "area", "left").withColumn("sintese", F.coalesce("sintese", F.lit("")))
+
+
+def confirmations(changed: DataFrame, moment: datetime, cancelled: bool = False, panel: str = "") -> DataFrame:
+    """``email, para, assunto, texto, html``: which areas an address now gets, or no longer gets, and when the first report comes."""
+    g = changed.groupBy("email").agg(F.array_sort(F.collect_set("area")).alias("areas"))  # at most all areas
+    subject = "Subscrição cancelada" if cancelled else "Subscrição confirmada"
+    when = F.lit(None).cast("string") if cancelled else F.concat(F.lit("O primeiro relatório chega "), first_report(F.lit(moment)), F.lit("."))
+    body = F.concat_ws(" ", F.lit("Deixa de receber os relatórios destas áreas." if cancelled else "Passa a receber um relatório de cada uma destas áreas."), when)
+    n = report.plural(F.size("areas"), "área", "áreas")
+    made = F.lit(f"Registado em {moment:%d/%m/%Y} às {moment:%H:%M}.")
+    text = F.concat_ws("\n", F.lit(subject.upper()), F.lit(""), body, F.lit(""), F.concat(n, F.lit(":")), F.array_join(F.transform("areas", lambda a: F.concat(F.lit("  - "), a)), "\n"), F.lit(f"Painel: {panel}") if panel else F.lit(None).cast("string"), made)
+    listed = F.array_join(F.transform("areas", lambda a: F.concat(F.lit("<li>"), escape_html(a), F.lit("</li>"))), "")
+    link = F.concat(F.lit('<p><a href="'), escape_html(F.lit(panel)), F.lit('">Abrir o painel</a></p>')) if panel else F.lit("")
+    html = F.concat(F.lit(f"<h1>{subject}</h1><p>"), body, F.lit("</p><h2>"), n, F.lit("</h2><ul>"), listed, F.lit("</ul>"), link, F.lit("<p><small>"), made, F.lit("</small></p>"))
+    return g.select("email", mask_email("email").alias("para"), F.lit(subject).alias("assunto"), text.alias("texto"), html.alias("html"))

@@ -17,26 +17,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipfold.functions.dates import parse_minute, parse_rfc
-from clipfold.functions.text import blank, clean_html, filled, host, split_title, summary_unless_title
+from clipfold.functions.text import blank, clean_html, split_title, summary_unless_title
+from clipfold.operators.items import ORDER, with_registry
+from clipfold.operators.merge import first_with_keywords
+from clipfold.operators.report import top_k
+from clipfold.operators.rules import confirmed
 from clipfold.plans.ship import ship
 
 PAYLOAD = "feed_ord int, url string, body binary"
-PARSED = "feed_ord int, item_ord int, titulo string, resumo string, ligacao string, imagem string, data string, fonte string, erro string"
-_FIELDS = ["titulo", "resumo", "ligacao", "imagem", "data", "fonte"]
+PARSED = "feed_ord int, item_ord int, titulo string, resumo string, ligacao string, imagem string, data string, fonte string, dominio string, erro string"
+_FIELDS = ["titulo", "resumo", "ligacao", "imagem", "data", "fonte", "dominio"]
 _XML_OWN = {"amp", "lt", "gt", "quot", "apos"}
-_DECLARED = re.compile(rb"encoding\s*=\s*[\"']([A-Za-z0-9._-]+)[\"']")
+_DECLARED = re.compile(rb"encoding\s*=\s*[\"']([A-Za-z0-9._-]+)[\"']", re.I)
 _ENTITY = re.compile(r"&([A-Za-z][A-Za-z0-9]*);")
+#: Encodings tried after the declared one; the last reads any byte.
+ENCODINGS = ("utf-8", "cp1252", "iso-8859-1")
 
 
 def decode(body: bytes) -> str:
-    """By the encoding declared at the start, else UTF-8, else Windows-1252; what can't be read is replaced."""
+    """By the encoding declared at the start, else the first of ``ENCODINGS`` that reads all of it."""
     declared = _DECLARED.search(body[:200])
-    for name in ([declared.group(1).decode()] if declared else []) + ["utf-8-sig", "cp1252"]:
+    for name in ([declared.group(1).decode().lower()] if declared else []) + list(ENCODINGS):
         try:
-            return body.decode(name)
+            return body.decode(name).removeprefix("\ufeff")
         except (UnicodeDecodeError, LookupError):
             continue
-    return body.decode("cp1252", "replace")
+    raise AssertionError("the last encoding reads any byte")
 
 
 def repair(text: str) -> str:
@@ -58,41 +64,52 @@ def _first(item: ET.Element, *names: str) -> str:
     return ""
 
 
+def _address(text: str | None) -> str:
+    text = (text or "").strip()
+    return text if text.startswith("http") else ""
+
+
 def item_link(item: ET.Element) -> str:
     """The text of ``link``, else the href of an alternate one, else guid, original link or id, if it is an address."""
     options = [_first(item, "link")]
-    options += [c.get("href", "") for c in item if _local(c.tag) == "link" and c.get("rel", "alternate") == "alternate"]
+    options += [c.get("href") for c in item.iter() if _local(c.tag) == "link" and c.get("rel", "alternate") == "alternate"]
     options += [_first(item, "guid"), _first(item, "origLink"), _first(item, "id")]
-    return next((o for o in options if o.startswith("http")), "")
+    return next(filter(None, map(_address, options)), "")
+
+
+#: The source of the first picture in a piece of HTML.
+_PICTURE = re.compile(r"<img\b(?:[^>]*?\s)?src\s*=\s*(?P<q>[\"'])(?P<at>.*?)(?P=q)", re.I | re.S)
 
 
 def item_image(item: ET.Element) -> str:
-    """Media content, else thumbnail, else an enclosure that is an image or untyped, else the first picture of the text."""
-    for name in ("content", "thumbnail"):
-        for c in item.iter():
-            if _local(c.tag) == name and c.get("url") and (name == "thumbnail" or c.get("medium", "image") == "image"):
-                return c.get("url")
+    """Media content, else thumbnail, else an enclosure that is an image or untyped, else the first picture of the text; only addresses."""
+    options = [c.get("url") for name in ("content", "thumbnail") for c in item.iter() if _local(c.tag) == name]
+    options += [c.get("url") for c in item if _local(c.tag) == "enclosure" and c.get("type", "image").startswith("image")]
+    options += [m.group("at") for name in ("description", "encoded") if (m := _PICTURE.search(_first(item, name)))]
+    return next(filter(None, map(_address, options)), "")
+
+
+def _source(item: ET.Element) -> tuple[str, str]:
+    """Name and domain of the publication that the item itself names."""
     for c in item:
-        if _local(c.tag) == "enclosure" and c.get("url") and c.get("type", "image/").startswith("image/"):
-            return c.get("url")
-    for name in ("description", "encoded"):
-        m = re.search(r"<img[^>]+src=[\"']([^\"']+)", _first(item, name))
-        if m:
-            return m.group(1)
-    return ""
+        if _local(c.tag) == "source":
+            at = (c.get("url") or "").partition("://")[2]
+            return (c.text or "").strip(), re.split("[/?#]", at)[0]
+    return "", ""
 
 
 def parse(text: str) -> list[dict[str, str]]:
     """Items of a feed by their local name (``item``, else ``entry``), whatever the namespace."""
     root = ET.fromstring(text)
     found = [e for e in root.iter() if _local(e.tag) == "item"] or [e for e in root.iter() if _local(e.tag) == "entry"]
-    return [
-        {
-            "titulo": _first(e, "title"), "resumo": _first(e, "description", "summary", "encoded", "content"), "ligacao": item_link(e), "imagem": item_image(e),
-            "data": _first(e, "pubDate", "date", "published", "updated"), "fonte": _first(e, "source", "creator"),
-        }
-        for e in found
-    ]
+    out = []
+    for e in found:
+        fonte, dominio = _source(e)
+        out.append({
+            "titulo": _first(e, "title"), "resumo": _first(e, "description", "summary", "content"), "ligacao": item_link(e), "imagem": item_image(e),
+            "data": _first(e, "pubDate", "date", "published", "updated"), "fonte": fonte, "dominio": dominio,
+        })
+    return out
 
 
 def explode_items(payloads: DataFrame) -> DataFrame:
@@ -123,16 +140,16 @@ def parse_date(c: Column, as_of: datetime) -> Column:
 
 
 def items(payloads: DataFrame, feeds: DataFrame, as_of: datetime, run_ord: int = 1) -> tuple[DataFrame, DataFrame]:
-    """Normalised items (``run_ord, feed_ord, item_ord, ts, fonte, dominio, titulo, resumo, ligacao, imagem``), and errors."""
+    """Normalised items (``run_ord, feed_ord, item_ord, ts, fonte, dominio, titulo, resumo, ligacao, imagem``), and errors.
+
+    Source and domain are the item's own, else those of its feed.
+    """
     parsed = explode_items(payloads)
     good = parsed.where("erro is null").withColumn("ts", F.date_trunc("minute", parse_date(F.col("data"), as_of)).cast("timestamp_ntz"))
-    title, source = split_title(clean_html("titulo"), clean_html(blank("fonte")))
-    reg = feeds.select("feed_ord", F.col("source").alias("__source"), F.col("domain").alias("__domain"))
-    out = good.withColumns({"titulo": title, "fonte": source}).join(reg, "feed_ord", "left")
-    out = out.select(
-        F.lit(run_ord).alias("run_ord"), "feed_ord", "item_ord", "ts", F.coalesce(filled("fonte"), "__source", F.lit("")).alias("fonte"),
-        F.coalesce(filled("__domain"), host("ligacao")).alias("dominio"), "titulo", summary_unless_title(clean_html("resumo"), "titulo").alias("resumo"), "ligacao", "imagem",
-    )
+    cleaned = good.withColumns({"titulo": clean_html("titulo"), "fonte": clean_html(blank("fonte")), "resumo": clean_html("resumo")})
+    title, source = split_title("titulo", "fonte")
+    out = with_registry(cleaned.withColumns({"titulo": title, "fonte": source}), feeds)
+    out = out.select(F.lit(run_ord).alias("run_ord"), "feed_ord", "item_ord", "ts", "fonte", "dominio", "titulo", summary_unless_title("resumo", "titulo").alias("resumo"), "ligacao", "imagem")
     return out, parsed.where("erro is not null").select("feed_ord", "erro")
 
 
@@ -149,4 +166,25 @@ def search_query(phrases: Column, exclusions: Column, hosts: Column, days: int)
     quoted = F.array_join(F.transform(phrases, lambda p: F.concat(F.lit('"'), p, F.lit('"'))), " OR ")
     minus = F.transform(exclusions, lambda p: F.concat(F.lit('-"'), p, F.lit('"')))
     sites = F.transform(hosts, lambda h: F.concat(F.lit("-site:"), h))
-    return F.concat_ws(" ", F.concat(F.lit("("), quoted, F.lit(")")), F.array_join(minus, " "), F.array_join(sites, " "), F.lit(f"when:{days}d"))
+    parts = [F.concat(F.lit("("), quoted, F.lit(")")), *(F.when(F.size(x) > 0, F.array_join(x, " ")) for x in (minus, sites)), F.lit(f"when:{days}d")]
+    return F.concat_ws(" ", *parts)
+
+
+def search_url(query: Column, base: str, language: str = "pt-PT", country: str = "PT", edition: str = "PT:pt-150") -> Column:
+    """The address of a search's feed at ``base``, in an edition."""
+    q = F.url_encode(query)
+    for was, now in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        q = F.replace(q, F.lit(was), F.lit(now))
+    return F.concat(F.lit(f"{base}?q="), q, F.lit(f"&hl={language}&gl={country}&ceid={edition}"))
+
+
+def by_keyword(fetched: DataFrame, limit: int = 60, order: tuple[str, ...] = ORDER) -> DataFrame:
+    """Items fetched keyword by keyword (``area, palavra`` with the item's fields) as one row an item with all its keywords.
+
+    The first ``limit`` rows of a search count; as searches match loosely, each row's keyword must really be in its text;
+    rows of one area, title and source are one item.
+    """
+    first = top_k(fetched, [F.col("area"), F.col("palavra")], [F.asc(c) for c in order], limit)
+    true = confirmed(first.withColumn("__text", F.concat_ws(" ", "titulo", "resumo")), "palavra", "__text").drop("__text")
+    listed = true.withColumn("palavras", F.array("palavra")).drop("palavra")
+    return first_with_keywords(listed, [F.col("area"), F.lower("titulo"), F.lower("fonte")], order=order)

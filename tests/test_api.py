@@ -1,8 +1,11 @@
 import json
 from datetime import datetime
 
+import pytest
+
 from clipfold import api
 from clipfold.operators import items as it
+from clipfold.plans import cut
 from clipfold.sources import exports, feeds
 from tests.test_operators import item, items
 
@@ -42,10 +45,13 @@ def test_reports_and_syntheses(spark):
     made = api.syntheses(archive, AS_OF)
     assert [(r.area, r.noticias) for r in made.collect()] == [("A", 4)]
     whole = exports.with_syntheses(texts, made, AS_OF, "24h").first()
-    assert "nacionais" in whole.sintese and whole.html.count("<li>") == 4
+    assert "<h4>Portugal · 4 notícias</h4>" in whole.sintese and whole.html.count("<tr><td>") == 4
+    assert "Portugal" in api.reports(archive, some, AS_OF, written=made)[0].first().texto
     assert exports.with_syntheses(texts, made, datetime(2026, 8, 8, 21, 0), "24h").first().sintese == ""
     note = exports.confirmations(some, datetime(2026, 8, 7, 11, 0)).first()
-    assert "10 de agosto de 2026" in note.texto and note.para == "x***@y.pt"
+    assert "a partir de segunda-feira, às 10h00" in note.texto and note.para == "x***@y.pt" and "<li>A</li>" in note.html
+    assert "ainda esta manhã" in exports.confirmations(some, datetime(2026, 8, 7, 9, 0)).first().texto
+    assert "chega" not in exports.confirmations(some, AS_OF, cancelled=True).first().texto
 
 
 def test_workbook_and_csv(spark):
@@ -54,6 +60,21 @@ def test_workbook_and_csv(spark):
     assert {r.area: r.noticias for r in book["resumo"].collect()} == {"Pontes": 2, "Museus": 0}
     assert book["noticias"].first().ts is None
     assert exports.csv_text(book["resumo"]).startswith("﻿area,noticias")
+    with pytest.raises(ValueError):
+        exports.csv_text(book["resumo"], 1)
+
+
+def test_saving_clears_what_was_cut(spark, tmp_path):
+    made = []
+
+    def job():
+        made.append(cut.cut(spark.range(3), "t"))
+        return made[0]
+
+    api.save(job, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+    with pytest.raises(Exception, match="."):
+        made[0].collect()
 
 
 def test_longitudinal(spark, tmp_path):

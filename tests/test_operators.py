@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from clipfold.functions import dates, text
 from clipfold.operators import items as it
-from clipfold.operators import merge, report, series, subs
+from clipfold.operators import dims, merge, report, series, subs
+from clipfold.plans.ranked import ranked
 
 AS_OF = datetime(2026, 8, 8, 12, 0)
 ITEM = "run_ord int, feed_ord int, item_id bigint, area string, grupo string, data string, fonte string, dominio string, titulo string, resumo string, ligacao string, palavras array<string>, imagem string"
@@ -42,6 +43,45 @@ def test_titles(spark):
     t, s = text.split_title("t", "s")
     assert [tuple(r) for r in df.select(t, s).collect()] == [("A - B", "Fonte"), ("A", "b"), ("A - B", "Z"), ("A", "")]
     assert one(spark, text.summary_unless_title("r", "t"), r="Uma casa nova, diz", t="Uma casa nova") == ""
+    assert one(spark, text.summary_unless_title("r", "t"), r="— Governo aprova lei. Jornal", t="Governo aprova lei") == ""
+
+
+def test_entities_and_addresses(spark):
+    assert one(spark, text.clean_html("x"), x="Educa&ccedil;&atilde;o <b>&#233;</b>&amp;lt;") == "Educação é &lt;"
+    link = lambda u: one(spark, text.plausible_url("u"), u=u)
+    assert link("HTTPS://jornal.example/artigo-google.-novo") and link("https://www.youtube.com/watch?v=1") and not link("https://lh3.googleusercontent.com/a")
+    other = "https://jornal.example/articles/aHR0cHM6Ly9qb3JuYWwuZXhhbXBsZS9hcnRpZ28tdW0"
+    assert one(spark, text.redirect_target("u"), u=other) == other
+    assert one(spark, text.redirect_target("u"), u=other.replace("jornal.example", "news.google.com/rss")) == "https://jornal.example/artigo-um"
+    assert one(spark, text.redirect_target("u"), u="https://news.google.com/rss/articles/%%%a") == "https://news.google.com/rss/articles/%%%a"
+
+
+def test_dimensions_from_a_table(spark):
+    rows = [("WWW.blog.com", "national", None), ("k.de", "portuguese", None), ("rede.pt", "platform", None), ("z.com", "country", "Chile"), (None, "national", None)]
+    d = dims.from_table(spark.createDataFrame(rows, "domain string, kind string, value string"))
+    at = lambda f, x: one(spark, f("x", d), x=x)
+    assert at(dims.origin, "sub.blog.com") == "nacionais" and at(dims.origin, "xblog.com") == "internacionais" and at(dims.writes_portuguese, "k.de") and at(dims.writes_portuguese, "blog.com")
+    assert at(dims.on_platform, "m.rede.pt") and at(dims.country, "z.com") == "Chile" and at(dims.country, "a.it") == "Itália" and at(dims.origin, "noticiasaominuto.com") == "nacionais"
+
+
+def test_ranks_are_those_of_a_window(spark):
+    df = spark.range(500).selectExpr("id", "case when id % 3 = 0 then null when id % 3 = 1 then 'a' else 'b' end g", "cast(id * 7919 % 101 as int) v").repartition(7)
+    got = {r.id: r.posto for r in ranked(df, ["g"], [F.desc("v"), F.asc("id")]).collect()}
+    want = {r.id: r.n for r in df.selectExpr("id", "row_number() over (partition by g order by v desc, id) n").collect()}
+    assert got == want
+    assert sorted(r.posto for r in ranked(df, [], [F.asc("id")]).collect()) == list(range(1, 501))
+    assert ranked(df.limit(0), ["g"], [F.asc("id")]).count() == 0
+
+
+def test_failing_groups_leave_the_others(spark):
+    def write(area, origem, lines):
+        if area == "B":
+            raise ValueError("x")
+        return "palavra " * 10
+
+    df = items(spark, *[item(k, area=a) for a in "ABC" for k in range(3)], item(9, area="D"))
+    got = {r.area: (r.estado, r.erro) for r in report.summarise_each(df, write).collect()}
+    assert got == {"A": ("escrita", None), "B": ("falhou", "ValueError: x"), "C": ("escrita", None), "D": ("poucas", None)}
 
 
 @pytest.mark.parametrize("email, want", [("ana@x.pt", "a***@x.pt"), ("abcdef@x.pt", "abc***@x.pt"), ("abcdefghi@x.pt", "abc******@x.pt")])

@@ -41,5 +41,12 @@ def test_candidates_same_as_every_rule_on_every_text(spark):
 def test_exclusion_drops_only_its_area(spark):
     r = spark.createDataFrame([("a", "museu", "keyword", 1), ("a", "peça de museu", "exclude", 2), ("b", "museu", "keyword", 1)], "area_id string, phrase string, kind string, ord int")
     t = spark.createDataFrame([(1, "uma peça de museu"), (2, "um museu"), (3, None), (4, "")], "item_id bigint, texto string")
-    got = {(x.item_id, x.area_id) for x in rules.classify(rules.hits(t, r)).collect()}
-    assert got == {(1, "b"), (2, "a"), (2, "b")}
+    for made in (rules.classify(rules.hits(t, r)), rules.classified(t, r)):
+        got = {(x.item_id, x.area_id, *x.palavras) for x in made.collect()}
+        assert got == {(1, "b", "museu"), (2, "a", "museu"), (2, "b", "museu")}
+    assert "Exchange" not in rules.classified(t, r)._jdf.queryExecution().toString()
+
+
+def test_phrases_confirmed_row_by_row(spark):
+    df = spark.createDataFrame([("museu", "um museu"), ("museu", "uma ponte"), ("IRS", "irs"), (None, "x"), ("x", None), ("—", "— a")], "p string, t string")
+    assert [tuple(r) for r in rules.confirmed(df, "p", "t").collect()] == [("museu", "um museu")]

@@ -1,12 +1,14 @@
 import json
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from clipfold.operators import items as it
 from clipfold.operators import series
 from clipfold.sources import feeds, state
 from clipfold.streaming import archive
+from tests.test_operators import item, items
 
 AS_OF = datetime(2026, 8, 8, 12, 0)
 RSS = """<?xml version="1.0" encoding="iso-8859-1"?><rss xmlns:media="m"><channel><item><title>Ação &ccedil; - Diário</title><link>https://a.pt/1</link>
@@ -31,9 +33,36 @@ def test_feeds(spark):
 
 def test_decoding():
     assert feeds.decode("é".encode("cp1252")) == "é" and feeds.decode("é".encode()) == "é"
+    assert feeds.decode(b"a\x81\xe9") == "a\x81é"  # no byte is lost
+    assert feeds.decode(b"<?xml encoding='nope'?>\xc3\xa9")[-1] == "é" and feeds.decode("\ufeffa".encode()) == "a"
     assert feeds.repair("a & b &nope; &amp; &#233;") == "a &amp; b   &amp; &#233;"
 
 
+def test_source_domain_and_image_of_items(spark):
+    item = '<item><title>T</title><dc:creator>Ana</dc:creator>{}</item>'
+    rss = '<rss xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns:media="m"><channel>' + "".join(map(item.format, (
+        "", '<source url="https://jornal.ao:80/x">Jornal</source>', '<enclosure url="nada"/><media:content medium="video" url="https://a.pt/v"/>', '<enclosure type="audio/x" url="https://a.pt/s"/><media:thumbnail url="/rel"/>',
+    ))) + "</channel></rss>"
+    reg = spark.createDataFrame([(1, "Agregador", "agregador.pt")], "feed_ord int, source string, domain string")
+    got = sorted(feeds.items(spark.createDataFrame([(1, "u", bytearray(rss.encode()))], feeds.PAYLOAD), reg, AS_OF)[0].collect(), key=lambda r: r.item_ord)
+    assert [(r.fonte, r.dominio, r.imagem) for r in got] == [("Agregador", "agregador.pt", ""), ("Jornal", "jornal.ao:80", ""), ("Agregador", "agregador.pt", "https://a.pt/v"), ("Agregador", "agregador.pt", "")]
+
+
+def test_versions_survive_a_lost_checkpoint_and_refuse_gaps(spark, tmp_path):
+    one = lambda k: items(spark, item(k, run=k, titulo=f"T{k}"))
+    root, when = f"file://{tmp_path}/v", datetime(2026, 8, 8, 12, 0)
+    archive.merge_batch(one(1), "aa", 0, root, when)
+    archive.merge_batch(one(2), "aa", 1, root, when)
+    archive.merge_batch(one(3), "bb", 0, root, when)  # batch 0 of a new checkpoint
+    archive.merge_batch(one(9), "bb", 0, root, when)  # a retried batch is already there
+    assert sorted(r.titulo for r in archive.latest(spark, root).collect()) == ["T1", "T2", "T3"]
+    with pytest.raises(ValueError):
+        archive.merge_batch(one(5), "bb", 2, root, when)
+    (tmp_path / "v" / "v=000000000009-cc-0").mkdir()  # a version left incomplete by a failure
+    archive.merge_batch(one(4), "bb", 1, root, when)
+    assert archive.latest(spark, root).count() == 4 and len(archive.versions(spark, root)) == 3
+
+
 def test_search_query(spark):
     df = spark.createDataFrame([(["a", "b c"], ["x"], ["h.pt"])], "p array<string>, e array<string>, h array<string>")
     q = df.select(feeds.search_query(F.col("p"), F.col("e"), F.col("h"), 7).alias("q")).first().q
@@ -98,11 +127,11 @@ def test_streams(spark, tmp_path):
     stream = archive.read_items(spark, str(folder), src.schema)
     when = datetime(2018, 3, 2)
     archive.run_archive(stream, str(tmp_path / "state"), str(tmp_path / "ck"), when).awaitTermination()
-    got = archive.latest(spark, str(tmp_path / "state"))
+    got = archive.latest(spark, str(tmp_path / "state")).collect()
     kept = it.normalise(src.where("run_ord <= 3")).where(it.retained(when, 7))
-    assert got.count() == kept.select("area", F.lower("titulo"), F.lower("fonte")).distinct().count()
-    archive.merge_batch(_archive(spark), 0, str(tmp_path / "state"), when)  # a retried batch changes nothing
-    assert archive.latest(spark, str(tmp_path / "state")).count() == got.count()
+    assert len(got) == kept.select("area", F.lower("titulo"), F.lower("fonte")).distinct().count()
+    archive.run_archive(stream, str(tmp_path / "state"), str(tmp_path / "ck2"), when).awaitTermination()  # all again
+    assert archive.latest(spark, str(tmp_path / "state")).count() == len(got)
     q = archive.daily_counts(stream).writeStream.format("memory").queryName("dias").outputMode("update").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.sql("select sum(noticias) from (select data, area, origem, max(noticias) noticias from dias group by 1, 2, 3)").first()[0] > 0
