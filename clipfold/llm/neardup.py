@@ -1,19 +1,16 @@
-"""Problem 5: near-duplicate records by a blocked sparse product of the document-by-word incidence matrix.
+"""Problem 5: near-duplicate records by a blocked sparse product of the document-by-2-gram incidence matrix.
 
-Columns are words. The product is taken over the columns of each document's head, its rarest words that other documents
-have too. Heads are as long as the threshold demands (35 % of a document's words at 0.65), so no pair is lost. A block
-holds whole columns; in it, documents meet that have the column's word and one of the words after it. The place of the
-second word bounds the overlap: of a document of n words, it leaves at most those from it on. By that, a document meets
-only those of the sizes that the threshold still allows, which keeps the frequent words at the end of a head from
-meeting all others. Pairs below the bounds of their sizes and bit signatures are discarded before they leave the block;
-the pairs left are checked exactly on their whole word sets.
-
-``head`` cuts the heads to so many words and then loses pairs whose rarest words aren't common.
+A document is its set of words; its n-grams are the 2-grams of its canonical text (see ``sets``), of which two documents
+at the threshold must share a number that follows from their sizes. Only the rarest 2-grams of each document are columns
+(its head), as many as the threshold demands, so no pair is lost. A block holds whole columns. In it, the documents of a
+column meet that the bounds of sizes and bit signatures allow; the product adds up how many columns each pair shares, first
+in its block, then over all blocks, and discards the pairs below what their sizes demand. The pairs left are checked
+exactly on their whole word sets.
 
 Exact copies are one class: only its first document enters the product, and the class is unfolded at the end.
 
 Cases: documents without words are left out (two of them are no pair); rows repeated under one id are one document;
-hot words split their column by the second word; an empty table gives empty results; other columns are ignored.
+columns of very many documents are split over tasks; an empty table gives empty results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,81 +29,72 @@ LANES = 2
 PAIRS_AT_ONCE = 4_000_000
 
 
-def product(threshold: float, places: bool = False):
-    """For ``mapInArrow`` over ``sets.by_column``: pairs ``a < b`` that may reach the threshold.
-
-    ``places``: the rows tell the place of their words in heads that aren't cut.
-    """
-
-    def largest(doc: np.ndarray, ns: np.ndarray, left: np.ndarray) -> np.ndarray:
-        """Up to which size another document can be similar that has the same first two words; ``doc`` rises."""
-        n = ns[doc].astype(np.int64)
-        overlap = n
-        if places:
-            after = left[doc] - (np.arange(len(doc)) - np.searchsorted(doc, np.arange(len(ns)))[doc])
-            overlap = np.maximum(np.ceil(threshold * n - 1e-9).astype(np.int64) - 2, 0) + after + 1
-        return np.floor(overlap * ((1 + threshold) / threshold) - n + 1e-6).astype(np.int64)
+def product(threshold: float):
+    """For ``mapInArrow`` over ``sets.by_column``: pairs ``a < b`` of a block with the number of columns they share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in sets.column_blocks(batches):
-            keys, doc, ids, left, ns, sigs = sets.block_arrays(t.sort_by("n"), LANES, sets.SHORTER if places else "<i4")
-            if not len(keys):
-                continue
-            most = largest(doc, ns, left)
-            order = np.argsort(keys, kind="stable")  # smaller documents first among the same two words
-            keys = keys[order]
-            same = keys[1:] == keys[:-1]
-            met = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-            keys, order = keys[met], order[met]
-            if not len(keys):
-                continue
-            doc, most = doc[order], most[order]
-            n = ns[doc].astype(np.int64)
-            group = np.cumsum(np.concatenate([[True], keys[1:] != keys[:-1]])) << 32
-            at = np.flatnonzero(most >= n)
-            ends = np.searchsorted(group + n, group[at] + np.minimum(most[at], (1 << 31) - 1), "right")
+            t = t.sort_by([("col", "ascending"), ("n", "ascending")])  # smaller documents first
+            col, side, ids, ns = (t[c].to_numpy() for c in ("col", "side", "id", "n"))
+            sigs = sets.lanes_of(t["sig"], LANES)
+            n = ns.astype(np.int64)
+            group = np.cumsum(np.concatenate([[True], col[1:] != col[:-1]])) << 32
+            at = np.arange(len(col))
+            ends = np.searchsorted(group + n, group + np.floor(n / threshold + 1e-9).astype(np.int64), "right")
             total = np.cumsum(ends - at - 1)
+            doc = np.unique(ids, return_inverse=True)
             found, s = [np.empty(0, np.int64)], 0
-            while s < len(at):  # in parts, so that memory doesn't follow the frequency of words
+            while s < len(at):  # in parts, so that memory doesn't follow the frequency of a 2-gram
                 e = max(s + 1, int(np.searchsorted(total, (total[s - 1] if s else 0) + PAIRS_AT_ONCE, "right")))
-                which, other = sets.expand(at[s:e] + 1, ends[s:e])
-                which = at[s:e][which]
-                ok = most[other] >= n[which]
-                x, y = doc[which[ok]], doc[other[ok]]
-                ok = sets.similar_enough(x, y, ns, sigs, threshold)
-                found.append(np.unique(x[ok] * len(ids) + y[ok]))
+                x, y = sets.expand(at[s:e] + 1, ends[s:e])
+                x += s
+                ok = (side[x] == 0) | (side[x] != side[y])
+                ok[ok] = sets.similar_enough(x[ok], y[ok], ns, sigs, threshold)
+                x, y = doc[1][x[ok]], doc[1][y[ok]]
+                found.append(np.minimum(x, y) * len(doc[0]) + np.maximum(x, y))
                 s = e
-            x, y = np.divmod(np.unique(np.concatenate(found)), len(ids))
-            x, y = ids[x], ids[y]
+            pairs, shared = np.unique(np.concatenate(found), return_counts=True)
+            x, y = np.divmod(pairs, len(doc[0]))
+            size = np.zeros(len(doc[0]), np.int32)
+            size[doc[1]] = ns
             apart = x != y
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)[apart]), pa.array(np.maximum(x, y)[apart])], names=["a", "b"])
+            x, y, shared = x[apart], y[apart], shared[apart]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[0][x]), pa.array(doc[0][y]), pa.array(size[x]), pa.array(size[y]), pa.array(np.ones(len(x), bool)), pa.array(shared.astype(np.int32))], names=["a", "b", "na", "nb", "earlier", "shared"]
+            )
 
     return run
 
 
-def classes(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: float = 0.65, head: int | None = None) -> tuple[DataFrame, DataFrame]:
+def classes(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: float = 0.65, hot: int = sets.HOT) -> tuple[DataFrame, DataFrame]:
     """Members (``rep, id``) of the classes of equal word sets, and pairs of classes (``a, b``, their first ids)."""
-    words = cut(sets.word_sets(df.select(F.col(id_col).cast("bigint").alias("id"), F.lit(0).alias("run"), text_col).where("id is not null"), ["id", "run"], text_col), "words")
-    level = sets.levels(sets.frequencies(words))
-    h = sets.heads(words, level, threshold, LANES, head)
-    reps = cut(sets.distinct_sets(h), "classes")
-    keys = h.select("id", "set_key").join(reps.select("set_key", F.col("id").alias("rep")), "set_key").select("rep", "id").distinct()
-    places = head is None
-    pairs = cut(sets.by_column(reps, level, threshold, LANES, places).mapInArrow(product(threshold, places), "a bigint, b bigint").distinct(), "candidates")
-    return keys, sets.verified(pairs, words, threshold).select("a", "b")
-
-
-def pairs(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: float = 0.65, head: int | None = None) -> DataFrame:
+    src = df.select(F.col(id_col).cast("bigint").alias("id"), text_col).where("id is not null")
+    words = cut(sets.word_sets(src, ["id"], text_col).withColumn("row", F.monotonically_increasing_id()), "words")
+    firsts = cut(words.groupBy("k1", "k2").agg(F.min(F.struct("id", "row")).alias("f")).select("k1", "k2", F.col("f.id").alias("rep"), F.col("f.row").alias("row")), "classes")
+    members = words.select("id", "k1", "k2").join(firsts.select("k1", "k2", "rep"), ["k1", "k2"]).select("rep", "id").distinct()
+    reps = words.join(firsts.select("row"), "row", "left_semi").withColumn("run", F.lit(0))
+    reps = cut(reps.select("id", "run", "words"), "reps")
+    order = sets.Order.fit(reps)
+    pairs = sets.by_column(sets.incidence(reps, order, threshold, LANES, hot)).mapInArrow(product(threshold), sets.PAIR_SCHEMA)
+    return members, sets.verified(cut(sets.accumulated(pairs, threshold), "candidates"), reps, threshold).select("a", "b")
+
+
+def pairs(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: float = 0.65, hot: int = sets.HOT) -> DataFrame:
     """``id_a < id_b``: all pairs of documents at the threshold, exact copies among them."""
-    members, links = classes(df, text_col, id_col, threshold, head)
+    members, links = classes(df, text_col, id_col, threshold, hot)
     members = cut(members, "members")
     copies = members.select("rep", F.col("id").alias("x")).join(members.select("rep", F.col("id").alias("y")), "rep").where("x < y").select("x", "y")
     across = links.join(members.select(F.col("rep").alias("a"), F.col("id").alias("x")), "a").join(members.select(F.col("rep").alias("b"), F.col("id").alias("y")), "b").select("x", "y")
     return copies.union(across).select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 
-def groups(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: float = 0.65, head: int | None = None) -> DataFrame:
+def groups(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: float = 0.65, hot: int = sets.HOT) -> DataFrame:
     """``id_col, class_id, n_links``: each document's class of equal word sets, and its links to other classes."""
-    members, links = classes(df, text_col, id_col, threshold, head)
+    members, links = classes(df, text_col, id_col, threshold, hot)
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
     return members.join(degree, "rep", "left").select(F.col("id").alias(id_col), F.col("rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+
+
+def links(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: float = 0.65, hot: int = sets.HOT) -> DataFrame:
+    """``class_a < class_b``: the links between classes, which with ``groups`` tell all groups at the threshold."""
+    return classes(df, text_col, id_col, threshold, hot)[1].select(F.least("a", "b").alias("class_a"), F.greatest("a", "b").alias("class_b"))

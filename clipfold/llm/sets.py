@@ -1,9 +1,10 @@
-"""Texts as sets of words: hashing, frequency order, heads and signatures, shared by the problems on near-duplicates.
+"""Texts as sets of words: hashing, canonical texts and their 2-grams, bounds; shared by the problems on near-duplicates.
 
-Words are runs of letters and digits, lower-cased, accents removed; each is a 64-bit number. All sets are ordered alike,
-rarest word first, by a table of fixed size that holds a frequency level for each of ``LEVELS`` hash buckets. Two sets
-whose Jaccard similarity is at least t share two or more words within their first n - ceil(t n) + 2 (the head), whatever
-the order; frequencies only make the shared words rare.
+Words are runs of letters and digits, lower-cased, accents removed; each is a 64-bit number. A set's canonical text has its
+words in one order for all sets, rarest first, between a begin and an end sign. Sets A and B of c common and d differing
+words have at least c + 1 - d 2-grams of their canonical texts in common: of the c + 1 steps from one common word (or
+sign) to the next, each differing word breaks one at most. So a similarity asks for a number of common 2-grams, of which a
+part must be among each set's rarest ones (its head), whatever the order.
 """
 
 from __future__ import annotations
@@ -11,9 +12,11 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -21,7 +24,9 @@ from pyspark.sql import functions as F
 
 from clipfold.plans.ship import ship
 
-LEVELS = 1 << 18
+#: Sizes of the tables of frequency levels: by the number of different things counted, within these bounds. A table that is
+#: too small for a vocabulary makes heads less rare; it loses nothing.
+LEAST_LEVELS, MOST_LEVELS = 1 << 18, 1 << 22
 CACHE_WORDS = 500_000
 WORD = re.compile(r"[^\W_]+")
 _MARKS = re.compile("[" + "".join(chr(c) for c in range(0x300, 0x20000) if unicodedata.combining(chr(c))) + "]+")
@@ -70,7 +75,7 @@ class Hasher:
 
 
 def word_sets(df: DataFrame, keep: list[str], text_col: str, clean=None) -> DataFrame:
-    """The columns ``keep`` and ``words ARRAY<BIGINT>``, sorted and distinct; rows without a word are left out.
+    """The columns ``keep``, ``k1, k2`` (128 bits of the set) and ``words ARRAY<BIGINT>``, sorted and distinct; rows without a word are left out.
 
     ``clean`` may change the folded text first, such as to take a publication's name off a title.
     """
@@ -78,22 +83,25 @@ def word_sets(df: DataFrame, keep: list[str], text_col: str, clean=None) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for b in batches:
-            flat, offsets, at = [], [0], []
+            flat, offsets, at, keys = array("q"), [0], [], bytearray()
             for i, t in enumerate(b.column(len(keep)).to_pylist()):
                 if t:
                     got = hasher(WORD.findall(clean(fold(t))) if clean else plain_words(t))
                     if got:
-                        flat += got
+                        start = len(flat)
+                        flat.extend(got)
+                        keys += xxhash.xxh3_128_digest(memoryview(flat)[start:])
                         offsets.append(len(flat))
                         at.append(i)
             rows = pa.array(at, pa.int64())
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*(b.column(k).take(rows) for k in range(len(keep))), lists], names=[*keep, "words"])
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(flat, np.int64)) if flat else pa.array([], pa.int64()))
+            k = np.frombuffer(bytes(keys), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([*(b.column(j).take(rows) for j in range(len(keep))), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), lists], names=[*keep, "k1", "k2", "words"])
 
     ship(df.sparkSession)
     src = df.select(*keep, F.col(text_col).alias("__text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema[:-1])
-    return src.mapInArrow(run, f"{fields}, words array<bigint>")
+    return src.mapInArrow(run, f"{fields}, k1 bigint, k2 bigint, words array<bigint>")
 
 
 def flat_lists(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -103,29 +111,29 @@ def flat_lists(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return col.flatten().to_numpy(), np.diff(col.offsets.to_numpy())
 
 
-def bucket(words: np.ndarray) -> np.ndarray:
-    return (words & (LEVELS - 1)).astype(np.int64)
-
-
-def frequencies(sets: DataFrame) -> np.ndarray:
-    """Documents by hash bucket of their words, over all of ``sets``: a table of ``LEVELS`` counts."""
+def _counted(df: DataFrame, things, size: int) -> np.ndarray:
+    """How often ``things(words, lens)`` occur in the sets of ``df`` (``words``), by hash bucket: a table of ``size`` counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(LEVELS, np.int64)
+        table = np.zeros(size, np.int64)
         for b in batches:
-            table += np.bincount(bucket(flat_lists(b.column(0))[0]), minlength=LEVELS)
+            table += np.bincount(bucket(things(*flat_lists(b.column(0))), size), minlength=size)
         at = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], names=["b", "n"])
 
-    ship(sets.sparkSession)
-    rows = sets.select("words").mapInArrow(run, "b bigint, n bigint").groupBy("b").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(LEVELS, np.int64)
+    ship(df.sparkSession)
+    rows = df.select("words").mapInArrow(run, "b bigint, n bigint").groupBy("b").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size, np.int64)
     out[rows["b"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
+def bucket(things: np.ndarray, size: int) -> np.ndarray:
+    return (things & (size - 1)).astype(np.int64)
+
+
 def levels(counts: np.ndarray) -> np.ndarray:
-    """Frequency levels, eight to a doubling; 0 for words of a single document."""
+    """Frequency levels, eight to a doubling; 0 for what is in a single document."""
     return np.minimum(np.ceil(8 * np.log2(np.maximum(counts, 1))), 255).astype(np.uint8)
 
 
@@ -134,6 +142,64 @@ def short(words: np.ndarray) -> np.ndarray:
     return ((words >> 7) ^ (words >> 39)).astype(np.int32)
 
 
+class Order:
+    """The order of words in canonical texts, and of 2-grams in heads: rarest first by tables of levels."""
+
+    def __init__(self, words: np.ndarray, grams: np.ndarray, unseen: bool = False):
+        self.words, self.grams, self.unseen = words, grams, unseen
+
+    @staticmethod
+    def fit(sets: DataFrame, unseen: bool = False) -> Order:
+        """From the frequencies in ``sets``; ``unseen``: other sets will be ordered too, so what is in one set here may meet others."""
+        different = sets.select(F.explode("words").alias("w")).agg(F.approx_count_distinct("w").alias("n")).first().n
+        size = 1 << int(np.clip(np.ceil(np.log2(max(2 * different, 1))), np.log2(LEAST_LEVELS), np.log2(MOST_LEVELS)))
+        words = levels(_counted(sets, lambda w, lens: w, size))
+        half = Order(words, words, unseen)
+        return Order(words, levels(_counted(sets, lambda w, lens: half.two_grams(w, lens), size)), unseen)
+
+    def two_grams(self, words: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """2-grams of the canonical texts, with the signs one more than words, set by set."""
+        doc = np.repeat(np.arange(len(lens)), lens)
+        w = short(words)
+        order = np.lexsort((w, self.words[bucket(words, len(self.words))], doc))
+        total = len(w) + 2 * len(lens)
+        text, starts = np.full(total, 1 << 40, np.int64), np.cumsum(lens + 2) - (lens + 2)
+        text[np.arange(len(w)) + 2 * doc + 1] = w[order].astype(np.int64) & 0xFFFFFFFF
+        text[starts + lens + 1] = 1 << 41
+        inner = np.ones(total, bool)
+        inner[starts + lens + 1] = False
+        at = np.flatnonzero(inner)
+        return mix(text[at].view(np.uint64), text[at + 1].view(np.uint64)).view(np.int64)
+
+    def heads(self, words: np.ndarray, lens: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """2-grams of the heads, the set of each, and its level; those that no other set has are left out."""
+        grams = self.two_grams(words, lens)
+        n = lens + 1
+        doc = np.repeat(np.arange(len(lens)), n)
+        lv = self.grams[bucket(grams, len(self.grams))]
+        order = np.lexsort((grams, lv, doc))
+        starts = np.cumsum(n) - n
+        _, pos = expand(starts, starts + n - common_grams(lens, threshold) + 1)
+        pos = order[pos]
+        if not self.unseen:
+            pos = pos[lv[pos] > 0]
+        return grams[pos], doc[pos], lv[pos]
+
+
+def common_grams(n: np.ndarray, threshold: float) -> np.ndarray:
+    """2-grams that a set of ``n`` words shares at least with any set of the similarity: with c words in common, the
+    differing ones are at most c / threshold - c, which is worst for the smallest c."""
+    c = np.ceil(threshold * n - 1e-9).astype(np.int64)
+    return 2 * c - np.floor(c / threshold + 1e-9).astype(np.int64) + 1
+
+
+def least_shared(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """2-grams of both heads that sets of ``a`` and ``b`` words share at least: what their sizes demand, less the more of the
+    2-grams that one head leaves out."""
+    c = np.ceil(threshold / (1 + threshold) * (a + b) - 1e-9).astype(np.int64)
+    return 3 * c + 1 - (a + b) - np.maximum(common_grams(a, threshold), common_grams(b, threshold)) + 1
+
+
 def signatures(words: np.ndarray, lens: np.ndarray, lanes: int) -> np.ndarray:
     """Bit signatures of ``lanes`` times 64 bits. Sets that differ in d words have signatures that differ in at most d bits."""
     out = np.zeros((len(lens), lanes), np.uint64)
@@ -146,21 +212,6 @@ def signatures(words: np.ndarray, lens: np.ndarray, lanes: int) -> np.ndarray:
     return out
 
 
-def rarest_first(words: np.ndarray, lens: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words of each set that other documents have too, rarest first; how many of each set those are."""
-    lv = level[bucket(words)]
-    doc = np.repeat(np.arange(len(lens)), lens)
-    keep = lv > 0  # a word of one document can't be shared
-    w, d, lv = words[keep], doc[keep], lv[keep]
-    order = np.lexsort((w, lv, d))
-    return w[order], np.bincount(d, minlength=len(lens)), lv[order]
-
-
-def head_sizes(n: np.ndarray, single: np.ndarray, threshold: float) -> np.ndarray:
-    """Words of the head among the shared ones: each word of a single document is one of the words two sets may differ in."""
-    return np.maximum(n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 2 - single, 0)
-
-
 def expand(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of each range and all positions of it, for ranges [lo, hi)."""
     n = np.maximum(hi - lo, 0)
@@ -174,86 +225,43 @@ def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(31))
 
 
-def column_rows(level: np.ndarray, threshold: float, lanes: int, cap: int | None = None, hot: int = 20_000, places: bool = False):
-    """A function for ``mapInArrow`` from ``id, run, n, sig, head`` rows to rows of the incidence matrix by column.
+#: Rows of a 2-gram above which its pairs are made in several tasks.
+HOT = 20_000
+ROW_SCHEMA = "col bigint, side tinyint, id bigint, run int, n int, sig binary"
 
-    A column is a word of the head that a pair may share first; its rows carry the words after it. Where a word is in
-    more than ``hot`` documents, its column is split by the second shared word, so that no column outgrows a task.
-    With ``places``, ``run`` holds how many words the head has from the first word of ``rest`` on, and words have 16 bits.
-    """
-    packed_as = SHORTER if places else "<i4"
-    width = np.dtype(packed_as).itemsize
-    hot_level = int(np.ceil(8 * np.log2(hot)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            words, lens = flat_lists(b.column(4))
-            lv = flat_lists(b.column(5))[0]
-            starts = np.cumsum(lens) - lens
-            doc, pos = expand(starts, starts + np.maximum(lens - 1, 0))
-            ends = (starts + lens)[doc]
-            cool = lv[pos] <= hot_level
-            yield rows(b, words[pos[cool]].astype(np.int64), doc[cool], *expand(pos[cool] + 1, ends[cool]), words, (ends - pos - 1)[cool])
-            which, second = expand(pos[~cool] + 1, ends[~cool])
-            if len(which):
-                col = (words[pos[~cool][which]].astype(np.int64) << 32) ^ words[second] ^ (1 << 62)
-                yield rows(b, col, doc[~cool][which], np.arange(len(second)), second, words, ends[~cool][which] - second)
+def incidence(sets: DataFrame, order: Order, threshold: float, lanes: int, hot: int | None = HOT) -> DataFrame:
+    """Rows of the incidence matrix of sets (``id, run, words``) and the 2-grams of their heads, as ``ROW_SCHEMA``.
 
-    def rows(b: pa.RecordBatch, col: np.ndarray, doc: np.ndarray, which: np.ndarray, rest: np.ndarray, words: np.ndarray, left: np.ndarray) -> pa.RecordBatch:
-        offsets = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(col)) * width)]).astype(np.int32)
-        packed = pa.Array.from_buffers(pa.binary(), len(col), [None, pa.py_buffer(offsets), pa.py_buffer(words[rest].astype(packed_as).tobytes())])
-        at = pa.array(doc)
-        run = pa.array(left.astype(np.int32)) if places else b.column(1).take(at)
-        return pa.RecordBatch.from_arrays([pa.array(col), b.column(0).take(at), run, b.column(2).take(at), b.column(3).take(at), packed], names=["col", "id", "run", "n", "sig", "rest"])
-
-    return run
-
-
-#: Words after a column's word where memory counts: those of two sets that fall together only add candidates.
-SHORTER = "<i2"
-COLUMN_SCHEMA = "col bigint, id bigint, run int, n int, sig binary, rest binary"
-
-
-def heads(sets: DataFrame, level: np.ndarray, threshold: float, lanes: int, cap: int | None = None) -> DataFrame:
-    """``set_key, id, run, n, sig, head, head_levels`` of each row (``id, run, words``) of ``sets``."""
+    A 2-gram of more than ``hot`` sets is split: its rows fall into g parts, and each pair of parts is a column of its own,
+    to which the rows of both go; ``side`` tells them apart (0 where a column is not such a pair), so that a pair of sets
+    meets in one column only.
+    """
+    hot_level = 256 if hot is None else int(np.ceil(8 * np.log2(hot)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             words, lens = flat_lists(b.column(2))
-            sig = signatures(words, lens, lanes)
-            starts = np.cumsum(lens) - lens
-            keys = np.array([xxhash.xxh3_64_intdigest(words[s : s + n].tobytes()) for s, n in zip(starts, lens)], np.uint64).view(np.int64)
-            w, k, lv = rarest_first(words, lens, level)
-            size = np.minimum(head_sizes(lens, lens - k, threshold), k)
-            if cap is not None:
-                size = np.minimum(size, cap)
-            at = np.cumsum(k) - k
-            _, pos = expand(at, at + size)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
-            raw = sig.astype("<u8").tobytes()
-            width = 8 * lanes
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys), b.column(0), b.column(1), pa.array(lens.astype(np.int32)), pa.array([raw[i * width : (i + 1) * width] for i in range(len(lens))], pa.binary()),
-                    pa.ListArray.from_arrays(offsets, pa.array(short(w[pos]))), pa.ListArray.from_arrays(offsets, pa.array(lv[pos].astype(np.int16))),
-                ],
-                names=["set_key", "id", "run", "n", "sig", "head", "head_levels"],
-            )
+            sig = pa.array([], pa.binary()) if not len(lens) else pa.Array.from_buffers(
+                pa.binary(), len(lens), [None, pa.py_buffer((np.arange(len(lens) + 1) * 8 * lanes).astype(np.int32)), pa.py_buffer(signatures(words, lens, lanes).astype("<u8").tobytes())]
+            )
+            col, doc, lv = order.heads(words, lens, threshold)
+            parts = np.where(lv > hot_level, np.ceil(2.0 ** ((lv.astype(float) - hot_level) / 8)), 1).astype(np.int64)
+            which, other = expand(np.zeros(len(col), np.int64), parts)
+            ids = b.column(0).to_numpy()
+            mine = mix(ids.view(np.uint64), np.full(len(ids), 3, np.uint64)).astype(np.int64)[doc[which]] % parts[which]
+            low, high = np.minimum(mine, other), np.maximum(mine, other)
+            side = np.where(low == high, 0, np.where(mine == low, 1, 2)).astype(np.int8)
+            cols = np.where(parts[which] > 1, mix(col[which].view(np.uint64), (low * 65_536 + high + 1).view(np.uint64)).view(np.int64), col[which])
+            at = pa.array(doc[which])
+            yield pa.RecordBatch.from_arrays([pa.array(cols), pa.array(side), b.column(0).take(at), b.column(1).take(at), pa.array(lens.astype(np.int32)).take(at), sig.take(at)], names=["col", "side", "id", "run", "n", "sig"])
 
     ship(sets.sparkSession)
-    return sets.select("id", "run", "words").mapInArrow(run, "set_key bigint, id bigint, run int, n int, sig binary, head array<int>, head_levels array<smallint>")
-
+    return sets.select("id", "run", "words").mapInArrow(run, ROW_SCHEMA)
 
-def distinct_sets(h: DataFrame) -> DataFrame:
-    """One row per distinct set: that of the smallest id."""
-    first = h.groupBy("set_key").agg(F.min(F.struct("id", "run", "n", "sig", "head", "head_levels")).alias("r"))
-    return first.select("set_key", "r.*")
 
-
-def by_column(reps: DataFrame, level: np.ndarray, threshold: float, lanes: int, places: bool = False) -> DataFrame:
-    """Rows of the incidence matrix, each column whole in one partition and its rows together."""
-    src = reps.where(F.size("head") >= 2).select("id", "run", "n", "sig", "head", "head_levels")
-    rows = src.mapInArrow(column_rows(level, threshold, lanes, places=places), COLUMN_SCHEMA)
+def by_column(rows: DataFrame) -> DataFrame:
+    """Each column whole in one partition, and its rows together."""
     return rows.repartition("col").sortWithinPartitions("col")
 
 
@@ -264,37 +272,47 @@ def column_blocks(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Ite
     for b in batches:
         if not len(b):
             continue
+        if size >= rows and b.column(0)[0] != held[-1].column(0)[-1]:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+        elif size >= rows:
+            col = b.column(0).to_numpy()
+            end = int(np.searchsorted(col, col[0], "right"))
+            if end < len(b):
+                yield pa.Table.from_batches([*held, b.slice(0, end)])
+                held, size, b = [], 0, b.slice(end)
         held.append(b)
         size += len(b)
-        if size >= rows:
-            table = pa.Table.from_batches(held)
-            col = table["col"].to_numpy()
-            cut = int(np.searchsorted(col, col[-1]))
-            if cut:
-                yield table.slice(0, cut)
-                held = table.slice(cut).to_batches()
-                size = len(col) - cut
     if held:
         yield pa.Table.from_batches(held)
 
 
-def packed_bytes(col: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a binary column, and the size of each value."""
+def packed_bytes(col: pa.ChunkedArray) -> np.ndarray:
+    """All bytes of a binary column."""
     a = col.combine_chunks()
     a = a.chunk(0) if isinstance(a, pa.ChunkedArray) else a
     offsets = np.frombuffer(a.buffers()[1], np.int32)[a.offset : a.offset + len(a) + 1]
     data = np.frombuffer(a.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if a.buffers()[2] is not None else np.empty(0, np.uint8)
-    return np.ascontiguousarray(data), np.diff(offsets).astype(np.int64)
+    return np.ascontiguousarray(data)
+
+
+def lanes_of(sig: pa.ChunkedArray, lanes: int) -> np.ndarray:
+    """Signatures, a row a lane."""
+    return np.ascontiguousarray(packed_bytes(sig).view("<u8").reshape(-1, lanes).T)
+
+
+PAIR_SCHEMA = "a bigint, b bigint, na int, nb int, earlier boolean, shared int"
+
+
+def accumulated(pairs: DataFrame, threshold: float) -> DataFrame:
+    """Pairs with the 2-grams shared in all columns, those below what their sizes demand left out."""
 
+    @F.pandas_udf("boolean")
+    def enough(na: pd.Series, nb: pd.Series, shared: pd.Series) -> pd.Series:
+        return pd.Series(shared.to_numpy() >= least_shared(na.to_numpy().astype(np.int64), nb.to_numpy().astype(np.int64), threshold))
 
-def block_arrays(t: pa.Table, lanes: int, packed_as: str = "<i4") -> tuple[np.ndarray, ...]:
-    """``key, doc, ids, runs, ns, sigs`` (a row a lane) of a block: one key for each pair of the column and a word after it."""
-    ids, runs, ns, col = (t[c].to_numpy() for c in ("id", "run", "n", "col"))
-    sigs = np.ascontiguousarray(packed_bytes(t["sig"])[0].view("<u8").reshape(-1, lanes).T)
-    raw, size = packed_bytes(t["rest"])
-    lens, words = size // np.dtype(packed_as).itemsize, raw.view(packed_as)
-    doc = np.repeat(np.arange(len(ids)), lens)
-    return mix(col[doc].view(np.uint64), words.astype(np.int64).view(np.uint64)), doc, ids, runs, ns, sigs
+    summed = pairs.groupBy("a", "b", "na", "nb", "earlier").agg(F.sum("shared").alias("shared"))
+    return summed.where(enough("na", "nb", "shared")).select("a", "b", "earlier")
 
 
 def similar_enough(a: np.ndarray, b: np.ndarray, ns: np.ndarray, sigs: np.ndarray, threshold: float) -> np.ndarray:

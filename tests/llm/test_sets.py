@@ -43,15 +43,28 @@ def jaccard(a, b):
     return len(a & b) / len(a | b)
 
 
-def test_near_duplicates_are_exact_with_whole_heads(spark):
-    data = [(k, t, "x", 1) for k, t in enumerate(texts(250, 3, 3, 14) + ["", None, "p1 P1", "p1"])]
+@pytest.mark.parametrize("hot", [20_000, 4])
+def test_near_duplicates_are_exact(spark, hot):
+    data = [(k, t, "x", 1) for k, t in enumerate(texts(250, 3, 1, 14) + ["", None, "p1 P1", "p1"])]
     w = {k: words(t) for k, t, *_ in data}
     want = {(a, b) for a in w for b in w if a < b and w[a] and w[b] and jaccard(w[a], w[b]) >= 0.65}
-    df = spark.createDataFrame(data, DOC)
     assert len(want) > 100
-    assert {tuple(r) for r in neardup.pairs(df, "texto", head=None).collect()} == want
-    got = {tuple(r) for r in neardup.pairs(df, "texto").collect()}
-    assert got <= want and len(got) >= 0.99 * len(want)
+    got = [tuple(r) for r in neardup.pairs(spark.createDataFrame(data, DOC), "texto", hot=hot).collect()]
+    assert set(got) == want and len(got) == len(want)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sets(st.integers(0, 40), min_size=1), st.sets(st.integers(0, 40), max_size=12), st.sampled_from([0.5, 0.65, 0.8]))
+def test_bounds_hold_for_any_two_sets(a, change, t):
+    b = a ^ change
+    if not b or len(a & b) < t * len(a | b):
+        return
+    order = sets.Order(np.arange(sets.LEAST_LEVELS) % 7, np.arange(sets.LEAST_LEVELS) % 5 + 1)
+    hashed = [np.sort(np.array([x * 2_654_435_761_987 + 17 for x in s], np.int64)) for s in (a, b)]
+    lens = np.array([len(a), len(b)])
+    gram, doc, _ = order.heads(np.concatenate(hashed), lens, t)
+    shared = len(set(gram[doc == 0].tolist()) & set(gram[doc == 1].tolist()))
+    assert shared >= sets.least_shared(lens[:1], lens[1:], t)[0] >= 1
 
 
 def test_pairs_whose_rarest_words_differ_are_found(spark):
@@ -61,7 +74,7 @@ def test_pairs_whose_rarest_words_differ_are_found(spark):
     assert [tuple(r) for r in neardup.pairs(spark.createDataFrame(data, DOC), "texto").collect() if r.id_b < 10] == [(1, 2)]
 
 
-def test_places_lose_nothing_at_any_size(spark):
+def test_nothing_is_lost_at_any_size(spark):
     r = random.Random(9)
     data, k = [], 0
     for _ in range(60):
@@ -83,18 +96,6 @@ def test_groups_of_copies(spark):
     assert neardup.pairs(none, "texto").count() == 0 and neardup.groups(none, "texto").count() == 0
 
 
-def test_hot_columns_are_split_and_lose_nothing(spark):
-    base = sets.word_sets(spark.createDataFrame([(k, 0, f"a b c d e f g h {WORDS[k % 40]}") for k in range(300)], "id bigint, run int, t string"), ["id", "run"], "t")
-    level = sets.levels(sets.frequencies(base))
-    reps = sets.distinct_sets(sets.heads(base, level, 0.65, 2))
-    pairs = []
-    for hot in (20_000, 10):
-        rows = reps.select("id", "run", "n", "sig", "head", "head_levels").mapInArrow(sets.column_rows(level, 0.65, 2, hot=hot), sets.COLUMN_SCHEMA)
-        got = rows.repartition("col").sortWithinPartitions("col").mapInArrow(neardup.product(0.65), "a bigint, b bigint").distinct()
-        pairs.append({tuple(r) for r in got.collect()})
-    assert len(pairs[0]) == 40 * 39 // 2 and pairs[0] == pairs[1]
-
-
 def brute_repeats(data, names=("Jornal X",)):
     strip = history.WithoutName(list(names))
     key = lambda t: words(strip(sets.fold(t))) if t else frozenset()
@@ -106,13 +107,12 @@ def brute_repeats(data, names=("Jornal X",)):
     return {(f, i) for i, f in out.items()}
 
 
-def test_hot_columns_keep_their_places(spark):
-    base = sets.word_sets(spark.createDataFrame([(k, 0, f"a b c d e f g h {WORDS[k % 40]}") for k in range(300)], "id bigint, run int, t string"), ["id", "run"], "t")
-    level = sets.levels(sets.frequencies(base))
-    reps = sets.distinct_sets(sets.heads(base, level, 0.65, 2)).select("id", "run", "n", "sig", "head", "head_levels")
-    rows = reps.mapInArrow(sets.column_rows(level, 0.65, 2, hot=10, places=True), sets.COLUMN_SCHEMA)
-    got = rows.repartition("col").sortWithinPartitions("col").mapInArrow(neardup.product(0.65, True), "a bigint, b bigint").distinct()
-    assert got.count() == 40 * 39 // 2
+def test_rows_come_through_the_product(spark, monkeypatch):
+    data = [(k, f"a b c d e f g h {WORDS[k % 40]}", "x", 1) for k in range(60)]
+    df = spark.createDataFrame(data, DOC)
+    assert neardup.links(df, "texto").count() == 40 * 39 // 2
+    monkeypatch.setattr(sets, "least_shared", lambda a, b, t: np.full(len(a), 100))  # no pair adds up enough
+    assert neardup.links(df, "texto").count() == 0
 
 
 def test_history_against_brute_force(spark):
@@ -125,13 +125,39 @@ def test_history_against_brute_force(spark):
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
 
 
-@pytest.mark.parametrize("first", [1, 8])
-def test_first_candidates_that_fail_dont_hide_later_ones(spark, monkeypatch, first):
-    monkeypatch.setattr(history, "FIRST", first)
-    monkeypatch.setattr(history.replay, "__defaults__", (first, None))
-    data = [(k, 1 + k, " ".join([WORDS[0], WORDS[1], *(f"x{k}y{j}" for j in range(2)), *WORDS[2:8]][: 6 + k % 5]), None, 1) for k in range(60)]
-    got = {tuple(x) for x in history.repeats(spark.createDataFrame(data, ITEM), []).collect()}
-    assert got == brute_repeats(data)
+@pytest.mark.parametrize("sizes", [[1] * 7, [3, 1, 1, 2]])
+def test_batch_by_batch_is_as_all_at_once(spark, tmp_path, sizes):
+    t, r = texts(160, 8, 2, 10), random.Random(4)
+    data = [(k, 1 + k * 7 // 160, x, f"https://a.pt/{r.randrange(90)}", 1) for k, x in enumerate(t)]
+    df = spark.createDataFrame(data, ITEM)
+    index = history.create(spark, f"file://{tmp_path}/i", ["Jornal X"])
+    got, at, read = set(), 0, []
+    for n in sizes:
+        found, index = history.check(df.where(f"run_ord > {at} and run_ord <= {at + n}"), index)
+        got |= {tuple(x) for x in found.collect()}
+        at += n
+        assert index == history.load(spark, index.path)
+        read.append(len(index.segments))
+    assert got == brute_repeats(data) and len(got) > 60 and max(read) <= 1 + np.log2(len(data))
+
+
+def test_a_batch_reads_the_index_and_itself_only(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(k, 1 + k // 10, f"título {k % 7} de sempre sobre {WORDS[k % 7]} e {WORDS[k % 5]}", None, 1) for k in range(40)], ITEM)
+    df.where("run_ord <= 3").write.parquet(f"{tmp_path}/old")
+    df.where("run_ord = 4").write.parquet(f"{tmp_path}/new")
+    _, index = history.check(spark.read.parquet(f"{tmp_path}/old"), history.create(spark, f"file://{tmp_path}/i", []))
+    (tmp_path / "old").rename(tmp_path / "gone")  # history itself isn't there any more
+    found, index = history.check(spark.read.parquet(f"{tmp_path}/new"), index)
+    want = {p for p in brute_repeats([tuple(x) for x in df.collect()], ()) if p[1] >= 30}
+    assert {tuple(x) for x in found.collect()} == want and len(want) > 5
+
+
+def test_rows_come_through_the_arrays(spark, monkeypatch):
+    data = [(k, 1 + k, f"a b c d e f g h i {WORDS[k % 3]}", None, 1) for k in range(3)]
+    df = spark.createDataFrame(data, ITEM)
+    assert history.repeats(df, []).count() == 2
+    monkeypatch.setattr(sets, "by_column", lambda rows: rows.where("id < 0"))
+    assert history.repeats(df, []).count() == 0
 
 
 def test_one_run_repeats_nothing(spark):
@@ -151,19 +177,6 @@ def test_page_keys(spark):
     assert len(set(got[:4])) == 1 and len(set(got[:8])) == 5 and got[8:] == [None] * 6
 
 
-@settings(max_examples=30, deadline=None)
-@given(st.lists(st.lists(st.integers(0, 30), min_size=1, max_size=30), min_size=1, max_size=12))
-def test_segments_find_what_a_scan_finds(batches):
-    seg, seen = history.Segments(), []
-    for n, keys in enumerate(batches):
-        k = np.array(keys, np.uint64)
-        got = sorted(p for which, docs in seg.find(k, 7) for p in zip(which.tolist(), docs.tolist()))
-        assert got == sorted((i, d) for i, x in enumerate(keys) for y, d in seen if x == y)
-        seg.add(k, np.full(len(k), n, np.int64))
-        seen += [(x, n) for x in keys]
-    assert len(seg.parts) <= 2 + np.log2(sum(map(len, batches)))
-
-
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=60))
 def test_words_of_a_text_are_the_same_either_way(t):
