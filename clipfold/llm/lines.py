@@ -1,10 +1,12 @@
-"""Problem 1: lines repeated across one source's documents, found with suffix arrays over line identifiers.
+"""Problem 1: blocks of lines repeated across one source's documents, found with suffix arrays over line identifiers.
 
 Each document becomes the sequence of its lines' identifiers (64-bit hashes of the normalised lines). The documents of a
 source are spread over shards of bounded size, and every shard builds one suffix array over the concatenation of its
-sequences; a common prefix of neighbouring suffixes is a block of lines repeated in several documents. A block frequent
-in the whole source is frequent in at least one of its shards (otherwise its shares could not add up), so the shards'
-frequent blocks are complete candidates whatever the skew; their documents are then counted exactly over all shards.
+sequences. Neighbouring suffixes with a common prefix hold the same block of one or more lines; the blocks of a shard are
+the intervals of its common prefixes. A block frequent in the whole source is frequent in at least one of its shards
+(otherwise its shares could not add up), and a line is frequent if and only if it is in a frequent block (the one that its
+own suffixes have in common), so the shards' blocks hold all candidates whatever the skew. The documents of their lines,
+or of the blocks themselves, are then counted exactly over all shards, and the blocks deleted.
 
 Cases: null and empty texts and null or empty sources take no part; empty lines keep their number but are never a case;
 a line repeated within one document counts once for it; a source with fewer than ``min_docs`` documents has no case;
@@ -14,6 +16,8 @@ very long documents are sequences like others; an empty table gives an empty tab
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -81,12 +85,31 @@ def suffix_array(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, lcp
 
 
-def frequent_blocks(docs: list[np.ndarray], need: float) -> list[tuple[list[int], int]]:
-    """Blocks of lines (each with its number of documents) that occur in at least ``need`` of ``docs``.
+def prefix_intervals(lcp: np.ndarray, need: int) -> Iterator[tuple[int, int, int]]:
+    """``left, right, depth`` of each run of at least ``need`` suffixes with a common prefix of ``depth``, the longest that
+    all of them have; ``lcp[k]`` is the common prefix of suffixes k - 1 and k."""
+    some = np.flatnonzero(lcp > 0)
+    if not len(some):
+        return
+    breaks = np.flatnonzero(np.diff(some) > 1)
+    starts, ends = some[np.concatenate([[0], breaks + 1])] - 1, some[np.concatenate([breaks, [len(some) - 1]])] + 1
+    for lo, hi in zip(starts.tolist(), ends.tolist()):
+        if hi - lo < need:
+            continue
+        stack: list[tuple[int, int]] = []
+        for k, v in enumerate([*lcp[lo + 1 : hi].tolist(), 0]):
+            start = k
+            while stack and stack[-1][1] > v:
+                start, depth = stack.pop()
+                if k - start + 1 >= need:
+                    yield lo + start, lo + k + 1, depth
+            if v and (not stack or stack[-1][1] < v):
+                stack.append((start, v))
 
-    Reported are the nodes of the suffix tree: every frequent single line, and every longer frequent block that is the
-    longest common prefix of its occurrences.
-    """
+
+def frequent_blocks(docs: list[np.ndarray], need: float) -> list[tuple[list[int], int]]:
+    """Blocks of lines (each with its number of documents) that occur in at least ``need`` of ``docs``: the longest common
+    prefixes of their occurrences."""
     lens = np.array([len(d) for d in docs], np.int64)
     seq = np.concatenate(docs) if docs else np.empty(0, np.int64)
     if not len(seq):
@@ -103,31 +126,12 @@ def frequent_blocks(docs: list[np.ndarray], need: float) -> list[tuple[list[int]
     text[at_empty] = m + np.arange(len(at_empty))  # each a separator of its own
     text[ends] = np.arange(m)
     order, lcp = suffix_array(text)
-    real = text >= m + len(seq) + 1
     raw = np.zeros(total, np.int64)
     raw[inner] = seq
-    found: list[tuple[list[int], int]] = []
-    # spans of suffixes (left, right, length) by a stack over the common prefixes; single lines first
-    who = owner[order]
-    keep = np.flatnonzero(real[order])
-    first = text[order]
-    bounds = np.flatnonzero(np.diff(first[keep], prepend=-1)) if len(keep) else np.empty(0, np.int64)
-    spans: set[tuple[int, int, int]] = set()
-    for s, e in zip(bounds, [*bounds[1:], len(keep)]):
-        if e - s >= need and e - s >= 1:
-            spans.add((int(keep[s]), int(keep[e - 1]) + 1, 1))
-    for lo, hi, _ in list(spans):
-        stack: list[tuple[int, int]] = []
-        part = lcp[lo + 1 : hi]
-        for k, v in enumerate([*part.tolist(), 0]):
-            start = k
-            while stack and stack[-1][1] > v:
-                start, depth = stack.pop()
-                if depth > 1 and k - start + 1 >= need:
-                    spans.add((lo + start, lo + k + 1, depth))
-            if v > 1 and (not stack or stack[-1][1] < v):
-                stack.append((start, v))
-    for lo, hi, depth in sorted(spans):
+    who, found = owner[order], []
+    if need <= 1:  # a single document is enough, and has nothing in common with another
+        found = [([x], 1) for x in np.unique(seq[~empty]).tolist()]
+    for lo, hi, depth in prefix_intervals(lcp, max(2, int(np.ceil(need - 1e-9)))):
         n_docs = len(np.unique(who[lo:hi]))
         if n_docs >= need:
             p = order[lo]
@@ -178,8 +182,9 @@ def repeated_lines(
 
 
 def _repeated(docs: DataFrame, min_docs: int = 5, min_share: float = 0.05, shard_docs: int = SHARD_DOCS) -> DataFrame:
-    single = _candidates(docs, min_docs, min_share, shard_docs).where(F.size("block") == 1).select("src", F.col("block")[0].alias("line"), "n_src")
-    seen = join_small(docs.select("src", F.explode(F.array_distinct("ids")).alias("line")), single, ["src", "line"])
+    """Lines of the blocks found that are frequent over all shards."""
+    inside = _candidates(docs, min_docs, min_share, shard_docs).select("src", F.explode("block").alias("line"), "n_src").distinct()
+    seen = join_small(docs.select("src", F.explode(F.array_distinct("ids")).alias("line")), inside, ["src", "line"])
     return seen.groupBy("src", "line", "n_src").agg(F.count("*").alias("n_docs")).where(_enough(min_docs, min_share)).select("src", "line", "n_docs")
 
 
@@ -188,12 +193,26 @@ def repeated_blocks(
 ) -> DataFrame:
     """``src, block, n_lines, n_docs``: blocks of consecutive lines spanning enough documents of their source."""
     docs = _documents(df, id_col, source_col, text_col)
-    blocks = _candidates(docs, min_docs, min_share, shard_docs).withColumn("line", F.col("block")[0])
-    hits = (
-        join_small(docs.select("id", "src", "ids", F.posexplode("ids").alias("pos", "line")), blocks, ["src", "line"])
-        .where(F.slice("ids", F.col("pos") + 1, F.size("block")) == F.col("block"))
-        .select("src", "block", "n_src", "id").distinct()
-    )
+    blocks = cut(_candidates(docs, min_docs, min_share, shard_docs), "blocks")
+    per_source = blocks.groupBy("src").agg(F.collect_set("block").alias("blocks"), F.max("n_src").alias("n_src"))  # each in a share of its documents
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin: dict[str, dict[int, list[list[int]]]] = {}
+        for b in batches:
+            at, out = [], []
+            for i, (src, ids, known) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2))):
+                first = begin.get(src)
+                if first is None:
+                    first = begin[src] = {}
+                    for block in known.as_py():
+                        first.setdefault(block[0], []).append(block)
+                hits = {tuple(k) for p, line in enumerate(ids) if line in first for k in first[line] if ids[p : p + len(k)] == k}
+                at += [i] * len(hits)
+                out += hits
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), pa.array(list(map(list, out)), pa.list_(pa.int64())), b.column(3).take(rows)], names=["src", "block", "n_src"])
+
+    hits = join_small(docs, per_source, "src").select("src", "ids", "blocks", "n_src").mapInArrow(run, "src string, block array<bigint>, n_src bigint")
     counts = hits.groupBy("src", "block", "n_src").agg(F.count("*").alias("n_docs")).where(_enough(min_docs, min_share))
     return counts.select("src", "block", F.size("block").cast("bigint").alias("n_lines"), "n_docs")
 

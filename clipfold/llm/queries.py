@@ -62,6 +62,10 @@ def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(_stories(spark, sf_dir), "texto")
 
 
+def p5_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.links(_stories(spark, sf_dir), "texto")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.truncated(_t(spark, sf_dir, "arquivo"))
 
@@ -78,10 +82,10 @@ def p7_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.round_trip(_t(spark, sf_dir, "documents"))
 
 
-def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _mix(spark: SparkSession, sf_dir: str, total: str | None = None) -> tuple[DataFrame, DataFrame]:
     weights = _t(spark, sf_dir, "pesos")
     docs = _t(spark, sf_dir, "documents").join(weights.select("source"), "source", "left_semi")
-    return mixing.fair_mix(tokens.token_counts(docs, ["doc_id", "source"]), weights)
+    return mixing.fair_mix(tokens.token_counts(docs, ["doc_id", "source"]), weights, total)
 
 
 def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +96,15 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mix(spark, sf_dir)[1]
 
 
+def p8_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mix of as many tokens as the listed sources have: small ones reach their cap, the others fill the rest."""
+    return _mix(spark, sf_dir, "available")[0]
+
+
+def p8_filled_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir, "available")[1]
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue(_t(spark, sf_dir, "documents")).select("doc_id")
 

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipfold.plans.ship import ship
@@ -164,13 +164,20 @@ def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: st
 
 
 def round_trip(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = DEFAULT) -> DataFrame:
-    """``id_col, tokens, exact``: whether decoding the ids gives the text back (null counts as the empty text)."""
-    size: Column = F.size("ids").cast("bigint")
-    ids = encode(df, id_col, text_col, path)
-    back = decode(ids.select(id_col, "ids"), id_col, path=path)
-    return (
-        ids.select(id_col, size.alias("tokens"))
-        .join(back, id_col)
-        .join(df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("__text")), id_col)
-        .select(id_col, "tokens", (F.col("texto") == F.col("__text")).alias("exact"))
-    )
+    """``id_col, tokens, exact``: whether decoding the ids gives the text back (null counts as the empty text), in one pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path)
+        vocab = enc.vocab
+        for b in batches:
+            sizes, exact = [], []
+            for t in b.column(1):
+                text = t.as_py() or ""
+                enc.encode_into(text, out := array("i"))
+                sizes.append(len(out))
+                exact.append(b"".join(map(vocab.__getitem__, out)) == text.encode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(exact, pa.bool_())], names=[id_col, "tokens", "exact"])
+
+    ship(df.sparkSession)
+    src = df.select(F.col(id_col), F.col(text_col).cast("string").alias("__text"))
+    return src.mapInArrow(run, f"`{id_col}` {src.schema[0].dataType.simpleString()}, tokens bigint, exact boolean")

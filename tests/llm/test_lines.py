@@ -41,7 +41,7 @@ def rows(n=400, seed=1):
 def test_against_brute_force_in_any_shards(spark):
     data = rows()
     df = spark.createDataFrame(data, SCHEMA)
-    for shard in (20_000, 40):
+    for shard in (20_000, 40, 3):
         got = {tuple(r) for r in lines.line_occurrences(df, shard_docs=shard).collect()}
         assert got == brute(data)
 
@@ -58,6 +58,25 @@ def test_blocks_span_lines(spark):
     assert got == {(1, 10), (2, 10)}
 
 
+def test_rows_come_through_the_common_prefixes(spark, monkeypatch):
+    seqs = [np.array(x) for x in ([1, 2, 3], [4, 1, 2], [2, 5, 6])]
+    assert sorted(b for b, _ in lines.frequent_blocks(seqs, 2)) == [[1, 2], [2]]
+    whole = lines.suffix_array
+    monkeypatch.setattr(lines, "suffix_array", lambda seq: (whole(seq)[0], np.zeros(len(seq), np.int64)))
+    assert lines.frequent_blocks(seqs, 2) == []
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 5), max_size=8), min_size=1, max_size=12), st.integers(2, 4))
+def test_frequent_lines_are_those_of_frequent_blocks(docs, need):
+    seqs = [np.array(d, np.int64) for d in docs]
+    count = defaultdict(int)
+    for d in docs:
+        for x in set(d) - {lines.EMPTY}:
+            count[x] += 1
+    assert {x for b, _ in lines.frequent_blocks(seqs, need) for x in b} == {x for x, n in count.items() if n >= need}
+
+
 def test_empty_and_long(spark):
     assert lines.line_occurrences(spark.createDataFrame([], SCHEMA)).count() == 0
     long = "\n".join(["repetida"] * 3000)

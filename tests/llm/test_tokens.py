@@ -62,6 +62,26 @@ def test_shares_and_repeats(spark):
         assert abs(a - 2 / 3) < 0.05
 
 
+@pytest.mark.parametrize("cells", [4096, 3])
+def test_capped_sources_leave_their_part_to_the_others(spark, cells):
+    docs = [(k, "a", 10, "x") for k in range(10)] + [(1000 + k, "b", 10, "x") for k in range(990)] + [(5000 + k, "c", 10, "x") for k in range(300)]
+    mix, report = _mix(spark, docs, [("a", 0.5, 1, "x"), ("b", 0.3, 1, "x"), ("c", 0.2, 2, "x")], total_tokens=5000, cells=cells)
+    assert sum(r.tokens for r in mix) == 5000 and report["a"].capped and not report["b"].capped
+    assert report["a"].mix_tokens == 100 and abs(report["b"].mix_tokens - 2940) <= 10 and abs(report["c"].mix_tokens - 1960) <= 10
+    assert sorted(r.position for r in mix) == list(range(1, len(mix) + 1))
+    by_place = sorted(mix, key=lambda r: r.position)
+    assert [r.finish for r in by_place] == sorted(r.finish for r in mix)
+    mix, report = _mix(spark, docs, [("a", 0.5, 1, "x"), ("b", 0.3, 1, "x"), ("c", 0.2, 2, "x")], total_tokens=10**9, cells=cells)
+    assert sum(r.tokens for r in mix) == 100 + 9900 + 6000 and all(r.capped for r in report.values())
+    mix, report = _mix(spark, docs, [("a", 0.5, 1, "x"), ("b", 0.3, 1, "x"), ("c", 0.2, 2, "x")], total_tokens="available", cells=cells)
+    assert sum(r.tokens for r in mix) == 13_000 and report["c"].capped is False
+
+
+def test_round_trip(spark):
+    got = tokens.round_trip(spark.createDataFrame([(k, t, 1) for k, t in enumerate([*ODD, None, None])], "doc_id bigint, text string, tokens int")).collect()
+    assert len(got) == len(ODD) + 2 and all(r.exact for r in got) and got[-1].tokens == 0
+
+
 def test_budget_and_empty(spark):
     docs = [(k, "a", 10, "x") for k in range(100)]
     mix, _ = _mix(spark, docs, [("a", 1.0, 2, "x")], total_tokens=155)
