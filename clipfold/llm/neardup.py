@@ -26,7 +26,6 @@ from clipfold.llm import sets
 from clipfold.plans.cut import cut
 
 LANES = 2
-PAIRS_AT_ONCE = 4_000_000
 
 
 def product(threshold: float):
@@ -35,24 +34,15 @@ def product(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in sets.column_blocks(batches):
             t = t.sort_by([("col", "ascending"), ("n", "ascending")])  # smaller documents first
-            col, side, ids, ns = (t[c].to_numpy() for c in ("col", "side", "id", "n"))
-            sigs = sets.lanes_of(t["sig"], LANES)
-            n = ns.astype(np.int64)
-            group = np.cumsum(np.concatenate([[True], col[1:] != col[:-1]])) << 32
-            at = np.arange(len(col))
-            ends = np.searchsorted(group + n, group + np.floor(n / threshold + 1e-9).astype(np.int64), "right")
-            total = np.cumsum(ends - at - 1)
+            col, ids, ns = (t[c].to_numpy() for c in ("col", "id", "n"))
+            group, keys = sets.column_keys(col, ns.astype(np.int64))
+            ask = np.arange(len(col))
+            ends = np.searchsorted(keys, group + np.floor(ns / threshold + 1e-9).astype(np.int64), "right")
             doc = np.unique(ids, return_inverse=True)
-            found, s = [np.empty(0, np.int64)], 0
-            while s < len(at):  # in parts, so that memory doesn't follow the frequency of a 2-gram
-                e = max(s + 1, int(np.searchsorted(total, (total[s - 1] if s else 0) + PAIRS_AT_ONCE, "right")))
-                x, y = sets.expand(at[s:e] + 1, ends[s:e])
-                x += s
-                ok = (side[x] == 0) | (side[x] != side[y])
-                ok[ok] = sets.similar_enough(x[ok], y[ok], ns, sigs, threshold)
-                x, y = doc[1][x[ok]], doc[1][y[ok]]
+            found = [np.empty(0, np.int64)]
+            for x, y in sets.meetings(ask, ask + 1, ends, t, LANES, threshold):
+                x, y = doc[1][x], doc[1][y]
                 found.append(np.minimum(x, y) * len(doc[0]) + np.maximum(x, y))
-                s = e
             pairs, shared = np.unique(np.concatenate(found), return_counts=True)
             x, y = np.divmod(pairs, len(doc[0]))
             size = np.zeros(len(doc[0]), np.int32)
@@ -69,14 +59,13 @@ def product(threshold: float):
 def classes(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: float = 0.65, hot: int = sets.HOT) -> tuple[DataFrame, DataFrame]:
     """Members (``rep, id``) of the classes of equal word sets, and pairs of classes (``a, b``, their first ids)."""
     src = df.select(F.col(id_col).cast("bigint").alias("id"), text_col).where("id is not null")
-    words = cut(sets.word_sets(src, ["id"], text_col).withColumn("row", F.monotonically_increasing_id()), "words")
-    firsts = cut(words.groupBy("k1", "k2").agg(F.min(F.struct("id", "row")).alias("f")).select("k1", "k2", F.col("f.id").alias("rep"), F.col("f.row").alias("row")), "classes")
-    members = words.select("id", "k1", "k2").join(firsts.select("k1", "k2", "rep"), ["k1", "k2"]).select("rep", "id").distinct()
-    reps = words.join(firsts.select("row"), "row", "left_semi").withColumn("run", F.lit(0))
-    reps = cut(reps.select("id", "run", "words"), "reps")
-    order = sets.Order.fit(reps)
+    words = cut(sets.word_sets(src, ["id"], text_col), "words")
+    firsts = cut(words.groupBy("k1", "k2").agg(F.min("id").alias("rep")), "classes")
+    members = words.select("id", "k1", "k2").join(firsts, ["k1", "k2"]).select("rep", "id").distinct()
+    order = sets.Order.fit(words)
+    reps = words.join(firsts.select(F.col("rep").alias("id")), "id", "left_semi").withColumn("run", F.lit(0))
     pairs = sets.by_column(sets.incidence(reps, order, threshold, LANES, hot)).mapInArrow(product(threshold), sets.PAIR_SCHEMA)
-    return members, sets.verified(cut(sets.accumulated(pairs, threshold), "candidates"), reps, threshold).select("a", "b")
+    return members, sets.verified(cut(sets.accumulated(pairs, threshold), "candidates"), words, threshold).select("a", "b").distinct()
 
 
 def pairs(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: float = 0.65, hot: int = sets.HOT) -> DataFrame:

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from clipfold.plans.ship import ship
 
-#: Sizes of the tables of frequency levels: by the number of different things counted, within these bounds. A table that is
-#: too small for a vocabulary makes heads less rare; it loses nothing.
+#: Sizes of the tables of frequency levels: about an entry a document, within these bounds. A table that is too small for a
+#: vocabulary makes heads less rare; it loses nothing.
 LEAST_LEVELS, MOST_LEVELS = 1 << 18, 1 << 22
 CACHE_WORDS = 500_000
 WORD = re.compile(r"[^\W_]+")
@@ -111,8 +111,9 @@ def flat_lists(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return col.flatten().to_numpy(), np.diff(col.offsets.to_numpy())
 
 
-def _counted(df: DataFrame, things, size: int) -> np.ndarray:
-    """How often ``things(words, lens)`` occur in the sets of ``df`` (``words``), by hash bucket: a table of ``size`` counts."""
+def _levels(df: DataFrame, things, size: int) -> np.ndarray:
+    """How often ``things(words, lens)`` occur in the sets of ``df`` (``words``), by hash bucket: a table of ``size`` frequency
+    levels, eight to a doubling; 0 for what is in a single document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(size, np.int64)
@@ -122,9 +123,11 @@ def _counted(df: DataFrame, things, size: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], names=["b", "n"])
 
     ship(df.sparkSession)
-    rows = df.select("words").mapInArrow(run, "b bigint, n bigint").groupBy("b").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(size, np.int64)
-    out[rows["b"].to_numpy()] = rows["n"].to_numpy()
+    counts = df.select("words").mapInArrow(run, "b bigint, n bigint").groupBy("b").agg(F.sum("n").alias("n")).where("n > 1")
+    level = F.least(F.ceil(8 * F.log2("n")), F.lit(255)) - 128  # five bytes an entry on its way to the driver
+    rows = counts.select(F.col("b").cast("int").alias("b"), level.cast("tinyint").alias("level")).toArrow()
+    out = np.zeros(size, np.uint8)
+    out[rows["b"].to_numpy()] = (rows["level"].to_numpy().astype(np.int16) + 128).astype(np.uint8)
     return out
 
 
@@ -132,11 +135,6 @@ def bucket(things: np.ndarray, size: int) -> np.ndarray:
     return (things & (size - 1)).astype(np.int64)
 
 
-def levels(counts: np.ndarray) -> np.ndarray:
-    """Frequency levels, eight to a doubling; 0 for what is in a single document."""
-    return np.minimum(np.ceil(8 * np.log2(np.maximum(counts, 1))), 255).astype(np.uint8)
-
-
 def short(words: np.ndarray) -> np.ndarray:
     """Words as 32-bit numbers, for finding candidates; exact checks use the 64-bit ones."""
     return ((words >> 7) ^ (words >> 39)).astype(np.int32)
@@ -151,11 +149,10 @@ class Order:
     @staticmethod
     def fit(sets: DataFrame, unseen: bool = False) -> Order:
         """From the frequencies in ``sets``; ``unseen``: other sets will be ordered too, so what is in one set here may meet others."""
-        different = sets.select(F.explode("words").alias("w")).agg(F.approx_count_distinct("w").alias("n")).first().n
-        size = 1 << int(np.clip(np.ceil(np.log2(max(2 * different, 1))), np.log2(LEAST_LEVELS), np.log2(MOST_LEVELS)))
-        words = levels(_counted(sets, lambda w, lens: w, size))
+        size = 1 << int(np.clip(np.ceil(np.log2(max(sets.count(), 1))), np.log2(LEAST_LEVELS), np.log2(MOST_LEVELS)))
+        words = _levels(sets, lambda w, lens: w, size)
         half = Order(words, words, unseen)
-        return Order(words, levels(_counted(sets, lambda w, lens: half.two_grams(w, lens), size)), unseen)
+        return Order(words, _levels(sets, lambda w, lens: half.two_grams(w, lens), size), unseen)
 
     def two_grams(self, words: np.ndarray, lens: np.ndarray) -> np.ndarray:
         """2-grams of the canonical texts, with the signs one more than words, set by set."""
@@ -301,6 +298,54 @@ def lanes_of(sig: pa.ChunkedArray, lanes: int) -> np.ndarray:
     return np.ascontiguousarray(packed_bytes(sig).view("<u8").reshape(-1, lanes).T)
 
 
+#: Rows that a row meets up to which they are looked at by index, for many rows at once; above, in tiles of a column.
+FEW, TILE = 24, 512
+PAIRS_AT_ONCE = 4_000_000
+
+
+def column_keys(col: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each row's column (times 2^32), and keys by which rows sorted by column and size are searched."""
+    group = np.cumsum(np.concatenate([[True], col[1:] != col[:-1]])) << 32
+    return group, group + n
+
+
+def meetings(ask: np.ndarray, lo: np.ndarray, hi: np.ndarray, t: pa.Table, lanes: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a row of ``ask`` with a row of its range [lo, hi) in the sorted block ``t`` that the bounds of sizes and
+    signatures allow; in parts, so that memory doesn't follow the frequency of a column."""
+    col, side, ns, sigs = t["col"].to_numpy(), t["side"].to_numpy(), t["n"].to_numpy(), lanes_of(t["sig"], lanes)
+    few = hi - lo <= FEW
+    at, first, last = ask[few], lo[few], hi[few]
+    total, s = np.cumsum(last - first), 0
+    while s < len(at):
+        e = max(s + 1, int(np.searchsorted(total, (total[s - 1] if s else 0) + PAIRS_AT_ONCE, "right")))
+        x, y = expand(first[s:e], last[s:e])
+        yield _allowed(at[s:e][x], y, side, ns, sigs, threshold)
+        s = e
+    at, first, last = ask[~few], lo[~few], hi[~few]
+    most = (1 - threshold) / (1 + threshold)
+    cuts = np.flatnonzero(np.concatenate([[True], col[at[1:]] != col[at[:-1]]])) if len(at) else at
+    for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)]):
+        for i in range(s, e, TILE):
+            k = min(e, i + TILE)
+            rows, end = at[i:k], int(last[i:k].max())
+            for j in range(int(first[i:k].min()), end, TILE):
+                j_end = min(end, j + TILE)
+                d = np.bitwise_count(sigs[0][rows, None] ^ sigs[0][None, j:j_end])
+                for lane in sigs[1:]:
+                    d += np.bitwise_count(lane[rows, None] ^ lane[None, j:j_end])
+                x, y = np.nonzero(d <= min(255, int((int(ns[rows[-1]]) + int(ns[j_end - 1])) * most + 1e-6)))
+                y += j
+                ok = (first[i:k][x] <= y) & (y < last[i:k][x])
+                yield _allowed(rows[x[ok]], y[ok], side, ns, sigs, threshold)
+
+
+def _allowed(x: np.ndarray, y: np.ndarray, side: np.ndarray, ns: np.ndarray, sigs: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    ok = similar_enough(x, y, ns, sigs, threshold)
+    x, y = x[ok], y[ok]
+    ok = (side[x] == 0) | (side[x] != side[y])
+    return x[ok], y[ok]
+
+
 PAIR_SCHEMA = "a bigint, b bigint, na int, nb int, earlier boolean, shared int"
 
 
