@@ -37,6 +37,11 @@ LOST = len(CHAINS) - 2
 RUN = re.compile(r"[^\x00-\x7f]+|\?+(?=[^\W\d_])")
 UTF8 = re.compile(rb"[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3}")
 CACHE_RUNS = 100_000
+#: Evidence, as a logarithm, below which a chain isn't kept for a field: on the first counts, which hold the garbled text too,
+#: and later. Weaker evidence than none is kept, as many fields of one source add up.
+FIRST_LEAST, LEAST = -4.0, -2.0
+#: Evidence is counted in steps of this size, so that fields of like evidence are one row.
+STEP = 0.5
 #: Share of runs that stay as they were within a field of a chain: high where whole passages may be sound, low where
 #: reading a single-byte encoding wrongly changes every character.
 SOUND = {"utf-8": 0.02, "single": 1e-3}
@@ -174,32 +179,62 @@ class Evidence:
             self.cache[key] = got
         return got
 
-    def field(self, runs: list[tuple[str, str, str]]) -> dict[int, float]:
-        """Log likelihood ratios of the chains that could have made some of the runs, where above 0."""
+    def field(self, runs: list[tuple[str, str, str]], least: float = LEAST) -> dict[int, float]:
+        """Log likelihood ratios of the chains that could have made some of the runs, where above ``least``."""
         total: dict[int, float] = {}
         for left, run, right in runs:
             for z, v in self.of(left, run, right):
                 total[z] = total.get(z, 0.0) + v
-        return {z: v for z, v in total.items() if v > 0.5}
+        return {z: v for z, v in total.items() if v > least}
 
 
 def _runs(text: str) -> list[tuple[str, str, str]]:
     return [(text[s - 1 : s], m.group(), text[e : e + 1]) for m in RUN.finditer(text) for s, e in [m.span()]]
 
 
+def _posteriors(ev: np.ndarray, share: np.ndarray) -> np.ndarray:
+    joint = np.exp(np.clip(ev, -30, 30)) * share
+    return joint / (joint.sum(1, keepdims=True) + 1 - share.sum())
+
+
 def _em(ev: np.ndarray, weight: np.ndarray, n: float, mean: np.ndarray, strength: float, rounds: int) -> np.ndarray:
     """Shares of the chains among ``n`` fields, of which those in ``ev`` (log ratios) have evidence; drawn to ``mean`` as
     by ``strength`` further fields."""
-    share, like = mean.copy(), np.exp(np.clip(ev, -30, 30))
+    share = mean.copy()
+    for _ in range(rounds):
+        share = ((_posteriors(ev, share) * weight[:, None]).sum(0) + strength * mean) / (n + strength)
+    return share
+
+
+def _shares(kinds: DataFrame, n: float, mean: np.ndarray, strength: float, rounds: int) -> np.ndarray:
+    """The same over the whole archive: a round adds up the posteriors of all kinds of evidence where they are."""
+    share = mean.copy()
     for _ in range(rounds):
-        joint = like * share
-        post = joint / (joint.sum(1, keepdims=True) + 1 - share.sum())
-        share = ((post * weight[:, None]).sum(0) + strength * mean) / (n + strength)
+        now = share
+
+        def add(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(len(CHAINS))
+            for b in batches:
+                ev = b.column(0).flatten().to_numpy().reshape(-1, len(CHAINS))
+                total += (_posteriors(ev, now) * b.column(1).to_numpy()[:, None]).sum(0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(CHAINS))), pa.array(total)], names=["z", "p"])
+
+        sums = {r.z: r.p for r in kinds.select("ev", "k").mapInArrow(add, "z bigint, p double").groupBy("z").agg(F.sum("p").alias("p")).collect()}  # a row a chain
+        share = (np.array([sums.get(z, 0.0) for z in range(len(CHAINS))]) + strength * mean) / (n + strength)
+        if np.abs(share - now).max() < 1e-5:
+            break
     return share
 
 
-def judge(df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", fields: tuple[str, ...] = ("titulo", "resumo"), prior: float = 0.02, strength: float = 300.0, rounds: int = 20, least: float = 0.5, passes: int = 3) -> DataFrame:
+def judge(df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", fields: tuple[str, ...] = ("titulo", "resumo"), **limits) -> DataFrame:
     """``id_col, campo, chain, posterior``: fields judged garbled, with the likeliest chain (an index of ``CHAINS``)."""
+    return _judge(df, id_col, source_col, fields, **limits)[0]
+
+
+def _judge(
+    df: DataFrame, id_col: str, source_col: str, fields: tuple[str, ...], prior: float = 0.02, strength: float = 300.0, rounds: int = 12, least: float = 0.5, passes: int = 3
+) -> tuple[DataFrame, dict[str, int]]:
+    """As ``judge``, and the counts of places without what is garbled."""
     cols = list(fields)
     places = count_places(df, cols)  # bounded by the characters there are, not by the rows
     ship(df.sparkSession)
@@ -210,7 +245,7 @@ def judge(df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", fie
             at, campos, runs = [], [], []
             for k, campo in enumerate(cols):
                 for i, t in enumerate(b.column(2 + k).to_pylist()):
-                    if t and (not t.isascii() or "?" in t) and evidence.field(got := _runs(t)):
+                    if t and (not t.isascii() or "?" in t) and evidence.field(got := _runs(t), FIRST_LEAST):
                         at.append(i)
                         campos.append(campo)
                         runs.append(["\t".join(r) for r in got])
@@ -228,7 +263,7 @@ def judge(df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", fie
         judged = _posterior(suspects, sizes, places, prior, strength, rounds)
         if k + 1 < passes:  # what is probably garbled no longer counts as text of the archive
             places = _without(judged, places)
-    return judged.select(F.col("id").alias(id_col), "campo", "chain", "posterior").where(F.col("posterior") >= least)
+    return judged.select(F.col("id").alias(id_col), "campo", "chain", "posterior").where(F.col("posterior") >= least), places
 
 
 def _posterior(suspects: DataFrame, sizes: DataFrame, places: dict[str, int], prior: float, strength: float, rounds: int) -> DataFrame:
@@ -239,23 +274,16 @@ def _posterior(suspects: DataFrame, sizes: DataFrame, places: dict[str, int], pr
         evidence = Evidence(places)
         for b in batches:
             rows = [evidence.field([tuple(r.split("\t")) for r in runs]) for runs in b.column(3).to_pylist()]
-            ev = [[float(round(min(30.0, got[z]))) if z in got else -30.0 for z in range(len(CHAINS))] for got in rows]
+            ev = [[round(min(30.0, got[z]) / STEP) * STEP if z in got else -30.0 for z in range(len(CHAINS))] for got in rows]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ev, pa.list_(pa.float64()))], names=[*b.schema.names, "ev"])
 
-    weighed = suspects.mapInArrow(weigh, f"id {kind}, src string, campo string, runs array<string>, ev array<double>")
-    kinds = weighed.groupBy("src", "campo", "ev").agg(F.count("*").alias("k")).join(sizes, ["src", "campo"])
-    # over the whole archive first; evidence is in whole numbers, so its kinds are few however many rows have it
-    overall = kinds.groupBy("ev").agg(F.sum("k").alias("k")).crossJoin(F.broadcast(sizes.agg(F.sum("n").alias("n"))))  # one row
-
-    def overall_shares(group: pa.Table) -> pa.Table:
-        ev = np.array(group["ev"].to_pylist(), float)
-        share = _em(ev, group["k"].to_numpy(), float(group["n"][0].as_py()), np.full(len(CHAINS), prior / len(CHAINS)), 10.0, rounds)
-        return pa.table({"mean": pa.array([share.tolist()], pa.list_(pa.float64()))})
-
-    kinds = kinds.crossJoin(F.broadcast(overall.groupBy("n").applyInArrow(overall_shares, "mean array<double>")))  # one row
+    weighed = cut(suspects.mapInArrow(weigh, f"id {kind}, src string, campo string, runs array<string>, ev array<double>").where(F.array_max("ev") > -30.0), "weighed")
+    kinds = cut(weighed.groupBy("src", "campo", "ev").agg(F.count("*").alias("k")).join(sizes, ["src", "campo"]), "evidence")  # fields of like evidence are one row
+    n = sizes.agg(F.sum("n").alias("n")).first().n or 0
+    mean = _shares(kinds.groupBy("ev").agg(F.sum("k").alias("k")), float(n), np.full(len(CHAINS), prior / len(CHAINS)), 10.0, rounds)
 
     def shares(group: pa.Table) -> pa.Table:
-        ev, mean = np.array(group["ev"].to_pylist(), float), np.array(group["mean"][0].as_py())
+        ev = np.array(group["ev"].to_pylist(), float)
         share = _em(ev, group["k"].to_numpy(), float(group["n"][0].as_py()), mean, strength, rounds)
         return pa.table({"src": group["src"].slice(0, 1), "campo": group["campo"].slice(0, 1), "share": pa.array([share.tolist()], pa.list_(pa.float64()))})
 
@@ -304,8 +332,7 @@ def repair(df: DataFrame, id_col: str = "item_id", source_col: str = "fonte", fi
     ``inteiro`` is false where the chain lost characters; the text is then as it was.
     """
     cols = list(fields)
-    found = judge(df, id_col, source_col, fields, **limits)
-    places = count_places(df, cols)
+    found, places = _judge(df, id_col, source_col, fields, **limits)
     texts = df.select(F.col(id_col), F.explode(F.create_map(*[x for c in cols for x in (F.lit(c), F.col(c))])).alias("campo", "texto"))
     src = found.join(texts, [id_col, "campo"]).select(id_col, "campo", "chain", "posterior", "texto")
     kind = src.schema[id_col].dataType.simpleString()
