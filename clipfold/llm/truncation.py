@@ -27,8 +27,9 @@ from clipfold.llm import lines
 from clipfold.plans.ship import ship
 from clipfold.plans.small import join_small
 
-#: Half for runs of words, a quarter each for words and for their endings.
-BUCKETS = 1 << 20
+#: Counts of a table, by the number of texts within these bounds: half for runs of words, a quarter each for words and for
+#: their endings. A table that is too small for a vocabulary makes the evidence weaker, not wrong for frequent words.
+LEAST_BUCKETS, MOST_BUCKETS = 1 << 20, 1 << 22
 #: A cut is marked by dots or by a short sign in brackets.
 MARK = re.compile(r"(?:\.\.\.|…|[\[(]\s*(?:\.{2,}|…|\+|>+|»)\s*[\])]|>>|\.\.)\s*$")
 BROKEN = re.compile(r"<[a-zA-Z/!][^<>]{0,200}$|<$|<br\s*/?>\s*$|&#?\w{1,7}$")
@@ -63,17 +64,17 @@ class Tokens:
         return got
 
 
-def _mix(*ids: np.ndarray, part: int = 0) -> np.ndarray:
+def _mix(*ids: np.ndarray, part: int = 0, buckets: int) -> np.ndarray:
     """Buckets: of the first half for ``part`` 0, else of the third or fourth quarter."""
     h = np.zeros_like(ids[0], np.uint64)
     for x in ids:
         h = (h ^ x.astype(np.uint64)) * _K
         h ^= h >> np.uint64(29)
-    size = BUCKETS // (4 if part else 2)
-    return (h % np.uint64(size)).astype(np.int64) + (BUCKETS // 4) * (part + 1 if part else 0)
+    size = buckets // (4 if part else 2)
+    return (h % np.uint64(size)).astype(np.int64) + (buckets // 4) * (part + 1 if part else 0)
 
 
-def _features(texts: list[str], tokens: Tokens) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+def _features(texts: list[str], tokens: Tokens, buckets: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
     """For all words of ``texts``: the buckets of their last 1 to 4 words, whether a sentence or a part of it ends there, the buckets of
     the word itself and of its ending, and the index of each text's last word (-1 without words)."""
     ids, caps, ends, tails, last, breaks = [], [], [], [], [], []
@@ -102,31 +103,34 @@ def _features(texts: list[str], tokens: Tokens) -> tuple[list[np.ndarray], np.nd
         prev[k:] = cls[:-k]
         prev[np.arange(n) - k < start] = 3  # before the sentence
         ctx.append(prev)
-        grams.append(_mix(np.full(n, k, np.uint64), *ctx))
-    grams.insert(0, _mix(np.full(n, 0, np.uint64), cls))
+        grams.append(_mix(np.full(n, k, np.uint64), *ctx, buckets=buckets))
+    grams.insert(0, _mix(np.full(n, 0, np.uint64), cls, buckets=buckets))
     is_name = (cap == 7) & ~first
-    grams += [_mix(word.astype(np.uint64), part=1), _mix(tail.astype(np.uint64) + is_name, part=2)]
+    grams += [_mix(word.astype(np.uint64), part=1, buckets=buckets), _mix(tail.astype(np.uint64) + is_name, part=2, buckets=buckets)]
     return grams, end, np.array(last), is_name
 
 
 def ending_counts(texts: DataFrame) -> np.ndarray:
-    """Three rows of ``BUCKETS`` counts: words that go on, ends of parts, ends of sentences. Of a fixed size, whatever the corpus."""
+    """Three rows of counts by bucket: words that go on, ends of parts, ends of sentences. Of a bounded size, whatever the corpus;
+    counted in 64 bits, kept as floats, of which only ratios are used."""
+    buckets = 1 << int(np.clip(np.ceil(np.log2(max(texts.count(), 1))), np.log2(LEAST_BUCKETS), np.log2(MOST_BUCKETS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, table = Tokens(), np.zeros((3, BUCKETS), np.int64)
+        tokens, table = Tokens(), np.zeros((3, buckets), np.int64)
         for b in batches:
-            grams, end, last, _ = _features([t for t in b.column(0).to_pylist() if t], tokens)
+            grams, end, last, _ = _features([t for t in b.column(0).to_pylist() if t], tokens, buckets)
             use = np.ones(len(end), bool)
             use[last[last >= 0]] = False  # how the last word ends is the question
             for g in grams:
                 for k in range(3):
-                    table[k] += np.bincount(g[use & (end == k)], minlength=BUCKETS)
+                    table[k] += np.bincount(g[use & (end == k)], minlength=buckets)
         at = np.flatnonzero(table.any(0))
         yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(row[at]) for row in table)], names=["b", "c0", "c1", "c2"])
 
     ship(texts.sparkSession)
-    rows = texts.mapInArrow(run, "b bigint, c0 bigint, c1 bigint, c2 bigint").groupBy("b").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in range(3)]).toArrow()
-    out = np.zeros((3, BUCKETS), np.int32)
+    sums = texts.mapInArrow(run, "b bigint, c0 bigint, c1 bigint, c2 bigint").groupBy("b").agg(*[F.sum(f"c{k}").alias(f"c{k}") for k in range(3)])
+    rows = sums.select(F.col("b").cast("int").alias("b"), *[F.col(f"c{k}").cast("float").alias(f"c{k}") for k in range(3)]).toArrow()
+    out = np.zeros((3, buckets), np.float32)
     at = rows["b"].to_numpy()
     for k in range(3):
         out[k, at] = rows[f"c{k}"].to_numpy()
@@ -198,7 +202,7 @@ def _ending(text: str, words: int = 12) -> str:
 
 def _ending_scores(texts: list[str], table: np.ndarray, tokens: Tokens) -> np.ndarray:
     """Log likelihood ratios, cut against complete, of the texts' last words."""
-    grams, _, last, is_name = _features([_ending(t) for t in texts], tokens)
+    grams, _, last, is_name = _features([_ending(t) for t in texts], tokens, table.shape[1])
     out = np.zeros(len(texts))
     ok = last >= 0
     at = last[ok]
