@@ -2,13 +2,20 @@
 
 Messages are mined with a fixed-depth prefix tree over the sentences of all documents: sentences of one length and the
 same leading words meet in a leaf, where similar ones share a template (numbers, names and differing words become
-gaps). A template is classified once, from its words and from how often it stands on lines without names across the
-corpus, and the verdict goes to every document that holds it. Unresolved slots inside ordinary text are found apart,
-by their syntax, unless the text quotes or explains them.
+gaps). Each batch of documents grows a partial tree of its own, whose templates stand for their sentences from then on; the
+partial templates of a leaf are then merged over all batches into the corpus's templates.
+
+A template is judged once, by three signals. What it says: the message patterns, over its partial templates by their
+documents, so that a rare wording gets the verdict of the template it belongs to. How it stands: alone on its lines, or
+among sentences with names, which tell of something. And how it speaks: words that mark the messages found so far,
+weighed by their shares in messages and in all other templates of the corpus; by them a repeated template of several
+sources that only ever stands alone is a message though no pattern fits. The verdict goes to every document that holds the template.
+Unresolved slots inside ordinary text are found apart, by their syntax, unless the text quotes or explains them.
 
 Cases: null and empty texts, stray symbols, tables and other scripts are no case; a very long text is read line by
-line; a sentence with a name in it tells of something and is never a message; rows repeated under several ids are
-judged alike; an empty table gives an empty table; other columns are ignored.
+line; a sentence of more than ``MAX_WORDS`` words is a template of its own, judged on its whole text; a sentence with a
+name in it tells of something and is never a message; rows repeated under several ids are judged alike; documents of no
+source count as one source; an empty table gives an empty table; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,13 +23,16 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from math import log
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipfold.plans.cut import cut
 from clipfold.plans.ship import ship
+from clipfold.plans.small import join_small
 
 DEPTH, SIMILAR, MAX_WORDS = 3, 0.7, 40
 SENTENCE = re.compile(r"(?<=[.!?…])\s+")
@@ -71,6 +81,10 @@ CLASSES = [
 ]
 
 
+def leaf_of(words: tuple[str, ...] | list[str], depth: int = DEPTH) -> tuple:
+    return (len(words), *words[:depth])
+
+
 class TemplateTree:
     """Prefix tree of fixed depth: number of words, then the leading words; a leaf holds templates of similar sentences."""
 
@@ -79,7 +93,7 @@ class TemplateTree:
         self.leaves: dict[tuple, list[list[str]]] = {}
 
     def add(self, words: tuple[str, ...]) -> list[str]:
-        leaf = self.leaves.setdefault((len(words), *words[: self.depth]), [])
+        leaf = self.leaves.setdefault(leaf_of(words, self.depth), [])
         for template in leaf:
             same = sum(a == b for a, b in zip(template, words))
             if same >= self.similar * len(words):
@@ -169,22 +183,27 @@ def open_slots(text: str) -> list[str]:
     return found
 
 
-def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, kind, template, own``: messages by template (``own``: whether their line tells of nothing else, by the names in it), and slots."""
+_SCAN = "slot string, template string, leaf bigint, own boolean, src string"
+
+
+def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``id, slot, template, leaf, own, src``: a row for each slot left open, and for each sentence without a name its
+    template in the partial tree of its batch, that one's leaf, and whether the line has no sentence with a name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = TemplateTree()
-        verdicts: dict[tuple[str, ...], str | None] = {}
         for b in batches:
-            at, kinds, templates, own = [], [], [], []
+            tree = TemplateTree()
+            at: list[int] = []
+            rows: list[tuple[str | None, list[str] | str | None, bool]] = []
             for i, text in enumerate(b.column(1).to_pylist()):
                 if not text:
                     continue
                 if any(c in text for c in "{<$%@#[(_"):
                     for slot in dict.fromkeys(open_slots(text)):
-                        at.append(i), kinds.append("slot"), templates.append(slot), own.append(True)
+                        at.append(i)
+                        rows.append((slot, None, True))
                 for line in text.split("\n"):
-                    hits, names = [], False
+                    found, names = [], False
                     for s in SENTENCE.split(line):
                         s = s.strip()
                         if not s:
@@ -195,39 +214,110 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
                                 names = True
                                 continue
                             words = masked(s)
-                        if len(words) > MAX_WORDS and "lorem" not in words:
-                            continue  # longer than any message
-                        if len(words) <= MAX_WORDS:
-                            template = tree.add(words)
-                        else:
-                            template = list(words[:MAX_WORDS])
-                        key = tuple(template)
-                        if key not in verdicts:
-                            if len(verdicts) > 500_000:
-                                verdicts.clear()
-                            verdicts[key] = classify(" ".join(key))
-                        if verdicts[key]:
-                            hits.append((verdicts[key], " ".join(key)))
-                    for kind, template in dict.fromkeys(hits):
-                        at.append(i), kinds.append(kind), templates.append(template), own.append(not names)
-            rows = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), pa.array(kinds, pa.string()), pa.array(templates, pa.string()), pa.array(own, pa.bool_())], names=["id", "kind", "template", "own"])
+                        found.append(tree.add(words) if len(words) <= MAX_WORDS else " ".join(words))
+                    for template in {id(t): t for t in found}.values():
+                        at.append(i)
+                        rows.append((None, template, not names))
+            texts = [t if isinstance(t, str) or t is None else " ".join(t) for _, t, _ in rows]  # as the tree has them in the end
+            keys = {t: xxhash.xxh3_64_intdigest("\t".join(map(str, leaf_of(t.split(" ")))).encode("utf-8", "replace")) - (1 << 63) for t in set(texts) if t is not None}
+            where = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    b.column(0).take(where), pa.array([r[0] for r in rows], pa.string()), pa.array(texts, pa.string()), pa.array([keys.get(t) for t in texts], pa.int64()),
+                    pa.array([r[2] for r in rows], pa.bool_()), b.column(2).take(where),
+                ],
+                names=["id", "slot", "template", "leaf", "own", "src"],
+            )
 
     ship(df.sparkSession)
-    src = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, kind string, template string, own boolean")
-
-
-def templates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_own: float = 0.5) -> DataFrame:
-    """``kind, template, n_docs, own_share, residue``: each message template, judged once over the corpus."""
-    hits = scan(df, id_col, text_col).where("kind <> 'slot'")
-    seen = hits.groupBy("kind", "template").agg(F.count("*").alias("n_docs"), F.avg(F.col("own").cast("double")).alias("own_share"))
-    return seen.withColumn("residue", F.col("own_share") >= least_own)
-
-
-def residue(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_own: float = 0.5) -> DataFrame:
+    src = F.lower(F.trim(F.col(source_col))) if source_col in df.columns else F.lit(None)
+    src = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.coalesce(src, F.lit("")).alias("src"))
+    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, {_SCAN}")
+
+
+_MERGED = "part string, template string, kind string, n bigint, own bigint, low string, high string"
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Partial templates, the most frequent of a leaf first, with the template of the corpus they belong to, and what each says."""
+    leaf, tree, held = None, TemplateTree(), []
+
+    def out() -> pa.RecordBatch:
+        final = [" ".join(t) if isinstance(t, list) else t for _, t, _ in held]
+        kinds = [classify(part) for part, *_ in held]
+        table = pa.Table.from_pylist([r for *_, r in held]).select(["n", "own", "low", "high"])
+        cols = [table[c].combine_chunks() for c in ("n", "own", "low", "high")]
+        return pa.RecordBatch.from_arrays([pa.array([p for p, *_ in held], pa.string()), pa.array(final, pa.string()), pa.array(kinds, pa.string()), *cols], names=["part", "template", "kind", "n", "own", "low", "high"])
+
+    for b in batches:
+        for r in b.to_pylist():
+            if r["leaf"] != leaf:
+                leaf, tree = r["leaf"], TemplateTree()
+                if len(held) >= 20_000:
+                    yield out()
+                    held = []
+            words = r["template"].split(" ")
+            held.append((r["template"], tree.add(tuple(words)) if len(words) <= MAX_WORDS else r["template"], r))
+    if held:
+        yield out()
+
+
+#: Words that mark messages are looked for among those of at most so many; a corpus has far fewer kinds of messages.
+MOST_MARKS = 50_000
+
+
+def _marks(templates: DataFrame) -> dict[str, float]:
+    """How much likelier each word of the messages is in them than in other templates, as a logarithm."""
+    words = templates.select("said", F.explode(F.array_distinct(F.split("template", " "))).alias("w")).where("w not in ('<*>', '<N>', '')")
+    counts = words.groupBy("w").agg(F.count_if("said").alias("p"), F.count_if(~F.col("said")).alias("q")).where("p > 0").limit(MOST_MARKS + 1).collect()
+    if len(counts) > MOST_MARKS:
+        return {}
+    n = templates.agg(F.count_if("said").alias("p"), F.count_if(~F.col("said")).alias("q")).first()
+    return {r.w: log((r.p + 0.5) / (n.p + 1)) - log((r.q + 0.5) / (n.q + 1)) for r in counts}
+
+
+def speaks(template: str, marks: dict[str, float], unknown: float = -2.0) -> float:
+    """The mean weight of a template's words; those that no message has count as ``unknown``."""
+    words = {w for w in template.split(" ") if w not in ("<*>", "<N>", "")}
+    return sum(marks.get(w, unknown) for w in words) / len(words) if words else unknown
+
+
+def judged(hits: DataFrame, least_own: float = 0.5, least_said: float = 0.5, speaks_at: float = 2.5, least_docs: int = 3) -> DataFrame:
+    """``part, template, kind, n_docs, own_share, sources, residue``: partial templates with the corpus's template and its verdict."""
+    parts = hits.where("template is not null").groupBy("leaf", "template").agg(
+        F.count("*").alias("n"), F.count_if("own").alias("own"), F.min("src").alias("low"), F.max("src").alias("high")
+    )
+    ordered = parts.repartition("leaf").sortWithinPartitions("leaf", F.desc("n"), "template")
+    merged = cut(ordered.select("leaf", "template", "n", "own", "low", "high").mapInArrow(_merge, _MERGED), "templates")
+    whole = merged.groupBy("template").agg(
+        F.sum("n").alias("n_docs"), F.sum("own").alias("own"), F.sum(F.when(F.col("kind").isNotNull(), F.col("n")).otherwise(0)).alias("saying"), F.max("kind").alias("kind"),
+        F.when(F.min("low") < F.max("high"), 2).otherwise(1).alias("sources"),
+    )
+    whole = whole.withColumn("own_share", F.col("own") / F.col("n_docs")).withColumn("said", (F.col("saying") >= least_said * F.col("n_docs")) & (F.col("own_share") >= least_own))
+    whole = cut(whole, "judged")
+    marks = _marks(whole)
+
+    @F.pandas_udf("double")
+    def weight(templates):
+        return templates.map(lambda t: speaks(t, marks))
+
+    may = (F.col("n_docs") >= least_docs) & (F.col("sources") > 1) & (F.col("own") == F.col("n_docs")) & ~F.col("said")
+    whole = whole.withColumn("speaks", F.when(may, weight(F.when(may, F.col("template")).otherwise(""))))
+    verdict = F.col("said") | F.coalesce(F.col("speaks") >= speaks_at, F.lit(False))
+    whole = whole.select("template", F.when(verdict, F.coalesce("kind", F.lit("message"))).otherwise(F.col("kind")).alias("kind"), "n_docs", "own_share", "sources", verdict.alias("residue"))
+    return merged.select("part", "template").join(whole, "template")
+
+
+def templates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_own: float = 0.5, **limits) -> DataFrame:
+    """``kind, template, n_docs, own_share, sources, residue``: each template of the corpus that says what messages say, and its verdict
+    (``sources``: 2 for several)."""
+    return judged(scan(df, id_col, text_col), least_own, **limits).where("kind is not null").select("kind", "template", "n_docs", "own_share", "sources", "residue").distinct()
+
+
+def residue(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_own: float = 0.5, **limits) -> DataFrame:
     """``id_col, kinds``: documents with residue, and the kinds of it (sorted)."""
-    hits = cut(scan(df, id_col, text_col), "residue")  # used three times
-    seen = hits.where("kind <> 'slot'").groupBy("kind", "template").agg(F.avg(F.col("own").cast("double")).alias("own_share"))
-    bad = hits.join(seen.where(F.col("own_share") >= least_own), ["kind", "template"], "left_semi").select("id", "kind")
-    return bad.union(hits.where("kind = 'slot'").select("id", "kind")).groupBy("id").agg(F.array_sort(F.collect_set("kind")).alias("kinds")).withColumnRenamed("id", id_col)
+    hits = cut(scan(df, id_col, text_col), "residue")
+    bad = judged(hits, least_own, **limits).where("residue").select(F.col("part").alias("template"), "kind")
+    held = join_small(hits.where("template is not null").select("id", "template"), bad, "template").select("id", "kind")
+    slots = hits.where("slot is not null").select("id", F.lit("slot").alias("kind"))
+    return held.union(slots).groupBy("id").agg(F.array_sort(F.collect_set("kind")).alias("kinds")).withColumnRenamed("id", id_col)
