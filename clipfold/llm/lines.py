@@ -45,8 +45,20 @@ def line_key(line: Column) -> Column:
 
 def line_ids(text: Column) -> Column:
     """The identifiers of the lines of ``text``; empty lines are ``EMPTY``."""
-    keys = F.split(line_key_lines(text), "\n", -1)
-    return F.transform(keys, lambda k: F.when(F.trim(k) == "", F.lit(EMPTY)).otherwise(F.xxhash64(F.trim(k))).cast("bigint"))
+    return F.transform(F.split(line_key_lines(text), "\n", -1), line_id)
+
+
+def line_id(key: Column) -> Column:
+    """The identifier of a normalised line."""
+    return F.when(F.trim(key) == "", F.lit(EMPTY)).otherwise(F.xxhash64(F.trim(key))).cast("bigint")
+
+
+#: White space, as it is taken off the end of a text.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def end_trimmed(text: Column | str) -> Column:
+    return F.rtrim(F.col(text) if isinstance(text, str) else text, F.lit(WHITE))
 
 
 def line_key_lines(text: Column) -> Column:

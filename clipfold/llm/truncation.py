@@ -227,11 +227,13 @@ def whole_lines(texts: DataFrame, min_rests: int, least_whole: float) -> DataFra
     Of the different texts with a line that begins with the same characters, ``least_whole`` have it as a whole line. What a cut
     left of a line is begun by many longer ones, however often it is found.
     """
-    parts = F.split(lines.line_key_lines(F.regexp_replace("t", r"(?U)\s+$", "")), "\n", -1)
-    many = texts.where(F.col("t").contains("\n")).select(F.xxhash64("t").alias("text"), F.transform(parts, F.trim).alias("parts")).where(F.size("parts") > 1)
-    last = many.select(F.element_at("parts", -1).alias("line"), F.xxhash64(F.slice("parts", 1, F.size("parts") - 1)).alias("rest")).where("line <> ''")
+    whole = lines.end_trimmed("t")
+    many = texts.where(F.contains(whole, F.lit("\n")))
+    end = F.substring_index(whole, "\n", -1)
+    last = many.select(lines.line_key(end).alias("line"), F.xxhash64(F.substring(whole, F.lit(1), F.length(whole) - F.length(end))).alias("rest")).where("line <> ''")
     may = last.groupBy("line").agg(F.approx_count_distinct("rest").alias("n")).where(F.col("n") >= min_rests).select("line", F.substring("line", 1, _KEY).alias("key"))
-    begun = many.select("text", F.explode(F.slice("parts", 2, F.size("parts") - 1)).alias("found")).where("found <> ''")
+    parts = F.transform(F.split(lines.line_key_lines(whole), "\n", -1), F.trim)
+    begun = many.select(F.xxhash64("t").alias("text"), F.explode(F.slice(parts, 2, 1 << 30)).alias("found")).where("found <> ''")
     keyed = begun.select("text", "found", F.explode(F.array_distinct(F.array(*[F.substring("found", 1, k) for k in range(1, _KEY + 1)]))).alias("key"))
     met = join_small(keyed, may, "key").where(F.col("found").startswith(F.col("line")))
     counts = met.groupBy("line").agg(F.approx_count_distinct("text").alias("n"), F.approx_count_distinct(F.when(F.col("found") == F.col("line"), F.col("text"))).alias("n_whole"))
@@ -249,16 +251,15 @@ def judge(
     per_source = packed.join(repeated, "src", "full_outer")
     table = ending_counts(base.select("t"))
     kind = base.schema["id"].dataType.simpleString()
-    ends = base.withColumn("keys", lines.line_ids(F.regexp_replace("t", r"(?U)\s+$", ""))).select(
-        "id", "src", "t", F.element_at("keys", -1).alias("tail"), F.size("keys").alias("n_lines")
-    )
+    end = lines.end_trimmed("t")
+    ends = base.select("id", "src", "t", lines.line_id(lines.line_key(F.substring_index(end, "\n", -1))).alias("tail"), F.contains(end, F.lit("\n")).alias("lined"))
     common = whole_lines(base, min_rests, least_whole).select("tail", F.lit(True).alias("common"))
     src = join_small(join_small(ends, per_source, "src", "left"), common, "tail", "left").select(
         "id", "src", "t", F.coalesce(F.array_contains("bad", F.col("tail")), F.lit(False)).alias("added"),
         F.coalesce(
             F.array_max(F.transform(F.filter("limits", lambda x: F.when(x["unit"] == "char", F.length("t")).otherwise(F.octet_length("t")) == x["lim"]), lambda x: x["posterior"])), F.lit(0.0)
         ).alias("at_limit"),
-        (F.coalesce("common", F.lit(False)) & (F.col("n_lines") > 1)).alias("common"),
+        (F.coalesce("common", F.lit(False)) & F.col("lined")).alias("common"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
