@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from clipfold.llm import sets
 from clipfold.plans.cut import cut
+from clipfold.plans.small import join_small
 
 LANES = 2
 
@@ -33,14 +34,12 @@ def product(threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in sets.column_blocks(batches):
-            t = t.sort_by([("col", "ascending"), ("n", "ascending")])  # smaller documents first
-            col, ids, ns = (t[c].to_numpy() for c in ("col", "id", "n"))
-            group, keys = sets.column_keys(col, ns.astype(np.int64))
-            ask = np.arange(len(col))
-            ends = np.searchsorted(keys, group + np.floor(ns / threshold + 1e-9).astype(np.int64), "right")
+            block = sets.Block(t, LANES)
+            ids, ns, ask = block.id, block.n, np.arange(len(block))
+            ends = block.find(ask, np.floor(ns / threshold + 1e-9), "right")
             doc = np.unique(ids, return_inverse=True)
             found = [np.empty(0, np.int64)]
-            for x, y in sets.meetings(ask, ask + 1, ends, t, LANES, threshold):
+            for x, y in sets.meetings(ask, ask + 1, ends, block, threshold):
                 x, y = doc[1][x], doc[1][y]
                 found.append(np.minimum(x, y) * len(doc[0]) + np.maximum(x, y))
             pairs, shared = np.unique(np.concatenate(found), return_counts=True)
@@ -63,7 +62,7 @@ def classes(df: DataFrame, text_col: str, id_col: str = "item_id", threshold: fl
     firsts = cut(words.groupBy("k1", "k2").agg(F.min("id").alias("rep")), "classes")
     members = words.select("id", "k1", "k2").join(firsts, ["k1", "k2"]).select("rep", "id").distinct()
     order = sets.Order.fit(words)
-    reps = words.join(firsts.select(F.col("rep").alias("id")), "id", "left_semi").withColumn("run", F.lit(0))
+    reps = join_small(words, firsts.select(F.col("rep").alias("id")), "id", "left_semi").withColumn("run", F.lit(0))
     pairs = sets.by_column(sets.incidence(reps, order, threshold, LANES, hot)).mapInArrow(product(threshold), sets.PAIR_SCHEMA)
     return members, sets.verified(cut(sets.accumulated(pairs, threshold), "candidates"), words, threshold).select("a", "b").distinct()
 

@@ -23,10 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipfold.plans.ship import ship
+from clipfold.plans.small import join_small
 
 #: Sizes of the tables of frequency levels: about an entry a document, within these bounds. A table that is too small for a
 #: vocabulary makes heads less rare; it loses nothing.
-LEAST_LEVELS, MOST_LEVELS = 1 << 18, 1 << 22
+LEAST_LEVELS, MOST_LEVELS = 1 << 20, 1 << 22
 CACHE_WORDS = 500_000
 WORD = re.compile(r"[^\W_]+")
 _MARKS = re.compile("[" + "".join(chr(c) for c in range(0x300, 0x20000) if unicodedata.combining(chr(c))) + "]+")
@@ -157,11 +158,15 @@ class Order:
     def two_grams(self, words: np.ndarray, lens: np.ndarray) -> np.ndarray:
         """2-grams of the canonical texts, with the signs one more than words, set by set."""
         doc = np.repeat(np.arange(len(lens)), lens)
-        w = short(words)
-        order = np.lexsort((w, self.words[bucket(words, len(self.words))], doc))
+        w = short(words).astype(np.int64) & 0xFFFFFFFF
+        level = self.words[bucket(words, len(self.words))].astype(np.int64)
+        if len(lens) < 1 << 23:
+            w = np.sort((doc << 40) | (level << 32) | w) & 0xFFFFFFFF
+        else:
+            w = w[np.lexsort((w, level, doc))]
         total = len(w) + 2 * len(lens)
         text, starts = np.full(total, 1 << 40, np.int64), np.cumsum(lens + 2) - (lens + 2)
-        text[np.arange(len(w)) + 2 * doc + 1] = w[order].astype(np.int64) & 0xFFFFFFFF
+        text[np.arange(len(w)) + 2 * doc + 1] = w
         text[starts + lens + 1] = 1 << 41
         inner = np.ones(total, bool)
         inner[starts + lens + 1] = False
@@ -174,7 +179,13 @@ class Order:
         n = lens + 1
         doc = np.repeat(np.arange(len(lens)), n)
         lv = self.grams[bucket(grams, len(self.grams))]
-        order = np.lexsort((grams, lv, doc))
+        if len(lens) < 1 << 20:
+            key = (doc.astype(np.uint64) << np.uint64(44)) | (lv.astype(np.uint64) << np.uint64(36)) | (grams.view(np.uint64) >> np.uint64(28))
+            order = np.argsort(key)
+            key = key[order]
+            tied = bool((key[1:] == key[:-1]).any())
+        if len(lens) >= 1 << 20 or tied:  # by the whole 2-gram
+            order = np.lexsort((grams.view(np.uint64), lv, doc))
         starts = np.cumsum(n) - n
         _, pos = expand(starts, starts + n - common_grams(lens, threshold) + 1)
         pos = order[pos]
@@ -224,34 +235,41 @@ def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 #: Rows of a 2-gram above which its pairs are made in several tasks.
 HOT = 20_000
-ROW_SCHEMA = "col bigint, side tinyint, id bigint, run int, n int, sig binary"
+ROW_SCHEMA = "col bigint, rec binary"
 
 
-def incidence(sets: DataFrame, order: Order, threshold: float, lanes: int, hot: int | None = HOT) -> DataFrame:
+def record(lanes: int) -> np.dtype:
+    """A row but for its column, packed, so that rows cost little to move: ``size`` is four times the set's words, plus its side."""
+    return np.dtype([("id", "<i8"), ("sig", "<u8", (lanes,)), ("run", "<i4"), ("size", "<i4")])
+
+
+def incidence(sets: DataFrame, order: Order, threshold: float, lanes: int, hot: int = HOT) -> DataFrame:
     """Rows of the incidence matrix of sets (``id, run, words``) and the 2-grams of their heads, as ``ROW_SCHEMA``.
 
     A 2-gram of more than ``hot`` sets is split: its rows fall into g parts, and each pair of parts is a column of its own,
     to which the rows of both go; ``side`` tells them apart (0 where a column is not such a pair), so that a pair of sets
     meets in one column only.
     """
-    hot_level = 256 if hot is None else int(np.ceil(8 * np.log2(hot)))
+    hot_level, dtype = int(np.ceil(8 * np.log2(hot))), record(lanes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             words, lens = flat_lists(b.column(2))
-            sig = pa.array([], pa.binary()) if not len(lens) else pa.Array.from_buffers(
-                pa.binary(), len(lens), [None, pa.py_buffer((np.arange(len(lens) + 1) * 8 * lanes).astype(np.int32)), pa.py_buffer(signatures(words, lens, lanes).astype("<u8").tobytes())]
-            )
             col, doc, lv = order.heads(words, lens, threshold)
             parts = np.where(lv > hot_level, np.ceil(2.0 ** ((lv.astype(float) - hot_level) / 8)), 1).astype(np.int64)
             which, other = expand(np.zeros(len(col), np.int64), parts)
             ids = b.column(0).to_numpy()
             mine = mix(ids.view(np.uint64), np.full(len(ids), 3, np.uint64)).astype(np.int64)[doc[which]] % parts[which]
             low, high = np.minimum(mine, other), np.maximum(mine, other)
-            side = np.where(low == high, 0, np.where(mine == low, 1, 2)).astype(np.int8)
+            side = np.where(low == high, 0, np.where(mine == low, 1, 2))
             cols = np.where(parts[which] > 1, mix(col[which].view(np.uint64), (low * 65_536 + high + 1).view(np.uint64)).view(np.int64), col[which])
-            at = pa.array(doc[which])
-            yield pa.RecordBatch.from_arrays([pa.array(cols), pa.array(side), b.column(0).take(at), b.column(1).take(at), pa.array(lens.astype(np.int32)).take(at), sig.take(at)], names=["col", "side", "id", "run", "n", "sig"])
+            of_set = np.zeros(len(lens), dtype)
+            of_set["id"], of_set["sig"], of_set["run"], of_set["size"] = ids, signatures(words, lens, lanes), b.column(1).to_numpy(), 4 * lens
+            rows = of_set[doc[which]]
+            rows["size"] += side.astype(np.int32)
+            offsets = (np.arange(len(rows) + 1) * dtype.itemsize).astype(np.int32)
+            packed = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows.tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(cols), packed], names=["col", "rec"])
 
     ship(sets.sparkSession)
     return sets.select("id", "run", "words").mapInArrow(run, ROW_SCHEMA)
@@ -293,26 +311,38 @@ def packed_bytes(col: pa.ChunkedArray) -> np.ndarray:
     return np.ascontiguousarray(data)
 
 
-def lanes_of(sig: pa.ChunkedArray, lanes: int) -> np.ndarray:
-    """Signatures, a row a lane."""
-    return np.ascontiguousarray(packed_bytes(sig).view("<u8").reshape(-1, lanes).T)
+class Block:
+    """Rows of whole columns as arrays, sorted by column and size: ``col, id, run, n, side, sigs`` (a row a lane), and ``order``,
+    where each row was in the table."""
 
+    def __init__(self, t: pa.Table, lanes: int):
+        col, rec = t["col"].to_numpy(), packed_bytes(t["rec"]).view(record(lanes))
+        n = rec["size"] >> 2
+        group = np.cumsum(np.concatenate([[True], col[1:] != col[:-1]])) << 32
+        self.order = np.argsort(group + n, kind="stable")
+        rec = rec[self.order]
+        self.col, self.group, self.id, self.run = col[self.order], group[self.order], np.ascontiguousarray(rec["id"]), np.ascontiguousarray(rec["run"])
+        self.n, self.side = (rec["size"] >> 2).astype(np.int64), rec["size"] & 3
+        self.sigs = np.ascontiguousarray(rec["sig"].T)
+        self.keys = self.group + self.n
 
-#: Rows that a row meets up to which they are looked at by index, for many rows at once; above, in tiles of a column.
-FEW, TILE = 24, 512
-PAIRS_AT_ONCE = 4_000_000
+    def __len__(self) -> int:
+        return len(self.col)
 
+    def find(self, rows: np.ndarray | slice, size: np.ndarray, end: str) -> np.ndarray:
+        """Where sets of ``size`` words begin (``left``) or end (``right``) in the columns of ``rows``."""
+        return np.searchsorted(self.keys, self.group[rows] + size.astype(np.int64), end)
 
-def column_keys(col: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The number of each row's column (times 2^32), and keys by which rows sorted by column and size are searched."""
-    group = np.cumsum(np.concatenate([[True], col[1:] != col[:-1]])) << 32
-    return group, group + n
+
+#: Rows that a row meets up to which they are looked at by index, for many rows at once; above, in tiles of a column.
+FEW, TILE, ACROSS = 24, 128, 512
+PAIRS_AT_ONCE = 4_000_000
 
 
-def meetings(ask: np.ndarray, lo: np.ndarray, hi: np.ndarray, t: pa.Table, lanes: int, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of a row of ``ask`` with a row of its range [lo, hi) in the sorted block ``t`` that the bounds of sizes and
+def meetings(ask: np.ndarray, lo: np.ndarray, hi: np.ndarray, block: Block, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a row of ``ask`` with a row of its range [lo, hi) in the block that the bounds of sizes and
     signatures allow; in parts, so that memory doesn't follow the frequency of a column."""
-    col, side, ns, sigs = t["col"].to_numpy(), t["side"].to_numpy(), t["n"].to_numpy(), lanes_of(t["sig"], lanes)
+    col, side, ns, sigs = block.col, block.side, block.n, block.sigs
     few = hi - lo <= FEW
     at, first, last = ask[few], lo[few], hi[few]
     total, s = np.cumsum(last - first), 0
@@ -328,12 +358,14 @@ def meetings(ask: np.ndarray, lo: np.ndarray, hi: np.ndarray, t: pa.Table, lanes
         for i in range(s, e, TILE):
             k = min(e, i + TILE)
             rows, end = at[i:k], int(last[i:k].max())
-            for j in range(int(first[i:k].min()), end, TILE):
-                j_end = min(end, j + TILE)
-                d = np.bitwise_count(sigs[0][rows, None] ^ sigs[0][None, j:j_end])
-                for lane in sigs[1:]:
-                    d += np.bitwise_count(lane[rows, None] ^ lane[None, j:j_end])
-                x, y = np.nonzero(d <= min(255, int((int(ns[rows[-1]]) + int(ns[j_end - 1])) * most + 1e-6)))
+            mine = [lane[rows, None] for lane in sigs]
+            for j in range(int(first[i:k].min()), end, ACROSS):
+                j_end = min(end, j + ACROSS)
+                d = np.bitwise_count(mine[0] ^ sigs[0][j:j_end])
+                for a, lane in zip(mine[1:], sigs[1:]):
+                    d += np.bitwise_count(a ^ lane[j:j_end])
+                limit = min(255, int((int(ns[rows[-1]]) + int(ns[j_end - 1])) * most + 1e-6))
+                x, y = np.divmod(np.flatnonzero(d <= limit), j_end - j)
                 y += j
                 ok = (first[i:k][x] <= y) & (y < last[i:k][x])
                 yield _allowed(rows[x[ok]], y[ok], side, ns, sigs, threshold)
@@ -377,7 +409,7 @@ def similar_enough(a: np.ndarray, b: np.ndarray, ns: np.ndarray, sigs: np.ndarra
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float, a: str = "a", b: str = "b") -> DataFrame:
     """``pairs`` (ids ``a``, ``b``) whose word sets really have the similarity, with ``shared`` and ``total`` words."""
     ids = pairs.select(F.explode(F.array(a, b)).alias("id")).distinct()
-    w = sets.select("id", "words").join(ids, "id", "left_semi")
+    w = join_small(sets.select("id", "words"), ids, "id", "left_semi")
     joined = pairs.join(w.select(F.col("id").alias(a), F.col("words").alias("wa")), a).join(w.select(F.col("id").alias(b), F.col("words").alias("wb")), b)
     shared = F.size(F.array_intersect("wa", "wb"))
     out = joined.withColumn("shared", shared).withColumn("total", F.size("wa") + F.size("wb") - F.col("shared"))
