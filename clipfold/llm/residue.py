@@ -5,11 +5,11 @@ same leading words meet in a leaf, where similar ones share a template (numbers,
 gaps). Each batch of documents grows a partial tree of its own, whose templates stand for their sentences from then on; the
 partial templates of a leaf are then merged over all batches into the corpus's templates.
 
-A template is judged once, by three signals. What it says: the message patterns, over its partial templates by their
-documents, so that a rare wording gets the verdict of the template it belongs to. How it stands: alone on its lines, or
-among sentences with names, which tell of something. And how it speaks: words that mark the messages found so far,
-weighed by their shares in messages and in all other templates of the corpus; by them a repeated template of several
-sources that only ever stands alone is a message though no pattern fits. The verdict goes to every document that holds the template.
+A template is judged once, by two signals. What it says and where: the message patterns, over its sentences as they were
+worded, so that a rare wording gets the verdict of the template it belongs to, if it stands alone on most of its lines and not
+among sentences with names, which tell of something. And how it stands, whatever it says: a sentence of some words that several
+sources have, almost only in texts that tell of nothing at all, is a page in place of an article.
+The verdict goes to every document that holds the template.
 Unresolved slots inside ordinary text are found apart, by their syntax, unless the text quotes or explains them.
 
 Cases: null and empty texts, stray symbols, tables and other scripts are no case; a very long text is read line by
@@ -23,8 +23,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from math import log
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -35,6 +35,8 @@ from clipfold.plans.ship import ship
 from clipfold.plans.small import join_small
 
 DEPTH, SIMILAR, MAX_WORDS = 3, 0.7, 40
+#: A text tells of nothing if only so many of its lines have a name, each a single sentence, such as a headline and a signature.
+MOST_TOLD = 2
 SENTENCE = re.compile(r"(?<=[.!?…])\s+")
 NAME = r"[A-Za-zÀ-ÿ_][\wÀ-ÿ .-]{0,40}?"
 _FILL = r"(?:inser\w*|insér\w*|insert\w*|preench\w*|complet\w*|complét\w*|rellen\w*|rempl\w*|fill|einf[uü]g\w*|erg[aä]nz\w*|eintrag\w*|tk|tbd|todo|replace|substitu\w*|ersetz\w*)"
@@ -183,28 +185,33 @@ def open_slots(text: str) -> list[str]:
     return found
 
 
-_SCAN = "slot string, template string, leaf bigint, own boolean, src string"
+_SCAN = "slot string, template string, leaf bigint, kind string, own boolean, bare boolean, src string"
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``id, slot, template, leaf, own, src``: a row for each slot left open, and for each sentence without a name its
-    template in the partial tree of its batch, that one's leaf, and whether the line has no sentence with a name."""
+    """``id, slot, template, leaf, kind, own, bare, src``: a row for each slot left open, and for each sentence without a name
+    its template in the partial tree of its batch, that one's leaf, what the sentence's own wording says as a message, and
+    whether the line has no sentence with a name (``own``) and the whole text tells of nothing (``bare``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             tree = TemplateTree()
+            says: dict[tuple[str, ...], str | None] = {}
             at: list[int] = []
-            rows: list[tuple[str | None, list[str] | str | None, bool]] = []
+            rows: list[tuple[str | None, list[str] | str | None, str | None, bool]] = []
+            bare = np.ones(len(b), bool)
             for i, text in enumerate(b.column(1).to_pylist()):
                 if not text:
                     continue
                 if any(c in text for c in "{<$%@#[(_"):
                     for slot in dict.fromkeys(open_slots(text)):
                         at.append(i)
-                        rows.append((slot, None, True))
+                        rows.append((slot, None, None, True))
+                told = 0
                 for line in text.split("\n"):
                     found, names = [], False
-                    for s in SENTENCE.split(line):
+                    sentences = SENTENCE.split(line)
+                    for s in sentences:
                         s = s.strip()
                         if not s:
                             continue
@@ -214,19 +221,24 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_c
                                 names = True
                                 continue
                             words = masked(s)
-                        found.append(tree.add(words) if len(words) <= MAX_WORDS else " ".join(words))
-                    for template in {id(t): t for t in found}.values():
+                        if words not in says:
+                            says[words] = classify(" ".join(words))
+                        found.append((tree.add(words) if len(words) <= MAX_WORDS else " ".join(words), says[words]))
+                    told += names * (1 if len(sentences) == 1 else MOST_TOLD + 1)
+                    for template, kind in {(id(t), kind): (t, kind) for t, kind in found}.values():
                         at.append(i)
-                        rows.append((None, template, not names))
-            texts = [t if isinstance(t, str) or t is None else " ".join(t) for _, t, _ in rows]  # as the tree has them in the end
+                        rows.append((None, template, kind, not names))
+                bare[i] = told <= MOST_TOLD
+            texts = [t if isinstance(t, str) or t is None else " ".join(t) for _, t, *_ in rows]  # as the tree has them in the end
             keys = {t: xxhash.xxh3_64_intdigest("\t".join(map(str, leaf_of(t.split(" ")))).encode("utf-8", "replace")) - (1 << 63) for t in set(texts) if t is not None}
             where = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column(0).take(where), pa.array([r[0] for r in rows], pa.string()), pa.array(texts, pa.string()), pa.array([keys.get(t) for t in texts], pa.int64()),
-                    pa.array([r[2] for r in rows], pa.bool_()), b.column(2).take(where),
+                    pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.bool_()), pa.array(bare).take(where),
+                    b.column(2).take(where),
                 ],
-                names=["id", "slot", "template", "leaf", "own", "src"],
+                names=["id", "slot", "template", "leaf", "kind", "own", "bare", "src"],
             )
 
     ship(df.sparkSession)
@@ -235,19 +247,18 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_c
     return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, {_SCAN}")
 
 
-_MERGED = "part string, template string, kind string, n bigint, own bigint, low string, high string"
+_STATS = {"kind": pa.string(), "n": pa.int64(), "saying": pa.int64(), "own": pa.int64(), "bare": pa.int64(), "low": pa.string(), "high": pa.string()}
+_MERGED = "part string, template string, kind string, n bigint, saying bigint, own bigint, bare bigint, low string, high string"
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial templates, the most frequent of a leaf first, with the template of the corpus they belong to, and what each says."""
+    """Partial templates, the most frequent of a leaf first, with the template of the corpus they belong to."""
     leaf, tree, held = None, TemplateTree(), []
 
     def out() -> pa.RecordBatch:
         final = [" ".join(t) if isinstance(t, list) else t for _, t, _ in held]
-        kinds = [classify(part) for part, *_ in held]
-        table = pa.Table.from_pylist([r for *_, r in held]).select(["n", "own", "low", "high"])
-        cols = [table[c].combine_chunks() for c in ("n", "own", "low", "high")]
-        return pa.RecordBatch.from_arrays([pa.array([p for p, *_ in held], pa.string()), pa.array(final, pa.string()), pa.array(kinds, pa.string()), *cols], names=["part", "template", "kind", "n", "own", "low", "high"])
+        stats = [pa.array([r[c] for *_, r in held], t) for c, t in _STATS.items()]
+        return pa.RecordBatch.from_arrays([pa.array([p for p, *_ in held], pa.string()), pa.array(final, pa.string()), *stats], names=["part", "template", *_STATS])
 
     for b in batches:
         for r in b.to_pylist():
@@ -262,56 +273,29 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-#: Words that mark messages are looked for among those of at most so many; a corpus has far fewer kinds of messages.
-MOST_MARKS = 50_000
-
-
-def _marks(templates: DataFrame) -> dict[str, float]:
-    """How much likelier each word of the messages is in them than in other templates, as a logarithm."""
-    words = templates.select("said", F.explode(F.array_distinct(F.split("template", " "))).alias("w")).where("w not in ('<*>', '<N>', '')")
-    counts = words.groupBy("w").agg(F.count_if("said").alias("p"), F.count_if(~F.col("said")).alias("q")).where("p > 0").limit(MOST_MARKS + 1).collect()
-    if len(counts) > MOST_MARKS:
-        return {}
-    n = templates.agg(F.count_if("said").alias("p"), F.count_if(~F.col("said")).alias("q")).first()
-    return {r.w: log((r.p + 0.5) / (n.p + 1)) - log((r.q + 0.5) / (n.q + 1)) for r in counts}
-
-
-def speaks(template: str, marks: dict[str, float], unknown: float = -2.0) -> float:
-    """The mean weight of a template's words; those that no message has count as ``unknown``."""
-    words = {w for w in template.split(" ") if w not in ("<*>", "<N>", "")}
-    return sum(marks.get(w, unknown) for w in words) / len(words) if words else unknown
-
-
-def judged(hits: DataFrame, least_own: float = 0.5, least_said: float = 0.5, speaks_at: float = 2.5, least_docs: int = 3) -> DataFrame:
-    """``part, template, kind, n_docs, own_share, sources, residue``: partial templates with the corpus's template and its verdict."""
+def judged(hits: DataFrame, least_own: float = 0.5, least_said: float = 0.5, least_bare: float = 0.9, least_docs: int = 3, least_words: int = 3) -> DataFrame:
+    """``part, template, kind, n_docs, own_share, bare_share, sources, residue``: partial templates with the corpus's template and its verdict."""
     parts = hits.where("template is not null").groupBy("leaf", "template").agg(
-        F.count("*").alias("n"), F.count_if("own").alias("own"), F.min("src").alias("low"), F.max("src").alias("high")
+        F.count("*").alias("n"), F.count("kind").alias("saying"), F.max("kind").alias("kind"), F.count_if("own").alias("own"), F.count_if("bare").alias("bare"), F.min("src").alias("low"), F.max("src").alias("high")
     )
     ordered = parts.repartition("leaf").sortWithinPartitions("leaf", F.desc("n"), "template")
-    merged = cut(ordered.select("leaf", "template", "n", "own", "low", "high").mapInArrow(_merge, _MERGED), "templates")
+    merged = cut(ordered.select("leaf", "template", *_STATS).mapInArrow(_merge, _MERGED), "templates")
     whole = merged.groupBy("template").agg(
-        F.sum("n").alias("n_docs"), F.sum("own").alias("own"), F.sum(F.when(F.col("kind").isNotNull(), F.col("n")).otherwise(0)).alias("saying"), F.max("kind").alias("kind"),
+        F.sum("n").alias("n_docs"), F.sum("own").alias("own"), F.sum("bare").alias("bare"), F.sum("saying").alias("saying"), F.max("kind").alias("kind"),
         F.when(F.min("low") < F.max("high"), 2).otherwise(1).alias("sources"),
     )
-    whole = whole.withColumn("own_share", F.col("own") / F.col("n_docs")).withColumn("said", (F.col("saying") >= least_said * F.col("n_docs")) & (F.col("own_share") >= least_own))
-    whole = cut(whole, "judged")
-    marks = _marks(whole)
-
-    @F.pandas_udf("double")
-    def weight(templates):
-        return templates.map(lambda t: speaks(t, marks))
-
-    may = (F.col("n_docs") >= least_docs) & (F.col("sources") > 1) & (F.col("own") == F.col("n_docs")) & ~F.col("said")
-    whole = whole.withColumn("speaks", F.when(may, weight(F.when(may, F.col("template")).otherwise(""))))
-    verdict = F.col("said") | F.coalesce(F.col("speaks") >= speaks_at, F.lit(False))
-    whole = whole.select("template", F.when(verdict, F.coalesce("kind", F.lit("message"))).otherwise(F.col("kind")).alias("kind"), "n_docs", "own_share", "sources", verdict.alias("residue"))
-    return merged.select("part", "template").join(whole, "template")
+    own, bare = F.col("own") / F.col("n_docs"), F.col("bare") / F.col("n_docs")
+    says = (F.col("saying") >= least_said * F.col("n_docs")) & (own >= least_own)
+    words = F.regexp_count("template", F.lit("(^| )[a-z]{2,}"))
+    stands = (F.col("n_docs") >= least_docs) & (F.col("sources") > 1) & (bare >= least_bare) & (words >= least_words)
+    kind = F.when(stands & ~says, F.lit("page")).otherwise(F.col("kind"))
+    return merged.select("part", "template").join(whole.select("template", kind.alias("kind"), "n_docs", own.alias("own_share"), bare.alias("bare_share"), "sources", (says | stands).alias("residue")), "template")
 
 
 def templates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_own: float = 0.5, **limits) -> DataFrame:
-    """``kind, template, n_docs, own_share, sources, residue``: each template of the corpus that says what messages say, and its verdict
-    (``sources``: 2 for several)."""
-    return judged(scan(df, id_col, text_col), least_own, **limits).where("kind is not null").select("kind", "template", "n_docs", "own_share", "sources", "residue").distinct()
+    """``kind, template, n_docs, own_share, bare_share, sources, residue``: each template of the corpus that says what messages say, or
+    stands as they do, and its verdict (``sources``: 2 for several)."""
+    return judged(scan(df, id_col, text_col), least_own, **limits).where("kind is not null").drop("part").distinct()
 
 
 def residue(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_own: float = 0.5, **limits) -> DataFrame:
