@@ -137,7 +137,59 @@ _LINES = r"""
       GROUP BY src, k, n_src HAVING count(DISTINCT item_id) >= 5 AND count(DISTINCT item_id) >= 0.05 * n_src)
 """
 
+#: Distinct words of a text, lower-cased and without accents.
+_WORDS = r"list_distinct(regexp_extract_all(strip_accents(lower({})), '[\p{{L}}\p{{N}}]+'))"
+_KEPT = """kept AS (SELECT item_id, string_agg(line, chr(10) ORDER BY linha_no) AS t FROM keyed ANTI JOIN bad USING (src, k) GROUP BY item_id)"""
+#: Word sets of items with their summaries cleaned, classes of equal sets, and pairs of classes at the threshold.
+_STORIES = f"""{_LINES}, {_KEPT},
+    sets AS (
+      SELECT item_id, list_sort({_WORDS.format("coalesce(a.titulo, '') || chr(10) || CASE WHEN d.src IN (SELECT src FROM bad) THEN coalesce(t, '') ELSE a.resumo END")}) AS w
+      FROM arquivo a JOIN docs d USING (item_id) LEFT JOIN kept USING (item_id)),
+    class AS (SELECT min(item_id) AS rep, w, len(w) AS n FROM sets WHERE len(w) > 0 GROUP BY w),
+    member AS (SELECT item_id, rep FROM sets JOIN class USING (w)),
+    word AS (SELECT rep, n, unnest(w) AS x FROM class),
+    link AS (
+      SELECT a.rep AS ra, b.rep AS rb FROM word a JOIN word b ON a.x = b.x AND a.rep < b.rep AND a.n >= 0.65 * b.n AND b.n >= 0.65 * a.n
+      GROUP BY a.rep, b.rep, a.n, b.n HAVING count(*) >= 0.65 * (a.n + b.n - count(*)) - 1e-9)
+"""
+_PAGE = r"""
+    addr AS (
+      SELECT item_id, run_ord, trim(ligacao) AS u FROM arquivo),
+    parts2 AS (
+      SELECT item_id, run_ord, regexp_replace(lower(regexp_extract(u, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1)), '^www\.', '') AS host,
+        regexp_replace(regexp_extract(u, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*([^?#]*)', 1), '/+$', '') AS path,
+        array_to_string(list_sort(list_filter(string_split(regexp_extract(u, '^[^?#]*\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(lower(p),
+          '^(utm_.*|ref|referrer|fbclid|gclid|dclid|msclkid|yclid|igshid|mc_cid|mc_eid|_ga|cmpid|ns_.*|xtor|at_medium|at_campaign)(=|$)'))), '&') AS q
+      FROM addr),
+    page AS (SELECT item_id, run_ord, host || path || '?' || q AS k FROM parts2 WHERE host <> '' AND (path <> '' OR q <> '')),
+    same_page AS (SELECT n.item_id, min(o.item_id) AS first_id FROM page n JOIN page o ON n.k = o.k AND o.run_ord < n.run_ord GROUP BY n.item_id)
+"""
+#: Takes a publication's name off the end of a title; a broken bar stands for a gap with a sign before names.
+_BARE = """
+    {to} AS (
+      SELECT item_id, run_ord, CASE WHEN max(length(nm)) IS NULL THEN s ELSE rtrim(left(s, length(s) - max(length(nm)) - 1), ' ¦') END AS s
+      FROM {of} LEFT JOIN nm ON ends_with(replace(s, '¦', ' '), nm) AND length(s) > length(nm) + 1 AND substr(s, length(s) - length(nm), 1) = '¦' GROUP BY item_id, run_ord, s)"""
+_TITLES = r"""
+    nm AS (SELECT DISTINCT array_to_string(regexp_extract_all(strip_accents(lower(source)), '[\p{L}\p{N}]+'), ' ') AS nm FROM feeds WHERE source <> ''),
+    t0 AS (
+      SELECT item_id, run_ord, rtrim(regexp_replace(regexp_replace(strip_accents(lower(titulo)), '[^\p{L}\p{N}]*[-|–—·:/][^\p{L}\p{N}]*', '¦', 'g'), '[^\p{L}\p{N}¦]+', ' ', 'g'), ' ¦') AS s
+      FROM arquivo WHERE titulo <> ''),""" + _BARE.format(to="t1", of="t0") + "," + _BARE.format(to="t2", of="t1") + r""",
+    tset AS (
+      SELECT item_id, run_ord, list_sort(list_distinct(regexp_extract_all(s, '[\p{L}\p{N}]+'))) AS w FROM t2),
+    tword AS (SELECT item_id, run_ord, len(w) AS n, unnest(w) AS x FROM tset),
+    same_title AS (
+      SELECT item_id, min(o_id) AS first_id FROM (
+        SELECT n.item_id, o.item_id AS o_id FROM tword n JOIN tword o ON n.x = o.x AND o.run_ord < n.run_ord AND n.n >= 0.8 * o.n AND o.n >= 0.8 * n.n
+        GROUP BY n.item_id, o.item_id, n.n, o.n HAVING count(*) >= 0.8 * (n.n + o.n - count(*)) - 1e-9) GROUP BY item_id)
+"""
+
 ORACLE: dict[str, str] = {
+    "p2_found": f"WITH {_PAGE}, {_TITLES} SELECT min(first_id) AS first_id, item_id FROM (FROM same_page UNION ALL FROM same_title) GROUP BY item_id",
+    "p5_found": f"""WITH {_STORIES} SELECT least(a.item_id, b.item_id) AS id_a, greatest(a.item_id, b.item_id) AS id_b FROM link JOIN member a ON a.rep = ra JOIN member b ON b.rep = rb
+      UNION ALL SELECT a.item_id, b.item_id FROM member a JOIN member b ON a.rep = b.rep AND a.item_id < b.item_id""",
+    "p5_groups": f"""WITH {_STORIES}, deg AS (SELECT rep, count(*) AS n FROM (SELECT ra AS rep FROM link UNION ALL SELECT rb FROM link) GROUP BY rep)
+      SELECT item_id, rep AS class_id, coalesce(n, 0) AS n_links FROM member LEFT JOIN deg USING (rep)""",
+    "p5_links": f"WITH {_STORIES} SELECT ra AS class_a, rb AS class_b FROM link",
     "p1_found": f"WITH {_LINES} SELECT item_id, CAST(linha_no AS INTEGER) AS linha_no FROM keyed JOIN bad USING (src, k)",
     "p1_clean": f"""WITH {_LINES},
       kept AS (SELECT item_id, string_agg(line, chr(10) ORDER BY linha_no) AS t FROM keyed ANTI JOIN bad USING (src, k) GROUP BY item_id),

@@ -26,7 +26,10 @@ def test_chains_undo_themselves(chain):
         assert encoding.RUN.sub(lambda m: encoding.undo(m.group(), chain) or m.group(), bad) == t
 
 
-def test_garbling_is_found_and_undone(spark, archive):
+@pytest.mark.parametrize("chain", [0, 2, 4, 12, 14])
+def test_garbling_is_found_and_undone(spark, archive, chain):
+    written, read, _ = encoding.CHAINS[chain]
+    char = {b: c for c, b in reversed(encoding._TABLES[read].items())}
     clean = archive.where("titulo is not null").select("item_id", "fonte", "titulo", "resumo")
     known = {r.item_id for r in encoding.judge(clean).where("campo = 'titulo'").select("item_id").collect()}
     rows = clean.collect()
@@ -34,13 +37,34 @@ def test_garbling_is_found_and_undone(spark, archive):
     for r in rows:
         t = r.titulo
         if r.item_id % 25 == 0 and r.item_id not in known and not t.isascii():
-            want[r.item_id] = t
-            t = "".join(c if ord(c) < 128 else "".join(next(k for k, v in encoding._TABLES["cp1252"].items() if v == b) for b in c.encode()) for c in t)
+            try:
+                bad_title = "".join(c if ord(c) < 128 else "".join(char[b] for b in c.encode(written)) for c in t)
+            except (KeyError, UnicodeEncodeError):
+                bad_title = t
+            if bad_title != t:
+                want[r.item_id], t = t, bad_title
         bad.append((r.item_id, r.fonte, t, r.resumo))
     got = {r.item_id: r for r in encoding.repair(spark.createDataFrame(bad, clean.schema)).where("campo = 'titulo'").collect()}
     hit = [k for k in want if k in got]
-    assert len(hit) >= 0.98 * len(want) and sum(got[k].texto == want[k] for k in hit) >= 0.97 * len(hit)
-    assert len(set(got) - set(want) - known) <= 2
+    assert len(want) > 20 and len(hit) >= 0.95 * len(want) and sum(got[k].texto == want[k] for k in hit) >= 0.95 * len(hit)
+    assert len(set(got) - set(want) - known) <= 0.004 * len(rows)
+
+
+def test_weak_evidence_of_many_records_is_pooled():
+    ev = np.full((2, len(encoding.CHAINS)), -30.0)
+    ev[0, 3] = 1.5  # each field alone tells little
+    ev[1, 3] = -1.0
+    few = encoding._em(ev, np.array([3.0, 300.0]), 1000.0, np.full(len(encoding.CHAINS), 0.001), 10.0, 20)
+    many = encoding._em(ev, np.array([700.0, 50.0]), 1000.0, np.full(len(encoding.CHAINS), 0.001), 10.0, 20)
+    assert encoding._posteriors(ev, few)[0, 3] < 0.05 and encoding._posteriors(ev, many)[0, 3] > 0.8
+
+
+def test_shares_of_the_archive_are_those_of_one_task(spark):
+    r = np.random.default_rng(3)
+    ev = np.where(r.random((40, len(encoding.CHAINS))) < 0.2, r.integers(-4, 8, (40, len(encoding.CHAINS))) / 2, -30.0)
+    k, mean = r.integers(1, 30, 40), np.full(len(encoding.CHAINS), 0.001)
+    df = spark.createDataFrame([(x.tolist(), int(n)) for x, n in zip(ev, k)], "ev array<double>, k bigint").repartition(3)
+    assert np.allclose(encoding._shares(df, 5000.0, mean, 10.0, 12), encoding._em(ev, k, 5000.0, mean, 10.0, 12), atol=1e-4)
 
 
 def test_encoding_edges(spark):
@@ -159,6 +183,49 @@ def test_residue(spark):
     assert residue.residue(spark.createDataFrame([], df.schema)).count() == 0
 
 
+def test_a_rare_wording_gets_the_verdict_of_its_template(spark):
+    rare = "A página que procura não está aqui."
+    assert residue.classify(" ".join(residue.masked(rare))) is None
+    data = [(k, "A página que procura não existe aqui.", "x") for k in range(10)] + [(20 + k, rare, "x") for k in range(2)]
+    data += [(40 + k, f"A ponte que o conselho abriu em Velmora serve {k} casas. A obra custou pouco.", "x") for k in range(30)]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    for n in (1, 5):  # however the partial trees were grown
+        assert {r.doc_id for r in residue.residue(df.repartition(n)).collect()} == {k for k, *_ in data if k < 40}
+    top = residue.templates(df).where("residue").collect()
+    assert [(r.template, r.n_docs) for r in top] == [("a pagina que procura nao <*> aqui.", 12)]
+
+
+def test_pages_of_unknown_wording_are_found_by_how_they_stand(spark):
+    page, line = "A quota mensal de leituras acabou para este leitor.", "Texto revisto pela equipa da casa."
+    news = "A ponte que o conselho abriu em Velmora serve {} casas. A obra de Lambrasque custou pouco, disse Tolvito."
+    data = [(k, f"Conselho abre ponte em Velmora {k}\n\n{page}", f"F{k % 3}") for k in range(6)]
+    data += [(40 + k, f"Ponte nova em Velmora\n\n{news.format(k)}\n\n{line}", f"F{k % 3}") for k in range(30)]
+    data += [(90 + k, f"Uma frase que só uma fonte repete sem mais.", "F1") for k in range(5)]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, source string")
+    assert {r.doc_id for r in residue.residue(df).collect()} == set(range(6))
+
+
+def test_wordings_held_out_of_the_patterns_are_found_on_the_documents(spark, monkeypatch):
+    docs, whole = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), residue.classify
+    full = {r.doc_id for r in residue.residue(docs).collect()}
+    monkeypatch.setattr(residue, "classify", lambda t: None if "script" in t else whole(t))
+    lost = full - {r.doc_id for r in residue.residue(docs, least_docs=10**9).collect()}
+    got = {r.doc_id for r in residue.residue(docs).collect()}
+    assert len(lost) > 50 and len(lost & got) >= 0.9 * len(lost) and got <= full
+
+
+def test_verdicts_dont_depend_on_partitions(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = [{r.doc_id for r in residue.residue(docs.repartition(n)).collect()} for n in (1, 6)]
+    assert got[0] == got[1] and len(got[0]) > 3
+
+
+def test_long_sentences_are_judged_whole(spark):
+    data = [(1, "palavra " * 60 + "lorem ipsum lorem ipsum", "x"), (2, "palavra " * 60, "x"), (3, "bla, " * 200, "x"), (4, "x " * 45 + "TemplateError: 'NoneType' has no attribute", "x")]
+    got = {r.doc_id for r in residue.residue(spark.createDataFrame(data, "doc_id bigint, text string, kind string")).collect()}
+    assert got == {1, 3, 4}
+
+
 def test_template_tree():
     t = residue.TemplateTree()
     a = t.add(("erro", "no", "pedido", "um", "de", "hoje"))
