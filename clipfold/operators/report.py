@@ -222,6 +222,14 @@ def summarise_each(items: DataFrame, write: Callable[[str, str, list[str]], str]
     return spread.mapInPandas(run, "area string, origem string, noticias bigint, texto string, estado string, erro string")
 
 
+def loaded(load: Callable[[int], object], context: int = 4096) -> object:
+    """A model by ``load(context)``; with half the context where memory doesn't suffice."""
+    try:
+        return load(context)
+    except Exception:
+        return load(context // 2)
+
+
 def synthesis_counters(written: DataFrame) -> DataFrame:
     """One row: groups written, with too few items, failed, and too short, of ``summarise_each``'s."""
     return written.agg(*[F.count_if(F.col("estado") == state).alias(name) for state, name in (("escrita", "escritas"), ("poucas", "poucas"), ("falhou", "falhadas"), ("curta", "curtas"))])

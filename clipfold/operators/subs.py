@@ -37,3 +37,18 @@ def gate(areas_with_items: DataFrame, subs: DataFrame) -> DataFrame:
     known = have.agg((F.count("*") > 0).alias("known"))
     marked = areas_with_items.join(have.select("area").distinct().withColumn("has", F.lit(True)), "area", "left").crossJoin(F.broadcast(known))  # one row
     return marked.where(~F.col("known") | F.coalesce("has", F.lit(False))).select("area")
+
+
+def recipients(subs: DataFrame) -> DataFrame:
+    """``area, para, n``: the addresses of each area as one line for the mailer, in order."""
+    g = cleaned(subs).groupBy("area").agg(F.array_sort(F.collect_list("email")).alias("e"))  # one message's addresses
+    return g.select("area", F.array_join("e", ",").alias("para"), F.size("e").cast("bigint").alias("n"))
+
+
+#: Fixed value: how a log is told to hide a text.
+HIDE = "::add-mask::"
+
+
+def hidden(subs: DataFrame) -> DataFrame:
+    """``linha``: what to write to a log first, so that it shows no address."""
+    return cleaned(subs).select(F.concat(F.lit(HIDE), "email").alias("linha")).distinct()

@@ -516,6 +516,16 @@ def masked_list(spark, d):
     return subs.masked(_t(spark, d, "subs"))
 
 
+@query
+def recipients(spark, d):
+    return subs.recipients(_t(spark, d, "subs"))
+
+
+@query
+def hidden_addresses(spark, d):
+    return subs.hidden(_t(spark, d, "subs"))
+
+
 @query
 def area_list(spark, d):
     return _items(spark, d).where("area <> ''").select("area").distinct()

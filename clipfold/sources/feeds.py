@@ -1,6 +1,6 @@
-"""Feeds: from raw payloads to dated items. Fetching is left to the caller; a payload table holds the bytes.
+"""Feeds: from addresses to raw payloads, and from payloads to dated items.
 
-Each payload is decoded, repaired and parsed apart, so that a malformed feed gives an error row of its own and no feed
+Each address is fetched and each payload decoded, repaired and parsed apart, so that a malformed feed gives an error row of its own and no feed
 loses the items of another.
 """
 
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html
 import re
+import urllib.request
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 from datetime import datetime
@@ -34,6 +35,28 @@ _ENTITY = re.compile(r"&([A-Za-z][A-Za-z0-9]*);")
 ENCODINGS = ("utf-8", "cp1252", "iso-8859-1")
 
 
+def fetch(feeds: DataFrame, timeout: float = 30.0, agent: str = "clipfold", most_bytes: int = 64 << 20, parts: int = 8) -> DataFrame:
+    """Payloads of ``feed_ord, url`` (rows of ``PAYLOAD`` and ``erro``), fetched by ``parts`` tasks; an address that fails, or whose
+    body is longer than ``most_bytes``, has its error and no body."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for feed, url in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                body, error = None, None
+                try:
+                    if not (url or "").startswith(("http://", "https://")):
+                        raise ValueError("no http address")
+                    with urllib.request.urlopen(urllib.request.Request(url, headers={"User-Agent": agent}), timeout=timeout) as got:
+                        body = got.read(most_bytes + 1)
+                    if len(body) > most_bytes:
+                        raise ValueError(f"more than {most_bytes} bytes")
+                except Exception as e:  # the fault of one feed is its own
+                    body, error = None, f"{type(e).__name__}: {e}"
+                yield pa.RecordBatch.from_arrays([pa.array([feed], pa.int32()), pa.array([url], pa.string()), pa.array([body], pa.binary()), pa.array([error], pa.string())], names=["feed_ord", "url", "body", "erro"])
+
+    return feeds.select(F.col("feed_ord").cast("int").alias("feed_ord"), "url").repartition(parts).mapInArrow(run, PAYLOAD + ", erro string")
+
+
 def decode(body: bytes) -> str:
     """By the encoding declared at the start, else the first of ``ENCODINGS`` that reads all of it."""
     declared = _DECLARED.search(body[:200])

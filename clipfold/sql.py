@@ -361,6 +361,8 @@ SQL = {
     "subscribe": f"WITH {SUBS} SELECT DISTINCT 'Tesouraria' AS area, lower(trim(email)) AS email FROM subs WHERE regexp_full_match(lower(trim(email)), '[^@\\s,;<>]+@[^@\\s,;<>]+\\.[A-Za-z]{{2,}}') AND lower(trim(email)) NOT IN (SELECT email FROM s WHERE area = 'Tesouraria')",
     "cancel": f"WITH {SUBS} SELECT * FROM s WHERE area NOT LIKE 'Lotas%'",
     "masked_list": f"WITH {SUBS}, n AS (SELECT email, count(*) AS areas FROM s GROUP BY 1) SELECT {MASK} AS email, areas FROM n",
+    "recipients": f"WITH {SUBS} SELECT area, string_agg(email, ',' ORDER BY email) AS para, count(*) AS n FROM s GROUP BY area",
+    "hidden_addresses": f"WITH {SUBS} SELECT DISTINCT '::add-mask::' || email AS linha FROM s",
     "area_list": f"WITH {ITEMS} SELECT DISTINCT area FROM it WHERE area <> ''",
     "area_texts": f"""WITH {ITEMS}, r AS (SELECT *, {ROWS.format('area', 'LAST')} AS n, count(*) OVER (PARTITION BY area) AS noticias,
         {LABEL} || ': ' || {shorten('titulo')} || ' — ' || coalesce(nullif(fonte, ''), 'sem indicação') AS t,

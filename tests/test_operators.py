@@ -175,3 +175,12 @@ def test_summaries(spark):
     df = items(spark, *[item(k, titulo=f"um título bastante longo {k}") for k in range(3)], item(9, area="B"))
     got = report.summarise(df, report.listing, 2).collect()
     assert [(r.area, r.noticias, r.texto.count(";")) for r in got] == [("A", 3, 1)]
+
+
+def test_a_model_that_needs_less_memory():
+    def load(n):
+        if n > 3000:
+            raise MemoryError
+        return n
+
+    assert report.loaded(load) == 2048

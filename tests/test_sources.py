@@ -1,4 +1,6 @@
+import http.server
 import json
+import threading
 from datetime import datetime
 
 import pytest
@@ -31,6 +33,26 @@ def test_feeds(spark):
     assert feeds.items(payloads.where("feed_ord < 0"), reg, AS_OF)[0].count() == 0
 
 
+def test_fetching(spark):
+    class Page(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            self.send_response(200 if self.path == "/rss" else 404)
+            self.end_headers()
+            self.wfile.write(RSS.encode("iso-8859-1"))
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Page)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    at = f"http://127.0.0.1:{server.server_port}"
+    rows = [(1, f"{at}/rss"), (2, f"{at}/nada"), (3, "file:///etc/hostname"), (4, None)]
+    got = {r.feed_ord: r for r in feeds.fetch(spark.createDataFrame(rows, "feed_ord int, url string"), 5).collect()}
+    server.shutdown()
+    assert bytes(got[1].body) == RSS.encode("iso-8859-1") and got[1].erro is None
+    assert "404" in got[2].erro and "no http" in got[3].erro and "no http" in got[4].erro and got[3].body is None
+
+
 def test_decoding():
     assert feeds.decode("é".encode("cp1252")) == "é" and feeds.decode("é".encode()) == "é"
     assert feeds.decode(b"a\x81\xe9") == "a\x81é"  # no byte is lost
