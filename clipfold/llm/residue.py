@@ -35,6 +35,8 @@ from clipfold.plans.ship import ship
 from clipfold.plans.small import join_small
 
 DEPTH, SIMILAR, MAX_WORDS = 3, 0.7, 40
+#: Templates of a leaf, above which the tree is deeper at this place.
+LEAF_MOST = 300
 #: A text tells of nothing if only so many of its lines have a name, each a single sentence, such as a headline and a signature.
 MOST_TOLD = 2
 SENTENCE = re.compile(r"(?<=[.!?…])\s+")
@@ -94,8 +96,9 @@ class TemplateTree:
         self.depth, self.similar = depth, similar
         self.leaves: dict[tuple, list[list[str]]] = {}
 
-    def add(self, words: tuple[str, ...]) -> list[str]:
-        leaf = self.leaves.setdefault(leaf_of(words, self.depth), [])
+    def add(self, words: tuple[str, ...], depth: int | None = None) -> list[str]:
+        depth = depth or self.depth
+        leaf = self.leaves.setdefault(leaf_of(words, depth), [])
         for template in leaf:
             same = sum(a == b for a, b in zip(template, words))
             if same >= self.similar * len(words):
@@ -104,6 +107,8 @@ class TemplateTree:
                         if template[k] != w:
                             template[k] = "<*>"
                 return template
+        if len(leaf) >= LEAF_MOST and depth < len(words):  # a full leaf stays as it is, and the tree is deeper there
+            return self.add(words, depth + 2)
         leaf.append(list(words))
         return leaf[-1]
 

@@ -226,6 +226,14 @@ def test_long_sentences_are_judged_whole(spark):
     assert got == {1, 3, 4}
 
 
+def test_full_leaves_grow_deeper(monkeypatch):
+    monkeypatch.setattr(residue, "LEAF_MOST", 4)
+    t = residue.TemplateTree()
+    for k in range(40):
+        t.add(("a", "b", "c", f"d{k % 20}", f"e{k}", f"f{k}", f"g{k}"))
+    assert max(len(leaf) for leaf in t.leaves.values()) <= 4 and sum(len(leaf) for leaf in t.leaves.values()) == 40
+
+
 def test_template_tree():
     t = residue.TemplateTree()
     a = t.add(("erro", "no", "pedido", "um", "de", "hoje"))
