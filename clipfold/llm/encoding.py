@@ -42,6 +42,8 @@ CACHE_RUNS = 100_000
 FIRST_LEAST, LEAST = -4.0, -2.0
 #: Evidence is counted in steps of this size, so that fields of like evidence are one row.
 STEP = 0.5
+#: The archive's shares are settled when a round changes none by more.
+SETTLED = 5e-5
 #: Share of runs that stay as they were within a field of a chain: high where whole passages may be sound, low where
 #: reading a single-byte encoding wrongly changes every character.
 SOUND = {"utf-8": 0.02, "single": 1e-3}
@@ -206,9 +208,10 @@ def _em(ev: np.ndarray, weight: np.ndarray, n: float, mean: np.ndarray, strength
     return share
 
 
-def _shares(kinds: DataFrame, n: float, mean: np.ndarray, strength: float, rounds: int) -> np.ndarray:
-    """The same over the whole archive: a round adds up the posteriors of all kinds of evidence where they are."""
-    share = mean.copy()
+def _shares(kinds: DataFrame, n: float, mean: np.ndarray, strength: float, rounds: int, start: np.ndarray | None = None) -> np.ndarray:
+    """The same over the whole archive: a round adds up the posteriors of all kinds of evidence where they are. It begins
+    from ``start``, and ends when the shares hardly change."""
+    share = mean.copy() if start is None else start
     for _ in range(rounds):
         now = share
 
@@ -221,7 +224,7 @@ def _shares(kinds: DataFrame, n: float, mean: np.ndarray, strength: float, round
 
         sums = {r.z: r.p for r in kinds.select("ev", "k").mapInArrow(add, "z bigint, p double").groupBy("z").agg(F.sum("p").alias("p")).collect()}  # a row a chain
         share = (np.array([sums.get(z, 0.0) for z in range(len(CHAINS))]) + strength * mean) / (n + strength)
-        if np.abs(share - now).max() < 1e-5:
+        if np.abs(share - now).max() < SETTLED:
             break
     return share
 
@@ -259,15 +262,17 @@ def _judge(
     sizes = src.groupBy("src").agg(*[F.count(F.when(F.col(c) != "", 1)).alias(c) for c in cols])
     sizes = sizes.select("src", F.explode(F.create_map(*[x for c in cols for x in (F.lit(c), F.col(c))])).alias("campo", "n"))
     sizes = cut(sizes, "field-sizes")
+    mean = None
     for k in range(passes):
-        judged = _posterior(suspects, sizes, places, prior, strength, rounds)
+        judged, mean = _posterior(suspects, sizes, places, prior, strength, rounds, mean)
         if k + 1 < passes:  # what is probably garbled no longer counts as text of the archive
             places = _without(judged, places)
     return judged.select(F.col("id").alias(id_col), "campo", "chain", "posterior").where(F.col("posterior") >= least), places
 
 
-def _posterior(suspects: DataFrame, sizes: DataFrame, places: dict[str, int], prior: float, strength: float, rounds: int) -> DataFrame:
-    """``suspects`` with their likeliest chain and the posterior of any chain."""
+def _posterior(suspects: DataFrame, sizes: DataFrame, places: dict[str, int], prior: float, strength: float, rounds: int, start: np.ndarray | None) -> tuple[DataFrame, np.ndarray]:
+    """``suspects`` with their likeliest chain and the posterior of any chain; and the archive's shares, from which the next
+    pass begins."""
     kind = suspects.schema["id"].dataType.simpleString()
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,7 +285,7 @@ def _posterior(suspects: DataFrame, sizes: DataFrame, places: dict[str, int], pr
     weighed = cut(suspects.mapInArrow(weigh, f"id {kind}, src string, campo string, runs array<string>, ev array<double>").where(F.array_max("ev") > -30.0), "weighed")
     kinds = cut(weighed.groupBy("src", "campo", "ev").agg(F.count("*").alias("k")).join(sizes, ["src", "campo"]), "evidence")  # fields of like evidence are one row
     n = sizes.agg(F.sum("n").alias("n")).first().n or 0
-    mean = _shares(kinds.groupBy("ev").agg(F.sum("k").alias("k")), float(n), np.full(len(CHAINS), prior / len(CHAINS)), 10.0, rounds)
+    mean = _shares(kinds, float(n), np.full(len(CHAINS), prior / len(CHAINS)), 10.0, rounds, start)
 
     def shares(group: pa.Table) -> pa.Table:
         ev = np.array(group["ev"].to_pylist(), float)
@@ -293,7 +298,7 @@ def _posterior(suspects: DataFrame, sizes: DataFrame, places: dict[str, int], pr
     clean = F.lit(1.0) - F.aggregate("share", F.lit(0.0), lambda a, x: a + x)
     judged = join_small(weighed, prior_by_source, ["src", "campo"]).withColumn("joint", joint)
     best = (F.array_position("joint", F.array_max("joint")) - 1).cast("int")
-    return judged.select("id", "campo", "runs", best.alias("chain"), (total / (total + clean)).alias("posterior"))
+    return judged.select("id", "campo", "runs", best.alias("chain"), (total / (total + clean)).alias("posterior")), mean
 
 
 def _without(judged: DataFrame, places: dict[str, int]) -> dict[str, int]:
