@@ -736,7 +736,7 @@ def archive_document(spark, d):
     path = fresh_path(spark, "arquivo") + ".json"
     items = _items(spark, d)
     rolled = api.roll(items.where("run_ord <= 5"), items.where("run_ord > 5"), AS_OF)
-    state.put(spark, path, state.document(rolled, AS_OF, {"dias": 7}).encode())
+    state.write_document(rolled, path, AS_OF, {"dias": 7})
     return state.read_items(spark, path)
 
 

@@ -108,6 +108,31 @@ def test_documents_and_lines(spark, tmp_path):
     assert state.read_items(spark, str(tmp_path / "old.json")).first().imagem is None
 
 
+def test_documents_of_any_size(spark, tmp_path, monkeypatch):
+    items = _archive(spark)
+    more = spark.range(1_001).crossJoin(items.drop("palavras")).withColumn("palavras", F.array(F.lit('a", [\n{b')))
+    path = str(tmp_path / "m.json")
+    state.write_snapshot(more, path, AS_OF, "48h", "publicações")
+    n = more.count()
+    assert n > 200_000 and state.read_items(spark, path).count() == n and state.read_items(spark, path).rdd.getNumPartitions() > 1
+    assert state.read_header(spark, path, "gerado string, periodo string").first() == ("8 de agosto de 2026, 12h00", "48h")
+    monkeypatch.setattr(state, "document", None)
+    few, doc = items.limit(20), tmp_path / "few" / "a[1] b.json"
+    state.write_document(few, str(doc), AS_OF, {"dias": 7})
+    read = json.loads(doc.read_text())
+    assert read["dias"] == 7 and len(read["noticias"]) == 20 and sorted((x.get("data", "") for x in read["noticias"]), reverse=True) == [x.get("data", "") for x in read["noticias"]]
+    (tmp_path / "few" / "b.json").write_text(json.dumps(read, indent=1))
+    (tmp_path / "few" / "c.json").write_text('{"noticias": [\n{\n"titulo": "x"\n}\n]}')
+    (tmp_path / "few" / "d.json").write_text('{"noticias": [\r\n{"titulo": 7, "palavras": "x"},\r\n{"titulo": "y"}\r\n]}\r\n')
+    back = state.read_items(spark, str(tmp_path / "few")).groupBy(*[c for c in few.columns if c in ("titulo", "area", "palavras")]).count().collect()
+    assert sum(r["count"] for r in back) == 43 and all(r["count"] % 2 == 0 for r in back if r.titulo not in ("x", "y", "7"))
+    (tmp_path / "bad.json").write_text('{"noticias": [\n{"titulo": "x"}\n,{"titulo": \n]}')
+    with pytest.raises(Exception, match="no item"):
+        state.read_items(spark, str(tmp_path / "bad.json")).collect()
+    state.write_document(items.limit(0), path, AS_OF, {})
+    assert state.read_items(spark, path).count() == 0 and json.loads((tmp_path / "m.json").read_text())["noticias"] == []
+
+
 def test_series_document_round_trip(spark, tmp_path):
     items = _archive(spark)
     by_area = series.daily_by_area(items)
