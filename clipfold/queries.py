@@ -725,8 +725,8 @@ def run_document(spark, d):
     """The document of a run, written and read."""
     path = fresh_path(spark, "documento") + ".json"
     rows = it.report_rows(_items(spark, d), AS_OF, 48, undated=False, dims=DIMS)
-    state.put(spark, path, state.snapshot(rows, AS_OF, "48h", "publicações").encode())
-    head = spark.read.schema("gerado string, origem string, periodo string").json(path, multiLine=True)
+    state.write_snapshot(rows, path, AS_OF, "48h", "publicações")
+    head = state.read_header(spark, path, "gerado string, origem string, periodo string")
     return state.read_items(spark, path).crossJoin(F.broadcast(head))  # one row
 
 

@@ -215,11 +215,6 @@ def write_snapshot(items: DataFrame, path: str, made: datetime, window: str, ori
     write_document(items, path, made, {"gerado": long_stamp(made), "origem": origin, "periodo": window or "sem limite"})
 
 
-def snapshot(items: DataFrame, made: datetime, window: str, origin: str, most: int = 200_000) -> str:
-    """The document of one run: a header with its time in words, its origin and window, and all items."""
-    return document(items, made, {"gerado": long_stamp(made), "origem": origin, "periodo": window or "sem limite"}, most)
-
-
 def put(spark: SparkSession, path: str, data: bytes) -> None:
     """Write one small file, wherever ``path`` is."""
     p, fs = file_system(spark, path)
