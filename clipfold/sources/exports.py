@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import io
+import itertools
 import re
 import zipfile
+from collections.abc import Iterable, Iterator
 from datetime import date, datetime
 from xml.sax.saxutils import escape
 
@@ -15,7 +17,10 @@ from pyspark.sql import functions as F
 from clipfold.functions.dates import first_report
 from clipfold.functions.text import escape_html, mask_email
 from clipfold.operators import report, series
-from clipfold.sources.state import put
+from clipfold.operators.items import ORDER
+from clipfold.plans.cut import cut, delete, file_system, fresh_path
+from clipfold.plans.ship import ship
+from clipfold.sources.state import exists, join_parts, put
 
 SHEET = ("area", "grupo", "ts", "fonte", "dominio", "titulo", "resumo", "ligacao")
 #: Rows that a sheet holds by its format.
@@ -72,40 +77,103 @@ def _cell(at: str, v) -> str:
     return f'<c r="{at}"><v>{v}</v></c>'
 
 
-def xlsx(sheets: dict[str, pa.Table]) -> bytes:
-    """A spreadsheet file of tables; a text that begins with ``=COUNTIF(`` becomes that formula."""
-    out = io.BytesIO()
-    names = list(sheets)
+def _row(i: int, values: Iterable) -> str:
+    return f'<row r="{i}">' + "".join(_cell(f"{_column(j)}{i}", v) for j, v in enumerate(values)) + "</row>"
+
+
+def _table_rows(t: pa.Table) -> str:
+    return "".join(_row(i, row) for i, row in enumerate([t.column_names, *zip(*(c.to_pylist() for c in t.columns))], 1))
+
+
+#: Around the rows of a sheet.
+_BEGIN, _END = '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>', "</sheetData></worksheet>"
+
+
+def _contents(names: list[str]) -> dict[str, str]:
+    """The files of a spreadsheet besides its sheets."""
     kind = "application/vnd.openxmlformats-officedocument.spreadsheetml"
     rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
     main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
     pack = "http://schemas.openxmlformats.org/package/2006"
     parts = "".join(f'<Override PartName="/xl/worksheets/sheet{k}.xml" ContentType="{kind}.worksheet+xml"/>' for k in range(1, len(names) + 1))
+    return {
+        "[Content_Types].xml": f'<Types xmlns="{pack}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/>{parts}</Types>',
+        "_rels/.rels": f'<Relationships xmlns="{pack}/relationships"><Relationship Id="rId1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>' + "".join(f'<sheet name="{escape(n[:31])}" sheetId="{k}" r:id="rId{k}"/>' for k, n in enumerate(names, 1)) + "</sheets></workbook>",
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{pack}/relationships">' + "".join(f'<Relationship Id="rId{k}" Type="{rel}/worksheet" Target="worksheets/sheet{k}.xml"/>' for k in range(1, len(names) + 1)) + "</Relationships>",
+    }
+
+
+def xlsx(sheets: dict[str, pa.Table]) -> bytes:
+    """A spreadsheet file of tables; a text that begins with ``=COUNTIF(`` becomes that formula."""
+    out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("[Content_Types].xml", f'<Types xmlns="{pack}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/>{parts}</Types>')
-        z.writestr("_rels/.rels", f'<Relationships xmlns="{pack}/relationships"><Relationship Id="rId1" Type="{rel}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
-        z.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>' + "".join(f'<sheet name="{escape(n[:31])}" sheetId="{k}" r:id="rId{k}"/>' for k, n in enumerate(names, 1)) + "</sheets></workbook>")
-        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{pack}/relationships">' + "".join(f'<Relationship Id="rId{k}" Type="{rel}/worksheet" Target="worksheets/sheet{k}.xml"/>' for k in range(1, len(names) + 1)) + "</Relationships>")
-        for k, name in enumerate(names, 1):
-            t = sheets[name]
-            rows = [t.column_names, *zip(*(c.to_pylist() for c in t.columns))]
-            body = "".join(f'<row r="{i}">' + "".join(_cell(f"{_column(j)}{i}", v) for j, v in enumerate(row)) + "</row>" for i, row in enumerate(rows, 1))
-            z.writestr(f"xl/worksheets/sheet{k}.xml", f'<worksheet xmlns="{main}"><sheetData>{body}</sheetData></worksheet>')
+        for name, body in _contents(list(sheets)).items():
+            z.writestr(name, body)
+        for k, t in enumerate(sheets.values(), 1):
+            z.writestr(f"xl/worksheets/sheet{k}.xml", _BEGIN + _table_rows(t) + _END)
     return out.getvalue()
 
 
+def _written_rows(df: DataFrame, most: int) -> tuple[int, str]:
+    """How many rows an ordered table has, and a folder with the XML of its rows in their order, by sheets of ``most`` rows; tasks write it."""
+    spark = df.sparkSession
+    ship(spark)
+    placed = cut(df.withColumn("__at", F.monotonically_increasing_id()), "sheet")
+    tasks = placed.groupBy(F.shiftright("__at", 33).alias("task")).count().orderBy("task").collect()  # a row a task
+    before = dict(zip((r.task for r in tasks), itertools.accumulate((r["count"] for r in tasks), initial=0)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            places = [before[at >> 33] + (at & ((1 << 33) - 1)) for at in b.column(b.num_columns - 1).to_pylist()]
+            rows = [_row(n % most + 2, values) for n, *values in zip(places, *(c.to_pylist() for c in b.columns[:-1]))]
+            yield pa.RecordBatch.from_arrays([pa.array([n // most for n in places], pa.int64()), pa.array(places, pa.int64()), pa.array(rows, pa.string())], names=["sheet", "place", "value"])
+
+    path = fresh_path(spark, "rows")
+    rows = cut(placed.mapInArrow(run, "sheet bigint, place bigint, value string"), "cells")
+    rows.orderBy("sheet", "place").select("sheet", "value").write.partitionBy("sheet").text(path, lineSep="\n")
+    return sum(r["count"] for r in tasks), path
+
+
 def write_xlsx(df: DataFrame, path: str, name: str = "dados", most: int = SHEET_ROWS) -> None:
     """A table as a spreadsheet of one sheet; refuses more rows than a sheet holds."""
     put(df.sparkSession, path, xlsx({name: _bounded(df, most, "sheet")}))
 
 
 def write_workbook(items: DataFrame, areas: DataFrame, errors: DataFrame, path: str, most: int = SHEET_ROWS) -> None:
-    """The workbook as a file, in which the counts by area are formulas over the sheet of items."""
-    sheets = {name: _bounded(df, most, "sheet") for name, df in workbook(items, areas, errors).items()}
-    last, counts = sheets["noticias"].num_rows + 1, sheets["resumo"]
-    live = [f"=COUNTIF(noticias!$A$2:$A${max(2, last)},A{i})" for i in range(2, counts.num_rows + 2)]
-    sheets["resumo"] = counts.append_column("actual", pa.array(live, pa.string()))
-    put(items.sparkSession, path, xlsx({k: v for k, v in sheets.items() if k != "falhas" or v.num_rows}))
+    """The workbook as a file, in which the counts by area are formulas over the sheet of items.
+
+    Items beyond the ``most`` that a sheet holds go on in sheets of their own at the end (``noticias 2`` and so on), which the
+    formulas count too.
+    """
+    spark = items.sparkSession
+    items = cut(items.select(*[c for c in items.columns if c in (*SHEET, *ORDER)]), "book")  # read for the sheet and for the counts
+    book = workbook(items, areas, errors)
+    counts, failures = (_bounded(book[name], most, "sheet") for name in ("resumo", "falhas"))
+    n, rows = _written_rows(book["noticias"], most)
+    held = [min(most, n - k) for k in range(0, max(n, 1), most)]
+    ranges = [f"{f"'noticias {k}'" if k > 1 else 'noticias'}!$A$2:$A${max(2, here + 1)}" for k, here in enumerate(held, 1)]
+    live = ["=" + "+".join(f"COUNTIF({r},A{i})" for r in ranges) for i in range(2, counts.num_rows + 2)]
+    sheets: dict[str, str | int] = {"noticias": 0, "resumo": _table_rows(counts.append_column("actual", pa.array(live, pa.string())))}
+    if failures.num_rows:
+        sheets["falhas"] = _table_rows(failures)
+    sheets |= {f"noticias {k}": k - 1 for k in range(2, len(held) + 1)}
+    java = spark._jvm.java.util.zip
+    p, fs = file_system(spark, path)
+    z = java.ZipOutputStream(fs.create(p, True))
+    try:
+        for name, body in _contents(list(sheets)).items():
+            z.putNextEntry(java.ZipEntry(name))
+            z.write(bytearray(body.encode()))
+        for k, body in enumerate(sheets.values(), 1):
+            z.putNextEntry(java.ZipEntry(f"xl/worksheets/sheet{k}.xml"))
+            z.write(bytearray((_BEGIN + (_row(1, SHEET) if isinstance(body, int) else body)).encode()))
+            if isinstance(body, int) and exists(spark, f"{rows}/sheet={body}"):
+                join_parts(spark, f"{rows}/sheet={body}", z)
+            z.write(bytearray(_END.encode()))
+    finally:
+        z.close()
+    delete(spark, rows)
 
 
 def read_sheet(spark: SparkSession, path: str, number: int = 1) -> DataFrame:

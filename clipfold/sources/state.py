@@ -161,24 +161,29 @@ def write_document(items: DataFrame, path: str, made: datetime, header: dict) ->
     parts = fresh_path(spark, "document")
     _newest(items).select(F.concat(F.lit(","), F.to_json(F.struct("*"))).alias("value")).write.text(parts, lineSep="\n")
     p, fs = file_system(spark, path)
-    at, own = file_system(spark, parts)
-    found = [s.getPath() for s in own.listStatus(at) if s.getPath().getName().startswith("part-") and s.getLen()]
     out = fs.create(p, True)
     try:
         out.write(bytearray((json.dumps(_header(header, made), ensure_ascii=False)[:-1] + ', "noticias": [\n').encode()))
-        for k, part in enumerate(sorted(found, key=lambda x: (len(x.getName()), x.getName()))):
-            source = own.open(part)
-            try:
-                source.seek(0 if k else 1)  # no comma before the first item
-                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
-            finally:
-                source.close()
+        join_parts(spark, parts, out, 1)  # no comma before the first item
         out.write(bytearray(b"]}\n"))
     finally:
         out.close()
     delete(spark, parts)
 
 
+def join_parts(spark: SparkSession, folder: str, out, skip: int = 0) -> None:
+    """The bytes of a written table's files, in the order of its tasks and without the first ``skip``, into a Java stream."""
+    at, fs = file_system(spark, folder)
+    found = [s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("part-") and s.getLen()]
+    for k, part in enumerate(sorted(found, key=lambda x: (len(x.getName()), x.getName()))):
+        source = fs.open(part)
+        try:
+            source.seek(0 if k else skip)
+            spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+        finally:
+            source.close()
+
+
 def series_document(nested: DataFrame, made: datetime, most: int = 20_000) -> str:
     """The daily series (``data, areas``) as one document, by date; refuses more than ``most`` days."""
     rows = nested.select(F.date_format("data", "yyyy-MM-dd").alias("data"), "areas").orderBy("data").limit(most + 1).toJSON().collect()

@@ -64,6 +64,23 @@ def test_workbook_and_csv(spark):
         exports.csv_text(book["resumo"], 1)
 
 
+def test_workbook_of_more_items_than_a_sheet_holds(spark, tmp_path):
+    _, areas, _, _ = dims(spark)
+    rows = items(spark, *[item(k, area="Pontes", titulo=f"<{k}> & \x01", data=f"2026-08-0{1 + k % 7} 10:{k:02d}") for k in range(24)]).repartition(5)
+    none = spark.createDataFrame([], "feed_ord int, erro string")
+    for name, most, sizes in (("um", 1000, [24]), ("tres", 10, [10, 10, 4])):
+        path = str(tmp_path / f"{name}.xlsx")
+        exports.write_workbook(rows, areas, none, path, most)
+        order = [r.titulo.replace("\x01", " ") for r in exports.workbook(rows, areas, none)["noticias"].collect()]
+        cells = [{(r.linha, r.coluna): r.valor for r in exports.read_sheet(spark, path, k).collect()} for k in (1, 2, *range(3, 2 + len(sizes)))]
+        sheets = [cells[0], *cells[2:]]
+        assert [max(i for i, _ in c) - 1 for c in sheets] == sizes and all(c[1, "A"] == "area" and c[1, "H"] == "ligacao" for c in sheets)
+        assert [c[i, "F"] for c, n in zip(sheets, sizes) for i in range(2, n + 2)] == order
+    assert cells[1][2, "C"] == "COUNTIF(noticias!$A$2:$A$11,A2)+COUNTIF('noticias 2'!$A$2:$A$11,A2)+COUNTIF('noticias 3'!$A$2:$A$5,A2)"
+    exports.write_workbook(rows.limit(0), areas, none, str(tmp_path / "nada.xlsx"))
+    assert exports.read_sheet(spark, str(tmp_path / "nada.xlsx"), 2).where("coluna = 'C' and linha = 2").first().valor == "COUNTIF(noticias!$A$2:$A$2,A2)"
+
+
 def test_saving_clears_what_was_cut(spark, tmp_path):
     made = []
 
