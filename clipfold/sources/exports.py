@@ -131,7 +131,7 @@ def _written_rows(df: DataFrame, most: int) -> tuple[int, str]:
 
     path = fresh_path(spark, "rows")
     rows = cut(placed.mapInArrow(run, "sheet bigint, place bigint, value string"), "cells")
-    rows.orderBy("sheet", "place").select("sheet", "value").write.partitionBy("sheet").text(path, lineSep="\n")
+    rows.orderBy("sheet", "place").select("sheet", "value").write.partitionBy("sheet").text(path, compression="gzip", lineSep="\n")
     return sum(r["count"] for r in tasks), path
 
 

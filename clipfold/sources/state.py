@@ -159,7 +159,7 @@ def write_document(items: DataFrame, path: str, made: datetime, header: dict) ->
     """
     spark = items.sparkSession
     parts = fresh_path(spark, "document")
-    _newest(items).select(F.concat(F.lit(","), F.to_json(F.struct("*"))).alias("value")).write.text(parts, lineSep="\n")
+    _newest(items).select(F.concat(F.lit(","), F.to_json(F.struct("*"))).alias("value")).write.text(parts, compression="gzip", lineSep="\n")
     p, fs = file_system(spark, path)
     out = fs.create(p, True)
     try:
@@ -172,13 +172,14 @@ def write_document(items: DataFrame, path: str, made: datetime, header: dict) ->
 
 
 def join_parts(spark: SparkSession, folder: str, out, skip: int = 0) -> None:
-    """The bytes of a written table's files, in the order of its tasks and without the first ``skip``, into a Java stream."""
+    """The text of a table's gzip files, in the order of its tasks and without the first ``skip`` bytes, into a Java stream."""
     at, fs = file_system(spark, folder)
     found = [s.getPath() for s in fs.listStatus(at) if s.getPath().getName().startswith("part-") and s.getLen()]
-    for k, part in enumerate(sorted(found, key=lambda x: (len(x.getName()), x.getName()))):
-        source = fs.open(part)
+    for part in sorted(found, key=lambda x: (len(x.getName()), x.getName())):
+        source = spark._jvm.java.util.zip.GZIPInputStream(fs.open(part), 1 << 16)
         try:
-            source.seek(0 if k else skip)
+            while skip and source.read() != -1:
+                skip -= 1
             spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
         finally:
             source.close()
