@@ -1,15 +1,21 @@
 """Problem 2: new batches checked against all history, with immutable suffix arrays on disk.
 
-A title's words in one fixed order are its canonical text (see ``sets``). The canonical texts of a batch are concatenated,
-and the suffix array of the batch is a table of the places where its substrings begin, sorted by them. Substrings are 2-grams
-of the canonical text, and of each record only those places stand in the array that the threshold needs (its head), so
-no pair at it is missed. The table is written once, as a segment of the index, and never changed.
-
-A new batch's substrings are looked up in the arrays of the segments and in its own by binary search; for each pair of
-records the substrings found are added up (the coverage of the new record by the old one), pairs below what their sizes
-demand are dropped, and the rest is checked exactly on the words. ``check`` reads the batch and the index only: of the
-segments the columns that the batch has, and the words of the records met. It adds the batch as a new segment; segments of
-about the same size are merged, so there are logarithmically many.
+A title's words in one fixed order are its canonical text (see ``sets``). The suffix array of a batch is a table of suffixes of
+its canonical texts, sorted by the words that they begin with; each ends with its text, so no match runs over two records.
+Suffixes begin at the places of a record that the threshold needs (its head: the rarest 2-grams), so no pair at it is
+missed. The table is written once, as a segment of the index, and never changed.
+
+A new batch's suffixes are looked up in the arrays of the segments and in its own. Binary search finds the suffixes of records of
+an allowed size that begin with the same 2-gram; how far each goes on alike is the least that neighbours between the
+two in the sorted array have in common. A match that the place before belongs to as well is found from there, so each
+longest match counts once, with all the places of both heads that it covers. For each pair of records the coverage of the
+matches is added up, pairs below what their sizes demand are dropped, and the rest is checked exactly on the words. ``check`` reads
+the batch and the index only: of the segments the columns that the batch has, and the words of the records met. It adds
+the batch as a new segment; segments of about the same size are merged, so there are logarithmically many.
+
+Words are 32-bit numbers in the 2-gram that a suffix begins with and 16-bit numbers after it: what they mistake for equal makes a
+match longer, never shorter, which only sends more pairs to the exact check. Texts of more than ``PIECE`` 2-grams are
+taken in pieces, so that a suffix takes bounded room: a match is followed to the end of the piece, and goes on from the next.
 
 The order of words is fixed when an index is made, from its first batch (at most ``SAMPLE_ROWS`` titles); words that come
 later count as rare. The order decides how many candidates there are, not what is found. Only the first record of each
@@ -36,6 +42,7 @@ from pyspark.sql import functions as F
 
 from clipfold.llm import sets
 from clipfold.plans.cut import cut, delete, fresh_path
+from clipfold.plans.ship import ship
 from clipfold.sources.state import put
 
 #: Parameters that only track a visit.
@@ -43,6 +50,9 @@ TRACKING = r"^(?:utm_.*|ref|referrer|fbclid|gclid|dclid|msclkid|yclid|igshid|mc_
 LANES = 2
 #: Titles of the first batch from which the order of words is taken: those of the smallest hash.
 SAMPLE_ROWS = 200_000
+#: 2-grams of a piece of a text, and of the part of a suffix that is kept.
+PIECE = 64
+WORDS_AT_ONCE, MATCHES_AT_ONCE = 500_000, 500_000
 #: A segment is merged with the one before if that is at most so many times as large.
 MERGE = 1.5
 
@@ -78,7 +88,7 @@ class WithoutName:
 
 @dataclass(frozen=True)
 class Index:
-    """History as it stands: segments, each a folder with the tables ``suffixes``, ``classes`` and ``pages``."""
+    """History as it stands: segments, each a folder with the tables ``suffixes``, ``texts``, ``classes`` and ``pages``."""
 
     path: str
     names: tuple[str, ...]
@@ -95,9 +105,12 @@ class Index:
         return sets.Order(at["words"], at["grams"], True)
 
 
+SUFFIX_SCHEMA = "col bigint, suffix binary, rec binary"
+MATCH_SCHEMA = "a bigint, b bigint, na int, nb int, earlier boolean, till bigint, shared int"
 SCHEMAS = {
-    "suffixes": sets.ROW_SCHEMA,
-    "classes": "k1 bigint, k2 bigint, id bigint, run int, before bigint, upto bigint, words array<bigint>",
+    "suffixes": SUFFIX_SCHEMA,
+    "texts": "id bigint, run int, k1 bigint, k2 bigint, words array<bigint>",
+    "classes": "k1 bigint, k2 bigint, id bigint, run int, before bigint, upto bigint",
     "pages": "p1 bigint, p2 bigint, id bigint, run int",
 }
 
@@ -130,33 +143,143 @@ def _prepare(index: Index, titles: DataFrame) -> sets.Order:
     return index.order(spark)
 
 
+def record(lanes: int) -> np.dtype:
+    """A row but for its column and suffix: that of a set, the 2-grams of the head from the row's place on (``heads``, a bit
+    each, as many as ``PIECE``), the place (``place``, twice that, and one if the place before is of the head too), and the word before it."""
+    return np.dtype([*sets.record(lanes).descr, ("heads", "<u8"), ("place", "<i4"), ("before", "<u4")])
+
+
+def suffixes(new: DataFrame, order: sets.Order, threshold: float, lanes: int, hot: int = sets.HOT) -> DataFrame:
+    """Rows of the suffix array of sets (``id, run, words``): the suffixes of the canonical texts that begin at the places of
+    the heads. ``col`` is the 2-gram that a suffix begins with (split as in ``sets.incidence``), ``suffix`` the words after
+    it, two bytes a word; in the order of both, suffixes that begin alike stand together."""
+    dtype = record(lanes)
+
+    def rows(ids: np.ndarray, runs: np.ndarray, words: np.ndarray, lens: np.ndarray) -> pa.RecordBatch:
+        text = order.canonical(words, lens)
+        col, doc, lv, pos = order.places(words, lens, threshold, text)
+        starts = np.cumsum(lens + 1) - (lens + 1)
+        place, left = pos - starts[doc], lens[doc] + 1 - (pos - starts[doc])
+        head = np.zeros(len(text) + PIECE, np.uint64)
+        head[pos + doc] = 1  # where the 2-gram begins in the text
+        bits, k = head.copy(), 1
+        while k < PIECE:
+            bits[:-k] |= bits[k:] << np.uint64(k)
+            k *= 2
+        of_set = sets.packed_sets(ids, runs, words, lens, lanes, dtype)
+        cols, which, side = sets.split_columns(col, lv, ids[doc], hot)
+        rec = of_set[doc]
+        rec["heads"] = bits[pos + doc] & (np.uint64(2**64 - 1) >> (PIECE - np.minimum(left, PIECE)).astype(np.uint64))
+        follows = (place > 0) & (head[pos + doc - 1] > 0)
+        rec["place"], rec["before"] = 2 * place + follows, np.where(place > 1, text[pos + doc - 1], 0).astype(np.uint32)
+        rec = rec[which]
+        rec["size"] += side
+        short = ((text ^ (text >> 16)) & 0xFFFF).astype(">u2")
+        n = np.minimum(left[which] - 1, PIECE - 1)
+        at = (pos + doc)[which] + 2
+        return pa.RecordBatch.from_arrays(
+            [pa.array(cols), sets.binary(short[sets.expand(at, at + n)[1]].tobytes(), 2 * n), sets.binary(rec.tobytes(), np.full(len(rec), dtype.itemsize))], names=["col", "suffix", "rec"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words, lens = sets.flat_lists(b.column(2))
+            ids, runs, ends = b.column(0).to_numpy(), b.column(1).to_numpy(), np.cumsum(lens)
+            parts = np.flatnonzero(np.diff(ends // WORDS_AT_ONCE, prepend=0)).tolist()  # memory doesn't follow the length of texts
+            for s, e in zip([0, *parts], [*parts, len(lens)]):
+                if e > s:
+                    yield rows(ids[s:e], runs[s:e], words[ends[s] - lens[s] : ends[e - 1]], lens[s:e])
+
+    ship(new.sparkSession)
+    return new.select("id", "run", "words").mapInArrow(run, SUFFIX_SCHEMA)
+
+
+def neighbours(col: np.ndarray, suffix: pa.ChunkedArray) -> np.ndarray:
+    """How many words each suffix of a sorted array has in common with the one before, after the 2-gram of their column."""
+    data, ends = sets.flat_bytes(suffix)
+    text, ends = data.view(">u2"), ends // 2
+    start, n = ends[:-1], np.diff(ends)
+    out = np.zeros(len(col), np.uint8)
+    at, k = np.flatnonzero(col[1:] == col[:-1]) + 1, 0
+    while len(at):
+        at = at[(n[at] > k) & (n[at - 1] > k)]
+        at = at[text[start[at] + k] == text[start[at - 1] + k]]
+        k += 1
+        out[at] = k
+    return out
+
+
+class Matches:
+    """Longest matches of the suffixes of a sorted array, from its neighbours: of two suffixes, the least between them."""
+
+    def __init__(self, col: np.ndarray, suffix: pa.ChunkedArray):
+        self.least = [neighbours(col, suffix)]
+        longest = int(np.diff(np.flatnonzero(np.concatenate([[True], col[1:] != col[:-1], [True]]))).max(initial=1))
+        while 2 << len(self.least) - 1 < longest:
+            last, k = self.least[-1], 1 << len(self.least) - 1
+            self.least.append(np.minimum(last, np.concatenate([last[k:], np.zeros(k, np.uint8)])))
+
+    def __call__(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """2-grams that the suffixes at ``x`` and ``y``, of one column, have in common from their beginning."""
+        lo, hi = np.minimum(x, y) + 1, np.maximum(x, y) + 1
+        level = np.frexp((hi - lo).astype(float))[1] - 1
+        out = np.empty(len(x), np.int64)
+        for k, least in enumerate(self.least):
+            at = np.flatnonzero(level == k)
+            out[at] = np.minimum(least[lo[at]], least[hi[at] - (1 << k)])
+        return out + 1
+
+
 def lookup(threshold: float):
-    """For ``mapInArrow`` over ``sets.by_column`` with a column ``new``: pairs of a new record ``a`` with a record ``b`` of an
-    earlier batch (``earlier``), or a smaller one of its own, which counts for later copies of ``a``; and the substrings they share."""
+    """For ``mapInArrow`` over ``sets.by_column`` with a column ``new``: longest matches of a new record ``a`` with a record ``b`` of an
+    earlier batch (``earlier``), or a smaller one of its own, which counts for later copies of ``a``; where they end in the
+    texts (``till``), and the places of both heads that they cover (``shared``). A match over several pieces of the
+    text of ``a`` counts piece by piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in sets.column_blocks(batches):
-            block = sets.Block(t, LANES)
-            ids, runs, ns = block.id, block.run, block.n
+            block = sets.Block(t, LANES, record(LANES))
+            ids, runs, ns, heads, before = block.id, block.run, block.n, block.rec["heads"], block.rec["before"]
+            place, follows = block.rec["place"].astype(np.int64) >> 1, (block.rec["place"] & 1) > 0
+            longest = Matches(t["col"].to_numpy(), t["suffix"])
             ask = np.flatnonzero(t["new"].to_numpy()[block.order])
             lo = block.find(ask, np.ceil(ns[ask] * threshold - 1e-9), "left")
             hi = block.find(ask, np.floor(ns[ask] / threshold + 1e-9), "right")
-            doc, at = np.unique(ids, return_inverse=True)
-            found = [np.empty(0, np.int64)]
+            found, size = [], 0
             for x, y in sets.meetings(ask, lo, hi, block, threshold):
                 ok = (runs[y] < runs[x]) | ((runs[y] == runs[x]) & (ids[y] < ids[x]))
-                found.append(at[x[ok]] * len(doc) + at[y[ok]])
-            pairs, shared = np.unique(np.concatenate(found), return_counts=True)
-            a, b = np.divmod(pairs, len(doc))
-            size, when = np.zeros(len(doc), np.int32), np.zeros(len(doc), np.int64)
-            size[at], when[at] = ns, runs
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[a]), pa.array(doc[b]), pa.array(size[a]), pa.array(size[b]), pa.array(when[b] < when[a]), pa.array(shared.astype(np.int32))], names=["a", "b", "na", "nb", "earlier", "shared"]
-            )
+                # a match that the place before in the piece is part of is found from there
+                ok &= ~(follows[x] & follows[y] & (before[x] == before[y]) & ((place[x] == 1) == (place[y] == 1)) & (place[x] % PIECE > 0))
+                x, y = x[ok], y[ok]
+                n = np.minimum(longest(block.order[x], block.order[y]), PIECE - place[x] % PIECE)
+                cover = np.bitwise_count(heads[x] & heads[y] & (np.uint64(2**64 - 1) >> (PIECE - n).astype(np.uint64)))
+                found.append(
+                    pa.RecordBatch.from_arrays(
+                        [
+                            *(pa.array(v) for v in (ids[x], ids[y], ns[x].astype(np.int32), ns[y].astype(np.int32), runs[y] < runs[x])),
+                            pa.array(((place[x] + n) << 32) | (place[y] + n)),
+                            pa.array(cover.astype(np.int32)),
+                        ],
+                        names=["a", "b", "na", "nb", "earlier", "till", "shared"],
+                    )
+                )
+                size += len(x)
+                if size >= MATCHES_AT_ONCE:
+                    yield pa.Table.from_batches(found).combine_chunks().to_batches()[0]
+                    found, size = [], 0
+            if size:
+                yield pa.Table.from_batches(found).combine_chunks().to_batches()[0]
 
     return run
 
 
+def covered(matches: DataFrame, threshold: float) -> DataFrame:
+    """Pairs with the coverage of all their matches added up, those below what their sizes demand left out. Of matches that end at the
+    same words, one is part of the other, and the longest counts."""
+    pair = ["a", "b", "na", "nb", "earlier"]
+    return sets.accumulated(matches.repartition("a", "b").groupBy(*pair, "till").agg(F.max("shared").alias("shared")), threshold)
+
+
 def check(
     batch: DataFrame, index: Index, id_col: str = "item_id", run_col: str = "run_ord", title_col: str = "titulo", link_col: str = "ligacao", threshold: float = 0.8, merge: bool = True
 ) -> tuple[DataFrame, Index]:
@@ -169,24 +292,25 @@ def check(
     order = _prepare(index, titles)
     firsts = titles.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.min("run").alias("run"))  # ids rise with the runs
     firsts = firsts.join(known.select("k1", "k2"), ["k1", "k2"], "left_anti") if index.segments else firsts
-    new = cut(titles.select("id", "words").join(firsts, "id"), "new-classes")
 
     segment = fresh_path(spark, "segment").rsplit("-", 1)[-1]
     at = f"{index.path}/{segment}"
-    sets.incidence(new, order, threshold, LANES).sortWithinPartitions("col").write.option("compression", "zstd").parquet(f"{at}/suffixes")
+    titles.select("id", "words").join(firsts, "id").select("id", "run", "k1", "k2", "words").write.option("compression", "zstd").parquet(f"{at}/texts")
+    new = spark.read.schema(SCHEMAS["texts"]).parquet(f"{at}/texts")
+    suffixes(new, order, threshold, LANES).sortWithinPartitions("col", "suffix").write.option("compression", "zstd").parquet(f"{at}/suffixes")
     mine = spark.read.schema(SCHEMAS["suffixes"]).parquet(f"{at}/suffixes")
     rows = mine.withColumn("new", F.lit(True))
     if index.segments:
         met = index.table(spark, "suffixes").join(mine.select("col").distinct(), "col", "left_semi")
         rows = rows.unionByName(met.withColumn("new", F.lit(False)))
-    pairs = cut(sets.accumulated(sets.by_column(rows).mapInArrow(lookup(threshold), sets.PAIR_SCHEMA), threshold), "title-pairs")
-    words = new.select("id", "words").unionByName(known.select("id", "words")) if index.segments else new
+    pairs = cut(covered(sets.by_column(rows).mapInArrow(lookup(threshold), MATCH_SCHEMA), threshold), "title-pairs")
+    words = new.select("id", "words").unionByName(index.table(spark, "texts").select("id", "words")) if index.segments else new
     near = sets.verified(pairs, words, threshold).groupBy("a").agg(F.min(F.when(F.col("earlier"), F.col("b"))).alias("before"), F.min("b").alias("upto"))
-    classes = new.join(near.withColumnRenamed("a", "id"), "id", "left").select("k1", "k2", "id", "run", "before", "upto", "words")
+    classes = new.drop("words").join(near.withColumnRenamed("a", "id"), "id", "left").select("k1", "k2", "id", "run", "before", "upto")
     classes.write.option("compression", "zstd").parquet(f"{at}/classes")
     mine = spark.read.schema(SCHEMAS["classes"]).parquet(f"{at}/classes")
 
-    every = mine.drop("words").unionByName(known.drop("words").join(titles.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")) if index.segments else mine.drop("words")
+    every = mine.unionByName(known.join(titles.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")) if index.segments else mine
     first = every.select("k1", "k2", F.col("id").alias("first"), F.col("run").alias("first_run"), "before", "upto")
     by_title = titles.select("id", "run", "k1", "k2").join(first, ["k1", "k2"]).select(
         "id", F.when(F.col("first_run") < F.col("run"), F.least("first", "upto")).otherwise(F.col("before")).alias("first_id")
@@ -217,7 +341,7 @@ def _merged(spark: SparkSession, index: Index, most: float) -> Index:
         pair, name = replace(index, segments=((a, n), (b, m))), fresh_path(spark, "segment").rsplit("-", 1)[-1]
         for table in SCHEMAS:
             df = pair.table(spark, table)
-            (df.sortWithinPartitions("col") if table == "suffixes" else df).write.option("compression", "zstd").parquet(f"{index.path}/{name}/{table}")
+            (df.sortWithinPartitions("col", "suffix") if table == "suffixes" else df).write.option("compression", "zstd").parquet(f"{index.path}/{name}/{table}")
         gone += [a, b]
         index = replace(index, segments=(*rest, (name, n + m)))
     _committed(spark, index, _next(spark, index))

@@ -141,6 +141,10 @@ def short(words: np.ndarray) -> np.ndarray:
     return ((words >> 7) ^ (words >> 39)).astype(np.int32)
 
 
+#: Signs before and after a canonical text.
+BEGIN, END = 1 << 40, 1 << 41
+
+
 class Order:
     """The order of words in canonical texts, and of 2-grams in heads: rarest first by tables of levels."""
 
@@ -155,8 +159,8 @@ class Order:
         half = Order(words, words, unseen)
         return Order(words, _levels(sets, lambda w, lens: half.two_grams(w, lens), size), unseen)
 
-    def two_grams(self, words: np.ndarray, lens: np.ndarray) -> np.ndarray:
-        """2-grams of the canonical texts, with the signs one more than words, set by set."""
+    def canonical(self, words: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """The canonical texts, one after the other: words as 32-bit numbers between the signs ``BEGIN`` and ``END``."""
         doc = np.repeat(np.arange(len(lens)), lens)
         w = short(words).astype(np.int64) & 0xFFFFFFFF
         level = self.words[bucket(words, len(self.words))].astype(np.int64)
@@ -165,17 +169,26 @@ class Order:
         else:
             w = w[np.lexsort((w, level, doc))]
         total = len(w) + 2 * len(lens)
-        text, starts = np.full(total, 1 << 40, np.int64), np.cumsum(lens + 2) - (lens + 2)
+        text, starts = np.full(total, BEGIN, np.int64), np.cumsum(lens + 2) - (lens + 2)
         text[np.arange(len(w)) + 2 * doc + 1] = w
-        text[starts + lens + 1] = 1 << 41
-        inner = np.ones(total, bool)
-        inner[starts + lens + 1] = False
+        text[starts + lens + 1] = END
+        return text
+
+    def two_grams(self, words: np.ndarray, lens: np.ndarray, text: np.ndarray | None = None) -> np.ndarray:
+        """2-grams of the canonical texts (``text``, if known), with the signs one more than words, set by set."""
+        text = self.canonical(words, lens) if text is None else text
+        inner = np.ones(len(text), bool)
+        inner[np.cumsum(lens + 2) - 1] = False
         at = np.flatnonzero(inner)
         return mix(text[at].view(np.uint64), text[at + 1].view(np.uint64)).view(np.int64)
 
     def heads(self, words: np.ndarray, lens: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """2-grams of the heads, the set of each, and its level; those that no other set has are left out."""
-        grams = self.two_grams(words, lens)
+        return self.places(words, lens, threshold)[:3]
+
+    def places(self, words: np.ndarray, lens: np.ndarray, threshold: float, text: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """As ``heads``, and where among all 2-grams of the texts each stands."""
+        grams = self.two_grams(words, lens, text)
         n = lens + 1
         doc = np.repeat(np.arange(len(lens)), n)
         lv = self.grams[bucket(grams, len(self.grams))]
@@ -191,7 +204,7 @@ class Order:
         pos = order[pos]
         if not self.unseen:
             pos = pos[lv[pos] > 0]
-        return grams[pos], doc[pos], lv[pos]
+        return grams[pos], doc[pos], lv[pos], pos
 
 
 def common_grams(n: np.ndarray, threshold: float) -> np.ndarray:
@@ -250,34 +263,50 @@ def incidence(sets: DataFrame, order: Order, threshold: float, lanes: int, hot:
     to which the rows of both go; ``side`` tells them apart (0 where a column is not such a pair), so that a pair of sets
     meets in one column only.
     """
-    hot_level, dtype = int(np.ceil(8 * np.log2(hot))), record(lanes)
+    dtype = record(lanes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             words, lens = flat_lists(b.column(2))
             col, doc, lv = order.heads(words, lens, threshold)
-            parts = np.where(lv > hot_level, np.ceil(2.0 ** ((lv.astype(float) - hot_level) / 8)), 1).astype(np.int64)
-            which, other = expand(np.zeros(len(col), np.int64), parts)
             ids = b.column(0).to_numpy()
-            mine = mix(ids.view(np.uint64), np.full(len(ids), 3, np.uint64)).astype(np.int64)[doc[which]] % parts[which]
-            low, high = np.minimum(mine, other), np.maximum(mine, other)
-            side = np.where(low == high, 0, np.where(mine == low, 1, 2))
-            cols = np.where(parts[which] > 1, mix(col[which].view(np.uint64), (low * 65_536 + high + 1).view(np.uint64)).view(np.int64), col[which])
-            of_set = np.zeros(len(lens), dtype)
-            of_set["id"], of_set["sig"], of_set["run"], of_set["size"] = ids, signatures(words, lens, lanes), b.column(1).to_numpy(), 4 * lens
-            rows = of_set[doc[which]]
-            rows["size"] += side.astype(np.int32)
-            offsets = (np.arange(len(rows) + 1) * dtype.itemsize).astype(np.int32)
-            packed = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows.tobytes())])
-            yield pa.RecordBatch.from_arrays([pa.array(cols), packed], names=["col", "rec"])
+            cols, which, side = split_columns(col, lv, ids[doc], hot)
+            rows = packed_sets(ids, b.column(1).to_numpy(), words, lens, lanes, dtype)[doc[which]]
+            rows["size"] += side
+            yield pa.RecordBatch.from_arrays([pa.array(cols), binary(rows.tobytes(), np.full(len(rows), dtype.itemsize))], names=["col", "rec"])
 
     ship(sets.sparkSession)
     return sets.select("id", "run", "words").mapInArrow(run, ROW_SCHEMA)
 
 
+def split_columns(col: np.ndarray, lv: np.ndarray, ids: np.ndarray, hot: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The columns that entries of ``col`` (with their levels and the ids of their sets) go to, if more than ``hot`` sets of a
+    column are split; the entry of each, and its side."""
+    hot_level = int(np.ceil(8 * np.log2(hot)))
+    parts = np.where(lv > hot_level, np.ceil(2.0 ** ((lv.astype(float) - hot_level) / 8)), 1).astype(np.int64)
+    which, other = expand(np.zeros(len(col), np.int64), parts)
+    mine = mix(ids.view(np.uint64), np.full(len(ids), 3, np.uint64)).astype(np.int64)[which] % parts[which]
+    low, high = np.minimum(mine, other), np.maximum(mine, other)
+    side = np.where(low == high, 0, np.where(mine == low, 1, 2)).astype(np.int32)
+    return np.where(parts[which] > 1, mix(col[which].view(np.uint64), (low * 65_536 + high + 1).view(np.uint64)).view(np.int64), col[which]), which, side
+
+
+def packed_sets(ids: np.ndarray, runs: np.ndarray, words: np.ndarray, lens: np.ndarray, lanes: int, dtype: np.dtype) -> np.ndarray:
+    """What a row tells of its set."""
+    out = np.zeros(len(lens), dtype)
+    out["id"], out["sig"], out["run"], out["size"] = ids, signatures(words, lens, lanes), runs, 4 * lens
+    return out
+
+
+def binary(data: bytes, lens: np.ndarray) -> pa.Array:
+    """A binary column from its bytes and the length of each value."""
+    offsets = np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(lens), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
 def by_column(rows: DataFrame) -> DataFrame:
-    """Each column whole in one partition, and its rows together."""
-    return rows.repartition("col").sortWithinPartitions("col")
+    """Each column whole in one partition, and its rows together; in the order of their suffixes, if they have them."""
+    return rows.repartition("col").sortWithinPartitions(*(c for c in ("col", "suffix") if c in rows.columns))
 
 
 def column_blocks(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Iterator[pa.Table]:
@@ -304,23 +333,28 @@ def column_blocks(batches: Iterator[pa.RecordBatch], rows: int = 200_000) -> Ite
 
 def packed_bytes(col: pa.ChunkedArray) -> np.ndarray:
     """All bytes of a binary column."""
+    return flat_bytes(col)[0]
+
+
+def flat_bytes(col: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column, and where its values begin and end."""
     a = col.combine_chunks()
     a = a.chunk(0) if isinstance(a, pa.ChunkedArray) else a
     offsets = np.frombuffer(a.buffers()[1], np.int32)[a.offset : a.offset + len(a) + 1]
     data = np.frombuffer(a.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if a.buffers()[2] is not None else np.empty(0, np.uint8)
-    return np.ascontiguousarray(data)
+    return np.ascontiguousarray(data), offsets - offsets[0]
 
 
 class Block:
-    """Rows of whole columns as arrays, sorted by column and size: ``col, id, run, n, side, sigs`` (a row a lane), and ``order``,
-    where each row was in the table."""
+    """Rows of whole columns as arrays, sorted by column and size: ``col, id, run, n, side, sigs`` (a row a lane), all of a row
+    (``rec``), and ``order``, where each row was in the table."""
 
-    def __init__(self, t: pa.Table, lanes: int):
-        col, rec = t["col"].to_numpy(), packed_bytes(t["rec"]).view(record(lanes))
+    def __init__(self, t: pa.Table, lanes: int, dtype: np.dtype | None = None):
+        col, rec = t["col"].to_numpy(), packed_bytes(t["rec"]).view(dtype or record(lanes))
         n = rec["size"] >> 2
         group = np.cumsum(np.concatenate([[True], col[1:] != col[:-1]])) << 32
         self.order = np.argsort(group + n, kind="stable")
-        rec = rec[self.order]
+        rec = self.rec = rec[self.order]
         self.col, self.group, self.id, self.run = col[self.order], group[self.order], np.ascontiguousarray(rec["id"]), np.ascontiguousarray(rec["run"])
         self.n, self.side = (rec["size"] >> 2).astype(np.int64), rec["size"] & 3
         self.sigs = np.ascontiguousarray(rec["sig"].T)

@@ -5,6 +5,8 @@ import re
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -160,6 +162,79 @@ def test_rows_come_through_the_arrays(spark, monkeypatch):
     assert history.repeats(df, []).count() == 0
 
 
+def suffix_rows(spark, texts_, threshold=0.8):
+    """The order of words and the sorted suffix array of texts, as ``history`` keeps it."""
+    df = spark.createDataFrame([(k, 1, " ".join(t)) for k, t in enumerate(texts_)], "id bigint, run int, t string")
+    words = sets.word_sets(df, ["id", "run"], "t")
+    order = sets.Order.fit(words, unseen=True)
+    rows = history.suffixes(words, order, threshold, history.LANES).coalesce(1).sortWithinPartitions("col", "suffix").toArrow()
+    full = {r.id: order.canonical(np.array(r.words, np.int64), np.array([len(r.words)])).tolist() for r in words.collect()}
+    return full, rows
+
+
+@pytest.mark.parametrize("size", [12, 180])
+def test_longest_matches_are_those_of_the_texts(spark, size):
+    r = random.Random(size)
+    base = [f"v{k}" for k in range(size)]
+    full, rows = suffix_rows(spark, [[w for w in base if r.random() > 0.04] + [f"n{k}"] for k in range(12)])
+    rec = sets.packed_bytes(rows["rec"]).view(history.record(history.LANES))
+    col, suffix = rows["col"].to_numpy(), rows["suffix"].to_pylist()
+    place = (rec["place"] >> 1).tolist()
+    texts_ = [full[i][p:] for i, p in zip(rec["id"].tolist(), place)]
+    short = [b"".join((((w ^ (w >> 16)) & 0xFFFF)).to_bytes(2, "big") for w in t[2 : history.PIECE + 1]) for t in texts_]
+    assert suffix == short and all(a <= b for a, b, c, d in zip(short, short[1:], col, col[1:]) if c == d)
+    x, y = np.array([(i, j) for i in range(len(col)) for j in range(len(col)) if i != j and col[i] == col[j]]).T
+    got = history.Matches(col, rows["suffix"])(x, y)
+    for i, j, n in zip(x.tolist(), y.tolist(), got.tolist()):
+        same = next((k for k, (v, w) in enumerate(zip(texts_[i], texts_[j])) if v != w), min(len(texts_[i]), len(texts_[j])))
+        assert n == min(same - 1, history.PIECE)
+    assert got.max() >= min(10, size // 2)
+
+
+@pytest.mark.parametrize("size", [12, 180, 2000])
+def test_each_longest_match_counts_once_and_covers_the_shared_places(spark, size):
+    r = random.Random(size)
+    base = [f"v{k}" for k in range(size)]
+    full, rows = suffix_rows(spark, [[w for w in base if r.random() > 0.03] + [f"n{k}"] for k in range(6)])
+    rec = sets.packed_bytes(rows["rec"]).view(history.record(history.LANES)).copy()
+    rec["run"] = rec["id"]
+    packed = sets.binary(rec.tobytes(), np.full(len(rec), rec.dtype.itemsize))
+    t = pa.table({"col": rows["col"], "suffix": rows["suffix"], "rec": packed, "new": np.ones(len(rec), bool)})
+    found, cover = list(history.lookup(0.8)(iter(t.to_batches()))), {}
+    for a, b, *_, till, shared in (v for f in found for v in zip(*(c.to_pylist() for c in f.columns))):
+        cover.setdefault((a, b), {}).setdefault(till, []).append(shared)
+    heads = {i: set(rows["col"].to_numpy()[rec["id"] == i].tolist()) for i in full}
+    assert len(cover) >= 5
+    for (a, b), runs in cover.items():
+        assert sum(max(v) for v in runs.values()) == len(heads[a] & heads[b])
+    assert sum(map(len, cover.values())) < sum(len(heads[a] & heads[b]) for a, b in cover)  # matches, not places
+
+
+def test_rows_come_through_longest_matches(spark, monkeypatch):
+    often = "h i j k l m n o p q r s"
+    data = [(1, 1, f"a b c d e f g {often}", None, 1), (2, 2, f"a b c d e f g x {often}", None, 1)]
+    data += [(10 + k, 1, f"{often} " + " ".join(f"f{k}n{j}" for j in range(10)), None, 1) for k in range(40)]  # heads are the other words
+    df = spark.createDataFrame(data, ITEM)
+    assert [tuple(x) for x in history.repeats(df, []).collect()] == [(1, 2)]
+    monkeypatch.setattr(history, "Matches", lambda col, suffix: lambda x, y: np.ones(len(x), np.int64))  # no suffix goes on alike
+    assert history.repeats(df, []).count() == 0
+
+
+def test_long_titles_are_found_through_pieces(spark):
+    base = [f"v{k}" for k in range(3000)]
+    data = [(k, 1 + k, " ".join([w for j, w in enumerate(base) if j % 50 != 7 * k] + [f"n{k}m{j}" for j in range(20)]), None, 1) for k in range(4)]
+    assert {tuple(x) for x in history.repeats(spark.createDataFrame(data, ITEM), []).collect()} == brute_repeats(data, ())
+
+
+def test_segments_hold_sorted_suffixes(spark, tmp_path):
+    t = texts(120, 4, 6, 14)
+    df = spark.createDataFrame([(k, 1 + k // 60, x, None, 1) for k, x in enumerate(t)], ITEM)
+    _, index = history.check(df, history.create(spark, f"file://{tmp_path}/i", []))
+    files = sorted((tmp_path / "i" / index.segments[0][0] / "suffixes").glob("*.parquet"))
+    at = [list(zip(*(pq.read_table(f).column(c).to_pylist() for c in ("col", "suffix")))) for f in files]
+    assert all(a == sorted(a) for a in at) and sum(map(len, at)) == index.segments[0][1] > 300
+
+
 def test_one_run_repeats_nothing(spark):
     data = [(k, 1, "o mesmo título de sempre", "https://a.pt/x", 1) for k in range(10)]
     assert history.repeats(spark.createDataFrame(data, ITEM), []).count() == 0
