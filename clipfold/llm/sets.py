@@ -12,12 +12,13 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,14 +29,14 @@ from clipfold.plans.small import join_small
 #: Sizes of the tables of frequency levels: about an entry a document, within these bounds. A table that is too small for a
 #: vocabulary makes heads less rare; it loses nothing.
 LEAST_LEVELS, MOST_LEVELS = 1 << 20, 1 << 22
-CACHE_WORDS = 500_000
+CACHE_WORDS, CACHE_CHARS = 500_000, 40
 WORD = re.compile(r"[^\W_]+")
 _MARKS = re.compile("[" + "".join(chr(c) for c in range(0x300, 0x20000) if unicodedata.combining(chr(c))) + "]+")
 
 
 _LATIN_MARKS = re.compile("[\u0300-\u036f]+")
-#: UTF-8 bytes of marks that stand apart in Latin text, and of other scripts.
-_LATIN_APART, _OTHER = re.compile(rb"[\xcc\xcd]"), re.compile(rb"[\xd6-\xe1\xe3-\xff]")
+#: UTF-8 bytes of marks that stand apart in Latin text, and of other scripts and their marks.
+_LATIN_APART, _OTHER = re.compile(rb"[\xcc\xcd]"), re.compile(rb"[\xd2\xd6-\xe1\xe3-\xff]|\xe2[\x83\xb3\xb5\xb7]")
 
 
 def fold(text: str) -> str:
@@ -67,7 +68,7 @@ class Hasher:
         for w in set(words):
             h = seen.get(w)
             if h is None:
-                h = xxhash.xxh3_64_intdigest(fold(w).encode("utf-8", "surrogatepass")) - (1 << 63)
+                h = number(fold(w))
                 if len(seen) > CACHE_WORDS:
                     seen.clear()
                 seen[w] = h
@@ -75,6 +76,41 @@ class Hasher:
         return sorted(out)
 
 
+class Tokens:
+    """Numbers of the words of many texts at once: what stands between ASCII white space is looked at once a batch, not once a text."""
+
+    def __init__(self):
+        self.seen: dict[str, tuple[int, ...]] = {}
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted numbers of the distinct words of each text, one text after the other, and how many each has."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        tokens, n = pc.dictionary_encode(split.flatten()), np.diff(split.offsets.to_numpy())
+        of = [self.words(t) for t in tokens.dictionary.to_pylist()]
+        size = np.fromiter(map(len, of), np.int64, len(of))
+        known, rank = np.unique(np.fromiter(chain.from_iterable(of), np.int64, int(size.sum())), return_inverse=True)
+        end, at = np.cumsum(size), tokens.indices.to_numpy()
+        which, pos = expand((end - size)[at], end[at])
+        key = np.sort((np.repeat(np.arange(len(n)), n)[which] << 32) | rank[pos])
+        key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
+        return known[key & 0xFFFFFFFF], np.bincount(key >> 32, minlength=len(n))
+
+    def words(self, token: str) -> tuple[int, ...]:
+        got = self.seen.get(token)
+        if got is None:
+            got = tuple(number(fold(w)) for w in plain_words(token))
+            if len(token) <= CACHE_CHARS:
+                if len(self.seen) > CACHE_WORDS:
+                    self.seen.clear()
+                self.seen[token] = got
+        return got
+
+
+def number(word: str) -> int:
+    """The number of a folded word."""
+    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def word_sets(df: DataFrame, keep: list[str], text_col: str, clean=None) -> DataFrame:
     """The columns ``keep``, ``k1, k2`` (128 bits of the set) and ``words ARRAY<BIGINT>``, sorted and distinct; rows without a word are left out.
 
@@ -82,22 +118,20 @@ def word_sets(df: DataFrame, keep: list[str], text_col: str, clean=None) -> Data
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
+        hasher, tokens = Hasher(), Tokens()
         for b in batches:
-            flat, offsets, at, keys = array("q"), [0], [], bytearray()
-            for i, t in enumerate(b.column(len(keep)).to_pylist()):
-                if t:
-                    got = hasher(WORD.findall(clean(fold(t))) if clean else plain_words(t))
-                    if got:
-                        start = len(flat)
-                        flat.extend(got)
-                        keys += xxhash.xxh3_128_digest(memoryview(flat)[start:])
-                        offsets.append(len(flat))
-                        at.append(i)
-            rows = pa.array(at, pa.int64())
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(flat, np.int64)) if flat else pa.array([], pa.int64()))
-            k = np.frombuffer(bytes(keys), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([*(b.column(j).take(rows) for j in range(len(keep))), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), lists], names=[*keep, "k1", "k2", "words"])
+            texts = b.column(len(keep))
+            if clean:
+                sets = [hasher(WORD.findall(clean(fold(t)))) if t else [] for t in texts.to_pylist()]
+                flat, lens = np.fromiter(chain.from_iterable(sets), np.int64), np.fromiter(map(len, sets), np.int64, len(sets))
+            else:
+                flat, lens = tokens(texts)
+            rows, offsets = np.flatnonzero(lens), np.concatenate([[0], np.cumsum(lens[lens > 0])])
+            data, ends = memoryview(flat), offsets.tolist()
+            k = np.frombuffer(b"".join([xxhash.xxh3_128_digest(data[i:j]) for i, j in zip(ends, ends[1:])]), np.int64).reshape(-1, 2)
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
+            kept = pa.array(rows)
+            yield pa.RecordBatch.from_arrays([*(b.column(j).take(kept) for j in range(len(keep))), pa.array(k[:, 0].copy()), pa.array(k[:, 1].copy()), lists], names=[*keep, "k1", "k2", "words"])
 
     ship(df.sparkSession)
     src = df.select(*keep, F.col(text_col).alias("__text"))
@@ -368,15 +402,16 @@ class Block:
         return np.searchsorted(self.keys, self.group[rows] + size.astype(np.int64), end)
 
 
-#: Rows that a row meets up to which they are looked at by index, for many rows at once; above, in tiles of a column.
-FEW, TILE, ACROSS = 24, 128, 512
-PAIRS_AT_ONCE = 4_000_000
+#: Rows that a row meets up to which they are looked at by index, for many rows at once; above, in tiles of a column, whose
+#: near pairs are held until there are as many.
+FEW, TILE, ACROSS = 24, 128, 1024
+PAIRS_AT_ONCE, HELD = 4_000_000, 200_000
 
 
 def meetings(ask: np.ndarray, lo: np.ndarray, hi: np.ndarray, block: Block, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of a row of ``ask`` with a row of its range [lo, hi) in the block that the bounds of sizes and
     signatures allow; in parts, so that memory doesn't follow the frequency of a column."""
-    col, side, ns, sigs = block.col, block.side, block.n, block.sigs
+    side, ns, sigs = block.side, block.n, block.sigs
     few = hi - lo <= FEW
     at, first, last = ask[few], lo[few], hi[few]
     total, s = np.cumsum(last - first), 0
@@ -386,23 +421,50 @@ def meetings(ask: np.ndarray, lo: np.ndarray, hi: np.ndarray, block: Block, thre
         yield _allowed(at[s:e][x], y, side, ns, sigs, threshold)
         s = e
     at, first, last = ask[~few], lo[~few], hi[~few]
-    most = (1 - threshold) / (1 + threshold)
-    cuts = np.flatnonzero(np.concatenate([[True], col[at[1:]] != col[at[:-1]]])) if len(at) else at
-    for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)]):
-        for i in range(s, e, TILE):
-            k = min(e, i + TILE)
-            rows, end = at[i:k], int(last[i:k].max())
-            mine = [lane[rows, None] for lane in sigs]
-            for j in range(int(first[i:k].min()), end, ACROSS):
-                j_end = min(end, j + ACROSS)
-                d = np.bitwise_count(mine[0] ^ sigs[0][j:j_end])
-                for a, lane in zip(mine[1:], sigs[1:]):
-                    d += np.bitwise_count(a ^ lane[j:j_end])
-                limit = min(255, int((int(ns[rows[-1]]) + int(ns[j_end - 1])) * most + 1e-6))
-                x, y = np.divmod(np.flatnonzero(d <= limit), j_end - j)
-                y += j
-                ok = (first[i:k][x] <= y) & (y < last[i:k][x])
-                yield _allowed(rows[x[ok]], y[ok], side, ns, sigs, threshold)
+    for x, y in _near(at, first, last, block, threshold) if len(at) else ():
+        ok = (first[x] <= y) & (y < last[x])
+        yield _allowed(at[x[ok]], y[ok], side, ns, sigs, threshold)
+
+
+def _near(at: np.ndarray, first: np.ndarray, last: np.ndarray, block: Block, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a place in ``at`` and a row in or about its range whose signatures differ in no more bits than their sizes
+    allow, or in one more; those of many tiles at a time."""
+    col, sigs = block.col, block.sigs
+    assert len(sigs) <= 2  # at most 128 bits differ: bytes hold the counts, and a size at the bound of 127 allows any
+    half = block.n * ((1 - threshold) / (1 + threshold)) + 1e-6
+    allow, more = np.minimum(half, 127).astype(np.uint8)[at, None], np.minimum(half + 1, 127).astype(np.uint8)
+    asked = [lane[at, None] for lane in sigs]
+    xor, differ, part, near = (np.empty(TILE * ACROSS, t) for t in (np.uint64, np.uint8, np.uint8, bool))
+    edges = np.concatenate([[0], np.flatnonzero(col[at[1:]] != col[at[:-1]]) + 1, [len(at)]])
+    n = -(-np.diff(edges) // TILE)
+    which, tile = expand(np.zeros(len(n), np.int64), n)
+    starts = edges[which] + tile * TILE
+    stops = np.minimum(starts + TILE, edges[which + 1])
+    held, places, size = [], [], 0
+    for i, k, begin, end in zip(starts.tolist(), stops.tolist(), np.minimum.reduceat(first, starts).tolist(), np.maximum.reduceat(last, starts).tolist()):
+        for j in range(begin, end, ACROSS):
+            j_end = min(end, j + ACROSS)
+            shape, cells = (k - i, j_end - j), (k - i) * (j_end - j)
+            x, d, e, ok = (a[:cells].reshape(shape) for a in (xor, differ, part, near))
+            np.bitwise_count(np.bitwise_xor(asked[0][i:k], sigs[0][j:j_end], out=x), out=d)
+            for mine, lane in zip(asked[1:], sigs[1:]):
+                np.add(d, np.bitwise_count(np.bitwise_xor(mine[i:k], lane[j:j_end], out=x), out=e), out=d)
+            np.less_equal(d, np.add(allow[i:k], more[j:j_end], out=e), out=ok)
+            held.append(near[:cells].nonzero()[0])
+            places.append((i, j, j_end - j))
+            size += len(held[-1])
+            if size >= HELD:
+                yield _unfolded(held, places)
+                held, places, size = [], [], 0
+    if held:
+        yield _unfolded(held, places)
+
+
+def _unfolded(held: list[np.ndarray], places: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of cells of tiles that begin at ``places`` and have so many cells in a row."""
+    i, j, width = np.repeat(np.array(places, np.int64), [len(h) for h in held], axis=0).T
+    x, y = np.divmod(np.concatenate(held), width)
+    return x + i, y + j
 
 
 def _allowed(x: np.ndarray, y: np.ndarray, side: np.ndarray, ns: np.ndarray, sigs: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:

@@ -257,3 +257,36 @@ def test_page_keys(spark):
 def test_words_of_a_text_are_the_same_either_way(t):
     a = {sets.fold(w) for w in sets.plain_words(t)}
     assert a == set(sets.WORD.findall(sets.fold(t))) or not unicodedata.is_normalized("NFC", t)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.text(max_size=30).map(lambda t: unicodedata.normalize("NFC", t)), max_size=6))
+def test_words_of_many_texts_at_once(ts):
+    flat, lens = sets.Tokens()(pa.array(ts, pa.string()))
+    ends = np.cumsum(lens)
+    assert [flat[e - n : e].tolist() for e, n in zip(ends, lens)] == [sorted(map(sets.number, words(t))) for t in ts]
+
+
+def test_a_word_is_looked_at_once_and_alone(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "Te҃st Één", "x", 1), (2, "een te҃st, \U0001f600", "x", 1), (3, None, "x", 1)], DOC)
+    a, b = sets.word_sets(df, ["item_id"], "texto").collect()
+    assert a.words == b.words == sorted(map(sets.number, ("test", "een"))) and (a.k1, a.k2) == (b.k1, b.k2)
+    seen, plain = [], sets.plain_words
+    monkeypatch.setattr(sets, "plain_words", lambda t: seen.append(t) or plain(t))
+    assert sets.Tokens()(pa.array(["um dois", "dois um três"] * 500))[1].tolist() == [2, 3] * 500 and sorted(seen) == ["dois", "três", "um"]
+
+
+def test_near_pairs_of_many_columns_are_judged_together(monkeypatch):
+    r, n, columns, t = np.random.default_rng(5), 60, 100, 0.65
+    rec = np.zeros(n * columns, sets.record(2))
+    rec["id"], rec["size"] = np.arange(len(rec)), 4 * r.integers(40, 70, len(rec))
+    rec["sig"] = np.bitwise_and.reduce(r.integers(0, 1 << 63, (3, len(rec), 2), np.uint64))
+    block = sets.Block(pa.table({"col": np.repeat(np.arange(columns), n), "rec": sets.binary(rec.tobytes(), np.full(len(rec), rec.dtype.itemsize))}), 2)
+    calls, allowed = [], sets._allowed
+    monkeypatch.setattr(sets, "_allowed", lambda *a: calls.append(a) or allowed(*a))
+    ask = np.arange(len(block))
+    got = [p for x, y in sets.meetings(ask, ask + 1, block.find(ask, np.floor(block.n / t + 1e-9), "right"), block, t) for p in zip(x.tolist(), y.tolist())]
+    bits = lambda x, y: sum(int(np.bitwise_count(s[x] ^ s[y])) for s in block.sigs)
+    fits = lambda x, y: block.n[x] >= t * block.n[y] - 1e-9 and bits(x, y) <= (block.n[x] + block.n[y]) * (1 - t) / (1 + t) + 1e-6
+    assert sorted(got) == [(x, y) for x in range(len(block)) for y in range(x + 1, x - x % n + n) if fits(x, y)] and len(got) > 100
+    assert len(calls) < 5
